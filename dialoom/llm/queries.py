@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..plans.tables import table
-from . import bpe, packing, pair_defects
+from . import bpe, mojibake, packing, pair_defects
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -28,5 +28,15 @@ def p7_report(spark: SparkSession, d: str) -> DataFrame:
     return packing.container_report(p7_containers(spark, d), table(spark, d, "pack_profiles"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p6_ids, p7_containers, p7_report)}
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    """The documents with a wrongly decoded stretch."""
+    return mojibake.find_garbled(table(spark, d, "documents")).select("doc_id")
+
+
+def p8_restored(spark: SparkSession, d: str) -> DataFrame:
+    """The garbled documents with their text as far as it can be regained."""
+    return mojibake.find_garbled(table(spark, d, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p6_ids, p7_containers, p7_report, p8_found, p8_restored)}
 ORACLE: dict[str, str] = {}
