@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import given, occurrences, strip
+from ..session import materialize
 from . import annotations as store_ops
 from .annotations import annotation
 
@@ -169,7 +170,8 @@ def run_registry(rows: DataFrame, store: DataFrame, registry: Iterable[Annotator
     An annotator sees what those before it wrote.
     """
     for annotator in sorted(registry, key=lambda a: -a.priority):
-        store = store_ops.write(store, annotate(rows, annotator, store))
+        # written out, so that later prerequisites don't repeat earlier texts' scan
+        store = materialize(store_ops.write(store, annotate(rows, annotator, store)), "store")
     return store
 
 
