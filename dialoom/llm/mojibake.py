@@ -31,6 +31,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 # Codes that UTF-8 text may have been decoded with.
 SEEN_AS = ("cp1252", "latin-1", "iso8859-15", "mac_roman", "cp437", "cp850", "cp1250", "cp1254", "cp1257", "iso8859-2", "cp1251", "koi8-r", "cp866", "cp852")
 SEEN_AS_WIDE = ("cp932", "gbk", "big5", "euc_jp", "euc_kr")
@@ -243,6 +245,9 @@ def readings(word: str) -> list[tuple[str, str, float, bool]]:
 
 def line_channel(line: str) -> str | None:
     """The wide legacy code a line was written in, if kana say so."""
+    words = [w for w in WORD.findall(line) if not w.isascii()]
+    if not words or KANA.search(line) or 2 * sum(map(natural, words)) > len(words):
+        return None
     for seen, true in WIDE_LEGACY:
         table = _byte_of(seen)
         raw = bytearray()
@@ -255,7 +260,7 @@ def line_channel(line: str) -> str | None:
                 raw += b"?"
         got = raw.decode(true, "replace")
         kana = len(KANA.findall(got))
-        if kana >= 4 and kana > 0.2 * sum(c > "\x7f" for c in got) and got.count(LOST) * 8 <= len(got) and KANA.search(line) is None:
+        if kana >= 4 and kana > 0.2 * sum(c > "\x7f" for c in got) and got.count(LOST) * 8 <= len(got):
             return f"{true}>{seen}"
     return None
 
@@ -272,7 +277,10 @@ def _word_counts(docs: DataFrame) -> DataFrame:
 
 def garbled_words(docs: DataFrame) -> DataFrame:
     """word, reading, channel, score of each garbled word of the corpus."""
-    counts = _word_counts(docs).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    # written once: the words are read as garbled and looked up as readings
+    counts = materialize(_word_counts(docs).groupBy("word").agg(F.count(F.lit(1)).alias("n")), "words")
+    # a fixed number of tasks: words are few bytes but costly to read
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2 * docs.sparkSession.sparkContext.defaultParallelism)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -285,7 +293,7 @@ def garbled_words(docs: DataFrame) -> DataFrame:
                 ["word", "n", "channel", "reading", "evidence", "needs", "plain"],
             )
 
-    read_as = counts.mapInArrow(read, "word string, n bigint, channel string, reading string, evidence double, needs boolean, plain boolean")
+    read_as = counts.repartition(tasks).mapInArrow(read, "word string, n bigint, channel string, reading string, evidence double, needs boolean, plain boolean")
     known = counts.select(F.col("word").alias("reading"), F.col("n").alias("m"))
     scored = read_as.join(known, "reading", "left").withColumn("m", F.coalesce("m", F.lit(0)))
     # a reading made of ASCII only is no word of this count; it rests on its evidence
@@ -300,7 +308,7 @@ def garbled_words(docs: DataFrame) -> DataFrame:
         .groupBy("word")
         .agg(F.max(F.struct("score", F.col("m").alias("m"), "reading", "channel", "plain")).alias("b"))
     )
-    found = best.select("word", "b.reading", "b.channel", "b.score", "b.plain")
+    found = materialize(best.select("word", "b.reading", "b.channel", "b.score", "b.plain"), "garbled")
     return found.unionByName(_lost_words(counts).join(found, "word", "left_anti"))
 
 
