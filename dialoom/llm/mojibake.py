@@ -304,7 +304,7 @@ def garbled_words(docs: DataFrame) -> DataFrame:
     best = (
         scored.where(supported)
         .withColumn("score", score)
-        .where(F.col("score") > F.when(legacy, 1.0).otherwise(1.5))
+        .where(F.col("score") > F.when(legacy, 0.4).otherwise(1.5))
         .groupBy("word")
         .agg(F.max(F.struct("score", F.col("m").alias("m"), "reading", "channel", "plain")).alias("b"))
     )
@@ -421,7 +421,7 @@ def find_garbled(docs: DataFrame) -> DataFrame:
                 for h in open_hits:
                     if not h["channel"].startswith("utf-8"):
                         legacy.setdefault(h["channel"].split(">")[0], []).append(h)
-                sure = any(len(v) >= 2 or v[0]["score"] > (3.0 if v[0]["plain"] else 2.5) for v in legacy.values())
+                sure = any((len(v) >= 2 and sum(h["score"] for h in v) > 2.5) or v[0]["score"] > (3.0 if v[0]["plain"] else 2.5) for v in legacy.values())
                 if lines or lost or strong or sure:
                     by: dict[str, list] = {}
                     for h in found or []:

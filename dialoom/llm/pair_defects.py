@@ -20,8 +20,10 @@ from functools import lru_cache
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from . import language
+from .bpe import spread
 
 DEFECTS = ("empty", "copies_prompt", "refusal", "truncated", "other_language")
 
@@ -291,8 +293,6 @@ def flag_pairs(pairs: DataFrame) -> DataFrame:
                     out.append(DEFECTS.index(d))
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(out, pa.int32())], ["prompt_response_id", "rank"])
 
-    from pyspark.sql import functions as F
-
     rows = pairs.where("prompt_response_id is not null").select("prompt_response_id", "prompt_text", "response_text", "response_word_count")
-    flagged = rows.mapInArrow(run, "prompt_response_id string, rank int").groupBy("prompt_response_id").agg(F.min("rank").alias("rank"))
+    flagged = spread(rows).mapInArrow(run, "prompt_response_id string, rank int").groupBy("prompt_response_id").agg(F.min("rank").alias("rank"))
     return flagged.select("prompt_response_id", F.element_at(F.array(*map(F.lit, DEFECTS)), F.col("rank") + 1).alias("defect"))
