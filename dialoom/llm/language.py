@@ -6,6 +6,7 @@ where they can. Code, links, numbers, identifiers and quotations don't count.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 
 import regex
@@ -16,11 +17,12 @@ WORDS = {
     "de": "der die das den dem des ein eine einen einem einer und oder aber nicht kein keine ist sind war waren wird werden hat haben mit für von zu zum zur im in am an auf aus bei nach vor über unter durch ohne um wenn dass ob wie was wer warum weil als auch nur noch schon sehr ich du er sie es wir ihr mich mir dich dir uns sich mein dein sein alle alles jede jeder jedes dieser diese dieses man so es zwischen seit während beim bitte ja nein hier sind punkte schritte gilt zwei paar ganze schreibe schreib erkläre bitte tipps",
     "fr": "le la les un une des du de et ou mais ne pas plus est sont était dans sur sous avec pour par sans chez que qui quoi dont où comment pourquoi quand si ce cet cette ces il elle on nous vous ils elles je tu me te se mon ma mes ton ta tes son sa ses notre votre leur au aux en y aussi très tout toute tous toutes deux avant après pendant puis ensuite donc bref ainsi entre même oui non voici faut peux à près dès chaque écris écrivez explique expliquer idées propos",
     "es": "el la los las un una unos unas y o pero no sí es son era está están en de del al con por para sin sobre entre hasta desde que quien qué cómo cuándo dónde cuál si se su sus mi mis tu tus lo le les me te nos yo tú él ella ellos este esta estos estas ese esa eso esto muy más también además antes después cuando porque ya cada todo toda todos todas dos aquí hay ser fue pan año según escribe escriba explica explícame consejos",
-    "pt": "o a os as um uma uns umas e ou mas não sim é são era está estão em no na nos nas de do da dos das ao à aos às com por pelo pela para sem sobre entre até desde que quem como quando onde qual se seu sua seus suas meu minha eu tu ele ela eles nós você isto isso este esta esse essa muito mais também além antes depois porque já cada todo toda todos todas duas dois aqui há ser foi então porém escreva explique sugestões diga",
+    "pt": "o a os as um uma uns umas e ou mas não sim é são era está estão em no na nos nas de do da dos das ao à aos às com por pelo pela para sem sobre entre até desde que quem como quando onde qual se seu sua seus suas meu minha eu tu ele ela eles nós você isto isso este esta esse essa muito mais também além antes depois porque já cada todo toda todos todas duas dois aqui há ser foi então porém escreva explique explica sugestões diga",
     "pl": "i oraz albo lub ale nie tak jest są był była było w we na do z ze od za po pod nad przed przy przez o u dla bez między że żeby który która które co kto jak kiedy gdzie dlaczego czy jeśli gdy to ta ten te tego tej tym się jej jego ich mój moja twój ja ty on ona my wy oni mi mnie bardzo też także tylko już jeszcze więc każdy każda dwa trzy oto jednak poza następnie potem zawsze prawie napisz wyjaśnij porównaj porad wskazówek podaj",
 }
-SETS = {lang: frozenset(words.split()) for lang, words in WORDS.items()}
-SHARED = Counter(w for words in SETS.values() for w in words)
+SHARED = Counter(w for words in WORDS.values() for w in set(words.split()))
+#: word -> the languages it votes for and the weight of each vote
+VOTES: dict[str, tuple[float, list[str]]] = {w: (1.5 / n, [lang for lang, words in WORDS.items() if w in words.split()]) for w, n in SHARED.items()}
 # Letters that point to a language, and how strongly.
 LETTERS = {
     "de": {"ß": 3.0, "ä": 1.5, "ö": 1.0, "ü": 1.0},
@@ -29,14 +31,20 @@ LETTERS = {
     "pt": {"ã": 3.0, "õ": 3.0, "ç": 0.6, "ê": 0.5, "ô": 1.2, "â": 0.5, "á": 0.3, "ú": 0.3, "í": 0.3, "à": 0.3, "ó": 0.2, "é": 0.2},
     "pl": {"ł": 3.0, "ż": 3.0, "ź": 3.0, "ś": 2.5, "ć": 2.5, "ń": 2.5, "ą": 3.0, "ę": 3.0, "ó": 0.4},
 }
-KANA = regex.compile(r"[\p{Hiragana}\p{Katakana}]")
-HAN = regex.compile(r"\p{Han}")
-CYRILLIC = regex.compile(r"\p{Cyrillic}")
-WORD = regex.compile(r"[\p{L}\p{M}]+")
-ELISION = regex.compile(r"(?<!\p{L})(?:l|d|qu|n|s|c|j|m|t)[’'](?=\p{L}{2})", regex.I)
-ENGLISH_SHORT = regex.compile(r"\p{L}(?:n[’']t|[’'](?:s|re|ve|ll|d|m))(?!\p{L})", regex.I)
+#: letter -> (language, weight) pairs
+LETTER_VOTES: dict[str, list[tuple[str, float]]] = {}
+for _lang, _letters in LETTERS.items():
+    for _letter, _weight in _letters.items():
+        LETTER_VOTES.setdefault(_letter, []).append((_lang, _weight))
+KANA = re.compile("[\u3041-\u30ff]")
+HAN = re.compile("[\u3400-\u9fff]")
+CYRILLIC = re.compile("[\u0400-\u04ff]")
+#: a word; letters beside digits or underscores belong to an identifier
+WORD = re.compile(r"(?<!\w)[^\W\d_]+(?!\w)")
+ELISION = re.compile(r"(?<!\w)(?:l|d|qu|n|s|c|j|m|t)[’'](?=[^\W\d_]{2})")
+ENGLISH_SHORT = re.compile(r"[^\W\d_](?:n[’']t|[’'](?:s|re|ve|ll|d|m))(?!\w)")
 ASIDE = regex.compile(
-    r"```.*?(?:```|\Z)|`[^`\n]*`|https?://\S+|^[ \t]*>.*$|^[ \t]*\|.*$|^[ \t]*[{\[].*[}\]\":,][ \t]*$|“[^”]*”|„[^“”]*[“”]|«[^»]*»|「[^」]*」|\"[^\"\n]*\"|\[\[[^\]]*\]\]|\([^()\n]{0,60}\)|[^\s\p{Han}\p{Hiragana}\p{Katakana}。、（）]*(?:[\p{L}\p{N}]_|\d)[^\s\p{Han}\p{Hiragana}\p{Katakana}。、（）]*|[@#]\S+",
+    r"```.*?(?:```|\Z)|`[^`\n]*`|https?://\S+|^[ \t]*>.*$|^[ \t]*\|.*$|^[ \t]*[{\[].*[}\]\":,][ \t]*$|“[^”]*”|„[^“”]*[“”]|«[^»]*»|「[^」]*」|\"[^\"\n]*\"|\[\[[^\]]*\]\]|\([^()\n]{0,60}\)|[@#]\S+",
     regex.S | regex.M,
 )
 
@@ -49,22 +57,21 @@ def plain(text: str) -> str:
 def scores(text: str) -> dict[str, float]:
     """Evidence for each language in a text already made plain."""
     out: dict[str, float] = {}
-    kana = len(KANA.findall(text))
-    if kana:
-        out["ja"] = 1.5 * kana + len(HAN.findall(text))
-    cyr = len(CYRILLIC.findall(text))
-    if cyr:
-        out["ru"] = 1.0 * cyr
+    if not text.isascii():
+        if kana := len(KANA.findall(text)):
+            out["ja"] = 1.5 * kana + len(HAN.findall(text))
+        if cyr := len(CYRILLIC.findall(text)):
+            out["ru"] = 1.0 * cyr
     low = text.lower()
     for w in WORD.findall(low):
-        if (n := SHARED.get(w)) is not None:
-            for lang, words in SETS.items():
-                if w in words:
-                    out[lang] = out.get(lang, 0.0) + 1.5 / n
-    for lang, letters in LETTERS.items():
-        for c, weight in letters.items():
-            if n := low.count(c):
-                out[lang] = out.get(lang, 0.0) + weight * n
+        if (vote := VOTES.get(w)) is not None:
+            for lang in vote[1]:
+                out[lang] = out.get(lang, 0.0) + vote[0]
+    if not low.isascii():
+        for c in low:
+            if c in LETTER_VOTES:
+                for lang, weight in LETTER_VOTES[c]:
+                    out[lang] = out.get(lang, 0.0) + weight
     if n := len(ELISION.findall(low)):
         out["fr"] = out.get("fr", 0.0) + 1.5 * n
     if n := len(ENGLISH_SHORT.findall(low)):
@@ -82,24 +89,25 @@ def detect(text: str, least: float = 1.4, margin: float = 1.25) -> str | None:
     return ranked[0][0]
 
 
-SENTENCE = regex.compile(r"(?<=[.!?。！？…;:])\s+|(?<=[。！？])|\n+")
+SENTENCE = re.compile(r"(?<=[.!?。！？…;:])\s+|(?<=[。！？])|\n+")
 
 
-def shares(text: str) -> dict[str, int]:
+def shares(text: str, is_plain: bool = False) -> dict[str, int]:
     """Letters of the text's sentences by language; undecided ones left out."""
     out: Counter[str] = Counter()
-    for s in SENTENCE.split(plain(text)):
+    for s in SENTENCE.split(text if is_plain else plain(text)):
         if s and (lang := detect(s)):
             # a letter of a script that writes whole words weighs more
-            out[lang] += sum(map(len, WORD.findall(s))) * (3 if lang == "ja" else 1)
+            out[lang] += sum(map(str.isalpha, s)) * (3 if lang == "ja" else 1)
     return dict(out)
 
 
-def main_language(text: str) -> str | None:
+def main_language(text: str, is_plain: bool = False) -> str | None:
     """The language of most of the text; for texts of one thin sentence, of all."""
-    if by := shares(text):
+    text = text if is_plain else plain(text)
+    if by := shares(text, True):
         lang = max(sorted(by), key=by.__getitem__)
         if 2 * by[lang] > sum(by.values()):
             return lang
         return None
-    return detect(plain(text), 0.9)
+    return detect(text, 0.9)

@@ -14,6 +14,8 @@ length are read whole; repeated rows of a pair give one row.
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -33,7 +35,8 @@ STAND_INS = frozenset(
 )
 BARE_ONLY = frozenset(["none", "error", "pending", "missing", "empty", "blank", "void", "nan", "nil"])
 INVISIBLE = regex.compile(r"[\p{P}\p{Z}\p{C}\p{Sk}\p{Sm}\p{Mn}ᅟᅠㅤﾠ⠀\s]+")
-TOKEN = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]|[\p{L}\p{N}\p{M}]+")
+#: words, and single characters of scripts that don't part them
+TOKEN = re.compile("[\u3041-\u30ff\u3400-\u9fff]|[0-9A-Za-z\u00aa\u00b5\u00ba\u00c0-\u1fff\u2c00-\u2dff\ua640-\ud7ff\uf900-\ufdff]+")
 
 # Refusals; * stands for a topic.
 REFUSALS = (
@@ -81,11 +84,11 @@ ASKS_LANGUAGE = regex.compile(
 CUT_MARK = regex.compile(r"(?:\.\.\.|…|\[\s*(?:…|\.\.\.|truncated|cut off|cut|continued|snip)\s*\]|\(\s*(?:truncated|cut off|continued)\s*\))\s*$", regex.I)
 FULL_STOP = regex.compile(r"[.!?。！？؟\p{Extended_Pictographic}️‍]$")
 CLOSERS = "”»“’\"')]}）」』】*_`>|"
-ITEM = regex.compile(r"^\s*(?:[-*•–]|\d{1,3}[.)．、])(?:\s+|$)(.*)$")
-ANNOUNCED = regex.compile(r"(?<![\d.,#:/v])(\d{1,2})(?![\d.,:/%]\d|\s?%).{0,60}[:：]\s*$")
-URL_END = regex.compile(r"(?:https?://|www\.)\S+$")
-WS = regex.compile(r"\s+")
-SENTENCE = regex.compile(r"(?<=[.!?。！？])\s*|\n+")
+ITEM = re.compile(r"^\s*(?:[-*•–]|\d{1,3}[.)．、])(?:\s+|$)(.*)$")
+ANNOUNCED = re.compile(r"(?<![\d.,#:/v])(\d{1,2})(?![\d.,:/%]\d|\s?%).{0,60}[:：]\s*$")
+URL_END = re.compile(r"(?:https?://|www\.)\S+$")
+WS = re.compile(r"\s+")
+SENTENCE = re.compile(r"(?<=[.!?。！？])\s*|\n+")
 
 
 def tokens(text: str) -> list[str]:
@@ -151,36 +154,46 @@ def copies(prompt: str, response: str) -> bool:
 
 
 @lru_cache(maxsize=1)
-def _templates() -> tuple[list, list]:
-    cut = lambda lines: [(tokens(t.replace("*", " ")), "*" in t) for t in lines]
-    return cut(REFUSALS), cut(COURTESIES)
-
-
-def _aligned(words: list[str], template: list[str], slot: bool) -> bool:
-    """A sentence fits a template: its words in order, few others but a topic."""
-    if len(words) > len(template) + (14 if slot else 2) or len(words) < 0.7 * len(template):
-        return False
-    have = len(template) * (0.9 if slot else 0.8)
-    if len(set(words) & set(template)) < 0.7 * len(set(template)) * (0.9 if slot else 0.8):
-        return False
-    return lcs(template, words) >= have
+def _templates() -> tuple[list[tuple[list[str], bool, bool, float]], dict[str, list[int]]]:
+    """(tokens, has a slot, is a refusal, words to share) and an index by word."""
+    out, index = [], {}
+    for lines, refusal in ((REFUSALS, True), (COURTESIES, False)):
+        for line in lines:
+            words, slot = tokens(line.replace("*", " ")), "*" in line
+            for w in set(words):
+                index.setdefault(w, []).append(len(out))
+            out.append((words, slot, refusal, 0.7 * len(set(words)) * (0.9 if slot else 0.8)))
+    return out, index
+
+
+def _fits(words: list[str]) -> tuple[bool, bool]:
+    """Whether a sentence fits a template of a refusal, of a courtesy.
+
+    It has the template's words in order and few others but a topic.
+    """
+    templates, index = _templates()
+    shared: Counter[int] = Counter()
+    for w in set(words):
+        shared.update(index.get(w, ()))
+    refusal = courtesy = False
+    for i, n in shared.items():
+        template, slot, refuses, least = templates[i]
+        if n < least or not 0.7 * len(template) <= len(words) <= len(template) + (14 if slot else 2):
+            continue
+        if lcs(template, words) >= len(template) * (0.9 if slot else 0.8):
+            refusal, courtesy = refusal or refuses, courtesy or not refuses
+    return refusal, courtesy
 
 
 def is_refusal(response: str) -> bool:
     """Every sentence is a refusal or courtesy, and one is a refusal."""
-    text = response.strip().strip("*_>\"“”#` \n")
-    if len(text) > 600:
-        return False
-    refusals, courtesies = _templates()
     seen = False
-    for s in SENTENCE.split(text):
-        w = tokens(s)
-        if not w:
-            continue
-        if any(_aligned(w, t, slot) for t, slot in refusals):
-            seen = True
-        elif not any(_aligned(w, t, slot) for t, slot in courtesies):
-            return False
+    for s in SENTENCE.split(response.strip().strip("*_>\"“”#` \n")):
+        if w := tokens(s):
+            refusal, courtesy = _fits(w)
+            if not (refusal or courtesy):
+                return False
+            seen = seen or refusal
     return seen
 
 
@@ -246,15 +259,23 @@ def is_truncated(response: str, stored: int | None) -> bool:
     return True
 
 
+@lru_cache(maxsize=10_000)
+def prompt_language(prompt: str) -> str | None:
+    """The language an answer should have; None if unknown or asked for."""
+    plain = language.plain(prompt)
+    if ASKS_LANGUAGE.search(plain) or ASKS_LANGUAGE.search(prompt[: prompt.find(":") + 1]):
+        return None
+    return language.main_language(plain, True)
+
+
 def in_other_language(prompt: str, response: str) -> bool:
-    if ASKS_LANGUAGE.search(language.ASIDE.sub(" ", prompt)) or ASKS_LANGUAGE.search(prompt[: prompt.find(":") + 1]):
-        return False
-    theirs = language.main_language(prompt)
+    theirs = prompt_language(prompt)
     if theirs is None:
         return False
-    by = language.shares(response)
+    plain = language.plain(response)
+    by = language.shares(plain, True)
     if not by:
-        ours = language.detect(language.plain(response), 1.4)
+        ours = language.detect(plain, 1.4)
         return ours is not None and ours != theirs
     other = sum(n for lang, n in by.items() if lang != theirs)
     return 2 * other > sum(by.values())
