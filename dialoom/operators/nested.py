@@ -33,81 +33,57 @@ PLAIN, ELEMENT, KEYED = 0, 1, 2
 NODE = "array<struct<path:string,owner:string,how:int,text:string>>"
 
 
-def _blank_trim(c: Column) -> Column:
-    return F.trim(c, F.lit(" \t\n\r"))
+def _trimmed(text: str) -> str:
+    return rf"trim(BOTH ' \t\n\r' FROM {text})"
 
 
-def _whole(text: Column) -> Column:
-    """Whether ``text`` ends where its first JSON value ends.
+def _opened() -> str:
+    """Parse each container; its text is trimmed already.
 
     The parser stops after the first value, so text that may go on after a
-    closing bracket is read once more as the only element of an array.
+    closing bracket is read once more, as the only element of an array.
     """
-    suspicious = text.rlike(r'[}\]]\s*[^\s,:}\]"]')
-    alone = F.size(F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>", STRICT)) == 1
-    return ~suspicious | F.coalesce(alone, F.lit(False))
+    options = "map(" + ", ".join(f"'{k}', '{v}'" for k, v in STRICT.items()) + ")"
+    whole = rf"""(not n.text rlike r'[}}\]]\s*[^\s,:}}\]"]' or coalesce(size(from_json(concat('[', n.text, ']'), 'array<string>', {options})) = 1, false))"""
+    parse = lambda first, last, kind: f"if(startswith(n.text, '{first}') and endswith(n.text, '{last}') and {whole}, from_json(n.text, '{kind}', {options}), null)"
+    return f"transform(nodes, n -> named_struct('path', n.path, 'owner', n.owner, 'how', n.how, 'text', n.text, 'keys', {parse('{', '}', 'map<string,string>')}, 'items', {parse('[', ']', 'array<string>')}))"
 
 
-def _open(node: Column) -> Column:
-    """Parse a container and say which record, if any, it is."""
-    text = _blank_trim(node["text"])
-    is_map = text.startswith("{") & text.endswith("}")
-    is_list = text.startswith("[") & text.endswith("]")
-    return F.struct(
-        node["path"].alias("path"),
-        node["owner"].alias("owner"),
-        node["how"].alias("how"),
-        node["text"].alias("text"),
-        F.when(is_map & _whole(text), F.from_json(text, "map<string,string>", STRICT)).alias("keys"),
-        F.when(is_list & _whole(text), F.from_json(text, "array<string>", STRICT)).alias("items"),
-    )
+IS_RECORD = f"(n.keys is not null and n.how <> {PLAIN})"
+OWN_PATH = f"if(n.keys is not null and n.how = {KEYED}, concat(n.path, '[0]'), n.path)"
 
 
-def _own_path(n: Column) -> Column:
-    return F.when(n["keys"].isNotNull() & (n["how"] == KEYED), F.concat(n["path"], F.lit("[0]"))).otherwise(n["path"])
+def _records(content: bool) -> str:
+    """The records among opened containers."""
+    more = ", 'record_json', n.text" if content else ""
+    return f"transform(filter(opened, n -> {IS_RECORD}), n -> named_struct('record_path', {OWN_PATH}, 'parent_path', n.owner{more}))"
 
 
-def _is_record(n: Column) -> Column:
-    return n["keys"].isNotNull() & (n["how"] != PLAIN)
-
-
-def _worth(c: Column) -> Column:
-    """Whether a child can be, or hold, a record."""
-    text = _blank_trim(c["text"])
-    inside = text.contains("[") | text.contains("\\") | text.rlike('"(?:' + "|".join(RECORD_KEYS) + ')"')
-    return F.coalesce(text.startswith("[") | (text.startswith("{") & ((c["how"] != PLAIN) | inside)), F.lit(False))
-
-
-def _children(n: Column) -> Column:
-    base = _own_path(n)
-    owner = F.when(_is_record(n), base).otherwise(n["owner"])
-    dotted = F.when(base == "", F.lit("")).otherwise(F.concat(base, F.lit(".")))
-    of_map = F.transform(
-        F.map_entries(n["keys"]),
-        lambda e: F.struct(F.concat(dotted, e["key"]).alias("path"), owner.alias("owner"), F.when(e["key"].isin(*RECORD_KEYS), KEYED).otherwise(PLAIN).alias("how"), e["value"].alias("text")),
-    )
-    of_list = F.transform(
-        n["items"],
-        lambda x, i: F.struct(F.concat(base, F.lit("["), i.cast("string"), F.lit("]")).alias("path"), owner.alias("owner"), F.lit(ELEMENT).alias("how"), x.alias("text")),
-    )
-    none = F.array().cast(NODE)
-    return F.filter(F.coalesce(of_map.cast(NODE), of_list.cast(NODE), none), _worth)
+def _children() -> str:
+    """The children of opened containers that can be, or hold, a record."""
+    quoted = ", ".join(f"'{k}'" for k in RECORD_KEYS)
+    owner = f"if({IS_RECORD}, {OWN_PATH}, n.owner)"
+    dotted = f"if({OWN_PATH} = '', e.key, concat({OWN_PATH}, '.', e.key))"
+    keyed = f"if(e.key in ({quoted}), {KEYED}, {PLAIN})"
+    indexed = f"concat({OWN_PATH}, '[', i, ']')"
+    child = lambda path, how, text: f"named_struct('path', {path}, 'owner', {owner}, 'how', {how}, 'text', {_trimmed(text)})"
+    of_map = f"transform(map_entries(n.keys), e -> {child(dotted, keyed, 'e.value')})"
+    of_list = f"transform(n.items, (x, i) -> {child(indexed, ELEMENT, 'x')})"
+    # a plain object without array, record key or escape inside holds nothing
+    inside = rf"""contains(c.text, '[') or contains(c.text, r'\') or c.text rlike '"(?:{"|".join(RECORD_KEYS)})"' """
+    worth = f"coalesce(startswith(c.text, '[') or (startswith(c.text, '{{') and (c.how <> {PLAIN} or {inside})), false)"
+    return f"filter(flatten(transform(opened, n -> coalesce({of_map}, {of_list}, cast(array() as {NODE})))), c -> {worth})"
 
 
 def _pass(df: DataFrame, keys: list[str], levels: int, content: bool) -> DataFrame:
     """Open ``levels`` levels of ``nodes``; gives records and pending nodes."""
-    found = []
+    found: list[str] = []
+    names = [f"`{k}`" for k in keys]
     for k in range(levels):
-        df = df.withColumn("nodes", F.transform("nodes", _open))
-        df = df.withColumn(
-            f"found{k}",
-            F.transform(
-                F.filter("nodes", _is_record),
-                lambda n: F.struct(_own_path(n).alias("record_path"), n["owner"].alias("parent_path"), *([n["text"].alias("record_json")] if content else [])),
-            ),
-        ).withColumn("nodes", F.flatten(F.transform("nodes", _children)))
+        df = df.selectExpr(*names, *found, f"{_opened()} as opened")
+        df = df.selectExpr(*names, *found, f"{_records(content)} as found{k}", f"{_children()} as nodes")
         found.append(f"found{k}")
-    return df.select(*keys, F.concat(*found).alias("records"), F.col("nodes").alias("pending"))
+    return df.selectExpr(*names, f"concat({', '.join(found)}) as records", "nodes as pending")
 
 
 def flatten_records(df: DataFrame, keys: list[str], json_column: str, content: bool = False, levels: int = LEVELS) -> DataFrame:
@@ -116,8 +92,8 @@ def flatten_records(df: DataFrame, keys: list[str], json_column: str, content: b
     ``content`` adds record_json, the text of the object. ``keys`` name the
     owner's columns to carry along.
     """
-    root = F.array(F.struct(F.lit("").alias("path"), F.lit("").alias("owner"), F.lit(PLAIN).alias("how"), F.col(json_column).alias("text"))).cast(NODE)
-    todo, out = df.select(*keys, root.alias("nodes")), None
+    root = f"array(named_struct('path', '', 'owner', '', 'how', {PLAIN}, 'text', {_trimmed(f'`{json_column}`')})) as nodes"
+    todo, out = df.selectExpr(*[f"`{k}`" for k in keys], root), None
     while True:
         done = materialize(_pass(todo, keys, levels, content), "nested")
         rows = done.select(*keys, F.inline("records"))

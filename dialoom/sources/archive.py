@@ -14,6 +14,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import annotations, annotators, pairs, sync, views
 from . import exports
@@ -53,7 +54,8 @@ class Archive:
     def load(self, name: str) -> DataFrame:
         with open(self._pointer(name)) as f:
             version = json.load(f)
-        return self.spark.read.parquet(os.path.join(self.root, version["path"]))
+        schema = T.StructType.fromJson(version["schema"])
+        return self.spark.read.schema(schema).parquet(os.path.join(self.root, version["path"]))
 
     def save(self, name: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> None:
         """Replace a table; ``df`` may read its present version."""
@@ -65,7 +67,7 @@ class Archive:
                 old = json.load(f)["path"]
         staged = self._pointer(name) + ".new"
         with open(staged, "w") as f:
-            json.dump({"path": path}, f)
+            json.dump({"path": path, "schema": df.schema.jsonValue()}, f)
         os.replace(staged, self._pointer(name))
         if old:
             shutil.rmtree(os.path.join(self.root, old), ignore_errors=True)
