@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
 from ..sources import archive as store
 
 
@@ -18,8 +19,8 @@ def watch_exports(spark: SparkSession, folder: str) -> DataFrame:
 def import_new(archive: store.Archive, folder: str, platform: str, incremental: bool = True):
     """Import all files not taken in yet, then stop; returns the query.
 
-    The stream's checkpoint remembers the files, the archive's keys make a
-    repeated batch harmless.
+    The stream's checkpoint, beside the tables, remembers the files; the
+    archive's keys make a repeated batch harmless.
     """
 
     def take(batch: DataFrame, _: int) -> None:
@@ -28,7 +29,7 @@ def import_new(archive: store.Archive, folder: str, platform: str, incremental:
     return (
         watch_exports(archive.spark, folder)
         .writeStream.foreachBatch(take)
-        .option("checkpointLocation", f"{shared_dir(archive.spark)}/stream-{platform}")
+        .option("checkpointLocation", os.path.join(archive.root, f"stream-{platform}"))
         .trigger(availableNow=True)
         .start()
     )
