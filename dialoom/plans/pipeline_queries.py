@@ -109,4 +109,28 @@ def p5_union(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (p2_found, p2_paths, p2_descendants, p3_found, p3_citations, p4_found, p4_report, p4_scoped, p5_found, p5_table, p5_union)}
 
-ORACLE: dict[str, str] = {}
+_KEY = "nullif(lower(trim({0}, chr(32) || chr(9) || chr(10) || chr(13) || chr(160))), '')"
+_CURRENT = "cm as (select * from (select *, row_number() over (partition by id order by updated_at desc) rn from messages) where rn = 1)"
+_EDGES = f"e as (select coalesce({_KEY.format('dialogue_id')}, '') as scope, {_KEY.format('id')} as id, {_KEY.format('parent_id')} as parent from cm), m as (select e.id, p.id as parent from e left join e p on p.scope = e.scope and p.id = e.parent)"
+_DOWN = "t(id, root, depth) as (select id, id, 0 from m where parent is null union all select m.id, t.root, t.depth + 1 from t join m on m.parent = t.id)"
+_ORPHANS = f"""with {_CURRENT},
+  target as (select {_KEY.format('id')} as k, created_at as made, deleted_at is not null as gone from cm),
+  cp as (select distinct id, message_id, tool_name, tool_use_id from content_parts),
+  parts as (select cp.id, {_KEY.format('tool_use_id')} as use, {_KEY.format('tool_name')} is not null as is_call, t.made, coalesce(t.gone, false) as gone from cp left join target t on t.k = {_KEY.format('message_id')}),
+  refs as (
+    select distinct 'prompt_responses' as ref_table, id as ref_id, {_KEY.format('prompt_message_id')} as k, created_at as made, 0 as tool from prompt_responses
+    union all select 'messages', id, {_KEY.format('parent_id')}, created_at, 0 from cm where deleted_at is null
+    union all select 'content_parts', id, use, made, 1 from parts where not is_call and not gone),
+  targets as (select k, 0 as tool, made, gone from target union all select use, 1, made, gone from parts where is_call and use is not null),
+  best as (select k, tool, bool_and(gone) as all_gone, min(made) filter (where not gone) as first from targets group by 1, 2),
+  found as (
+    select r.ref_table, r.ref_id, case when b.k is null then 'missing' when b.all_gone then 'deleted' when b.first > r.made then 'late' end as orphan_kind, strftime(r.made, '%Y-%m') as ref_month
+    from refs r left join best b on b.k = r.k and b.tool = r.tool where r.k is not null)"""
+#: The same results in SQL; the other queries are compared with plain code in tests.
+ORACLE: dict[str, str] = {
+    "p2_found": f"with recursive {_CURRENT}, {_EDGES}, {_DOWN}, r(a, d) as (select parent, id from m where parent is not null union select r.a, m.id from r join m on m.parent = r.d), n as (select a, count(*) as k from r where a <> d group by 1) select m.id as message_id, coalesce(t.root, '') as root_id, coalesce(t.depth, -1)::int as node_depth, coalesce(n.k, 0)::int as n_descendants from m left join t on t.id = m.id left join n on n.a = m.id",
+    "p2_descendants": f"with recursive {_CURRENT}, {_EDGES}, {_DOWN}, r(a, d, k) as (select parent, id, 1 from m where parent in (select id from t) union all select r.a, m.id, r.k + 1 from r join m on m.parent = r.d) select a as ancestor, d as descendant, k::int as distance from r",
+    "p4_found": _ORPHANS + " select * from found where orphan_kind is not null",
+    "p4_report": _ORPHANS + " select ref_table, ref_month, orphan_kind, count(*) as n_orphans from found where orphan_kind is not null group by 1, 2, 3",
+    "p4_scoped": f"with {_CURRENT}, e as (select id, {_KEY.format('dialogue_id')} as d, {_KEY.format('id')} as k, {_KEY.format('parent_id')} as p from cm) select id as message_id, '11' as null_mask from e where p is not null and d is not null and not exists (select 1 from e t where t.d = e.d and t.k = e.p) union all select id, '01' from e where p is not null and d is null and not exists (select 1 from e t where t.k = e.p)",
+}

@@ -50,8 +50,7 @@ def _raw(s: SparkSession, d: str, platform: str) -> DataFrame:
 
 
 def _imported(s: SparkSession, d: str) -> dict[str, DataFrame]:
-    """Both platforms' tables, their conversations read once."""
-    return exports.import_all({p: materialize(_raw(s, d, p), p) for p in exports.PLATFORMS})
+    return exports.import_all({p: _raw(s, d, p) for p in exports.PLATFORMS})
 
 
 def _pair_store(s: SparkSession, d: str) -> DataFrame:
@@ -133,6 +132,16 @@ RICH_PARTS = "cp as (select distinct id, message_id, dialogue_id, sequence, lowe
 RICH_ROWS = f"{PAIRS}, {CONTENT}, v as (select pr.*, prc.prompt_text, {_marked_sql('prc.response_text', 'prc.prompt_response_id')} as response_text, prc.prompt_word_count, prc.response_word_count from pr left join prc on prc.prompt_response_id = pr.id)"
 WORDS = "case when {0} is null then 0 else len(regexp_split_to_array({0}, '\\s+')) end"
 
+# Row keys are digests of natural keys, in SQL as in Spark.
+CHAT_KEY = "sha256(sha256('chatgpt|' || did) || '|' || mid)"
+CLAUDE_KEY = "sha256(sha256('claude|' || did) || '|' || mid)"
+
+
+def _items(source: str, key: str, path: str) -> str:
+    """(mid_key, ordinal, x): the objects of an array of each message."""
+    return f"(select * from (select {key} as mid_key, unnest(json_extract(b, '{path}[*]')) as x, generate_subscripts(json_extract(b, '{path}[*]'), 1) - 1 as ordinal from {source}) where json_type(x) = 'OBJECT')"
+
+
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
 
@@ -525,13 +534,35 @@ def import_list_parts(s, d):
     return rows.select("source_id", "sequence", "part_type", "tool_name", "tool_use_id", F.when(F.col("part_type").isin("text", "thinking"), F.col("text_content")).alias("text_content"))
 
 
-@query()
+# Both platforms in one statement; the second's names get a prefix.
+BOTH = f"with {CHATGPT}, " + CLAUDE.removeprefix(CURRENT_D + ", ").replace("c as (", "kc as (", 1).replace(", g as (", ", kg as (", 1).replace(" from c)", " from kc)", 1).replace(", n as (", ", kn as (", 1).replace(" from g where", " from kg where", 1).replace("from n where", "from kn where", 1)
+
+
+@query(
+    BOTH
+    + ", w as (select sha256(mid_key || '|0') as content_part_id, ordinal, x from "
+    + _items("gm", CHAT_KEY, "$.metadata.citations")
+    + " where mid_key in (select "
+    + CHAT_KEY
+    + " from gm where json_array_length(b, '$.content.parts') > 0) union all select sha256(part || '|' || seq), ordinal, x from (select mid_key as part, ordinal::varchar as seq, unnest(json_extract(x, '$.citations[*]')) as x, generate_subscripts(json_extract(x, '$.citations[*]'), 1) - 1 as ordinal from "
+    + _items("lm", CLAUDE_KEY, "$.content")
+    + ") where json_type(x) = 'OBJECT') select content_part_id, ordinal::int as ordinal, x->>'uuid' as source_id, coalesce(nullif(x->'details'->>'url', ''), x->>'url') as url, coalesce(nullif(x->'details'->>'type', ''), x->>'type') as citation_type, (x->>'start_index')::int as start_index, (x->>'end_index')::int as end_index from w"
+)
 def import_citations(s, d):
     """Citations of both platforms."""
     return _imported(s, d)["citations"].drop("source_json")
 
 
-@query()
+@query(
+    BOTH
+    + ", w as (select *, false as is_file from "
+    + _items("gm", CHAT_KEY, "$.metadata.attachments")
+    + " union all select *, false from "
+    + _items("lm", CLAUDE_KEY, "$.attachments")
+    + " union all select *, true from "
+    + _items("lm", CLAUDE_KEY, "$.files")
+    + ") select mid_key as message_id, ordinal::int as ordinal, is_file, coalesce(nullif(x->>'name', ''), x->>'file_name') as file_name, coalesce(nullif(x->>'mime_type', ''), nullif(x->>'mimeType', ''), x->>'file_type') as file_type, coalesce(try_cast(x->>'size' as bigint), try_cast(x->>'file_size' as bigint)) as file_size, x->>'extracted_content' as extracted_text from w"
+)
 def import_attachments(s, d):
     """Attachments and files of messages."""
     return _imported(s, d)["attachments"].drop("source_json")
@@ -544,18 +575,25 @@ def import_meta(s, d):
     return exports.chatgpt_meta(m).join(m.select(F.col("id").alias("message_id"), "source_id"), "message_id").select("source_id", "model_slug", "gizmo_id", "status")
 
 
-@query()
+@query(
+    f"with {CHATGPT}, gr as "
+    + _items("gm", CHAT_KEY, "$.metadata.search_result_groups")
+    + ", en as (select mid_key, ordinal, x->>'domain' as domain, unnest(json_extract(x, '$.entries[*]')) as y, generate_subscripts(json_extract(x, '$.entries[*]'), 1) - 1 as sequence from gr) select mid_key as message_id, ordinal::int as group_sequence, domain, sequence::int as sequence, y->>'url' as url, y->>'title' as title from en where json_type(y) = 'OBJECT'"
+)
 def import_search_entries(s, d):
     """Search groups with their entries."""
     t = _imported(s, d)
-    return t["search_groups"].withColumnRenamed("sequence", "group_sequence").join(t["search_entries"].withColumnRenamed("group_id", "id"), "id")
+    rows = t["search_groups"].withColumnRenamed("sequence", "group_sequence").join(t["search_entries"].withColumnRenamed("group_id", "id").select("id", "sequence", "url", "title"), "id")
+    return rows.select("message_id", "group_sequence", "domain", "sequence", "url", "title")
 
 
-@query()
+@query(
+    f"with {CHATGPT}, r as (select {CHAT_KEY} as message_id, b->'metadata'->'aggregate_result' as a from gm where json_type((b->'metadata')->'aggregate_result') = 'OBJECT' and (b->'metadata'->>'aggregate_result') <> '{{}}'), o as (select * from (select message_id, unnest(json_extract(a, '$.messages[*]')) as x, generate_subscripts(json_extract(a, '$.messages[*]'), 1) - 1 as sequence from r) where json_type(x) = 'OBJECT') select r.message_id, a->>'run_id' as run_id, a->>'status' as status, nullif(array_to_string(json_extract_string(a, '$.in_kernel_exception.traceback[*]'), chr(10)), '') as traceback, o.sequence::int as sequence, x->>'message_type' as output_type, coalesce(nullif(x->>'text', ''), x->>'content') as text_content from r left join o on o.message_id = r.message_id"
+)
 def import_code_runs(s, d):
     """Code runs with their outputs."""
     t = _imported(s, d)
-    return t["code_executions"].join(t["code_outputs"], "message_id", "left")
+    return t["code_executions"].join(t["code_outputs"], "message_id", "left").select("message_id", "run_id", "status", "traceback", "sequence", "output_type", "text_content")
 
 
 @query()
@@ -576,7 +614,10 @@ def import_annotations(s, d):
     return _imported(s, d)["annotations"]
 
 
-@query()
+CANVAS = f"with {CHATGPT}, cv as (select mid, sha256({CHAT_KEY} || '|canvas') as content_part_id, {CHAT_KEY} as message_id, coalesce(case when json_type(b->'metadata'->'canvas') = 'OBJECT' then b->'metadata'->'canvas' end, case when json_type(b->'canvas') = 'OBJECT' then b->'canvas' end) as x from gm), cd2 as (select content_part_id, message_id, x->>'textdoc_id' as textdoc_id, (x->>'version')::int as version, x->>'title' as title from cv where x is not null)"
+
+
+@query(CANVAS + " select textdoc_id, content_part_id, message_id, version, title from (select *, row_number() over (partition by textdoc_id order by coalesce(version, -1) desc, content_part_id desc) as r from cd2 where textdoc_id is not null) where r = 1")
 def canvas_latest(s, d):
     """The newest version of each canvas document."""
     return exports.latest_canvas(_imported(s, d)["canvas_docs"])

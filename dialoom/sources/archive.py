@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import annotations, annotators, pairs, sync, views
+from ..session import materialize
 from . import exports
 
 TABLES = ("dialogues", "messages", "content_parts", "citations", "attachments", "chatgpt_message_meta", "claude_message_meta", "search_groups", "search_entries", "code_executions", "code_outputs", "dalle_generations", "canvas_docs", "prompt_responses", "prompt_response_content", "annotations", "annotator_cursors")
@@ -84,13 +85,14 @@ def import_into(archive: Archive, raw: DataFrame, platform: str, assume_immutabl
     Conversations that can't be read are counted as failed and don't keep the
     others out. Returns the counters.
     """
-    tables = exports.import_export(raw, platform)
+    tables = exports.import_export(raw, platform, materialize)
     now = F.current_timestamp()
     incoming = _plain(tables["messages"]).withColumn("deleted_at", F.lit(None).cast("timestamp"))
     stored_d = archive.load("dialogues") if archive.has("dialogues") else tables["dialogues"].limit(0)
     stored_m = archive.load("messages") if archive.has("messages") else incoming.limit(0)
     of_dialogue = sync.dialogue_actions(stored_d, tables["dialogues"])
-    of_message = sync.message_actions(stored_m, incoming, of_dialogue, assume_immutable, incremental)
+    of_dialogue = materialize(of_dialogue, "dialogues")
+    of_message = materialize(sync.message_actions(stored_m, incoming, of_dialogue, assume_immutable, incremental), "actions")
     counts = {r["counter"]: r["n"] for r in sync.import_counts(of_dialogue, of_message, tables["rejected"]).collect()}
     if not (counts["dialogues_new"] or counts["dialogues_updated"]):
         return counts

@@ -15,6 +15,7 @@ a message gives a NULL parent; empty arrays give no children.
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -424,13 +425,18 @@ def messages_with_gizmo(messages: DataFrame, gizmo_id: str) -> DataFrame:
     return chatgpt_meta(messages).where(F.col("gizmo_id") == gizmo_id).select("message_id")
 
 
-def import_export(raw: DataFrame, platform: str) -> dict[str, DataFrame]:
-    """All tables of one platform's conversations (column source_json)."""
+def import_export(raw: DataFrame, platform: str, keep: Callable[[DataFrame, str], DataFrame] | None = None) -> dict[str, DataFrame]:
+    """All tables of one platform's conversations (column source_json).
+
+    ``keep`` (such as ``materialize``) stores messages and parts, on which all
+    other tables hang, so that several of them don't parse the export again.
+    """
     if platform not in PLATFORMS:
         raise ValueError(f"platform must be one of {PLATFORMS}")
     dialogues = chatgpt_dialogues(raw) if platform == "chatgpt" else claude_dialogues(raw)
-    messages = chatgpt_messages(dialogues) if platform == "chatgpt" else claude_messages(dialogues)
-    parts = content_parts(messages)
+    keep = keep or (lambda df, _: df)
+    messages = keep(chatgpt_messages(dialogues) if platform == "chatgpt" else claude_messages(dialogues), "messages")
+    parts = keep(content_parts(messages), "parts")
     groups, runs, docs = search_groups(messages), code_executions(messages), canvas_docs(parts)
     return {
         "dialogues": dialogues.where("source_id is not null").select(row_key("source", "source_id").alias("id"), "source", "source_id", "title", "created_at", "updated_at", "source_json"),
@@ -451,11 +457,11 @@ def import_export(raw: DataFrame, platform: str) -> dict[str, DataFrame]:
     }
 
 
-def import_all(raws: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def import_all(raws: dict[str, DataFrame], keep: Callable[[DataFrame, str], DataFrame] | None = None) -> dict[str, DataFrame]:
     """The tables of several platforms, united."""
     out: dict[str, DataFrame] = {}
     for platform, raw in raws.items():
-        for name, df in import_export(raw, platform).items():
+        for name, df in import_export(raw, platform, keep).items():
             out[name] = df if name not in out else out[name].unionByName(df)
     return out
 
