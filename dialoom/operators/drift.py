@@ -37,8 +37,9 @@ def json_type(value: Column) -> Column:
     )
 
 
-def fields_of(df: DataFrame, keys: list[str], json_column: str, values: bool = False) -> DataFrame:
-    """One row per present field: keys, field, type, digest (and value).
+def with_fields(df: DataFrame, keys: list[str], json_column: str, values: bool = False) -> DataFrame:
+    """Keys and ``fields``, the array of present fields: field, type, digest
+    (and value).
 
     Fields are the top-level keys and, as ``a.b``, the keys of top-level
     objects that are not opaque. ``digest`` identifies the value: equal JSON
@@ -46,8 +47,8 @@ def fields_of(df: DataFrame, keys: list[str], json_column: str, values: bool = F
     """
 
     def entry(name: Column, value: Column, opaque: Column) -> Column:
-        text = F.when(~opaque, F.to_json(value))
-        return F.struct(name.alias("field"), json_type(value).alias("type"), F.md5(text).alias("digest"), *([text.alias("value")] if values else []))
+        text = F.to_json(value)
+        return F.struct(name.alias("field"), json_type(value).alias("type"), F.md5(F.when(~opaque, text)).alias("digest"), *([text.alias("value")] if values else []))
 
     def nested(e: Column) -> Column:
         inner = F.when(~e["key"].isin(*OPAQUE_KEYS), e["value"].try_cast("map<string,variant>"))
@@ -56,7 +57,12 @@ def fields_of(df: DataFrame, keys: list[str], json_column: str, values: bool = F
     empty = F.array().cast("array<struct<field:string,type:string,digest:string" + (",value:string" if values else "") + ">>")
     rows = df.select(*keys, F.map_entries(F.from_json(json_column, "map<string,variant>")).alias("__e"))
     both = F.concat(F.transform("__e", lambda e: entry(e["key"], e["value"], e["key"].isin(*OPAQUE_KEYS))), F.flatten(F.transform("__e", nested)))
-    return rows.select(*keys, F.inline(F.filter(both, lambda f: f["type"].isNotNull())))
+    return rows.select(*keys, F.coalesce(F.filter(both, lambda f: f["type"].isNotNull()), empty).alias("fields"))
+
+
+def fields_of(df: DataFrame, keys: list[str], json_column: str, values: bool = False) -> DataFrame:
+    """One row per present field: keys, field, type, digest (and value)."""
+    return with_fields(df, keys, json_column, values).select(*keys, F.inline("fields"))
 
 
 def prior_exports(exports: DataFrame) -> DataFrame:
@@ -152,6 +158,69 @@ def schema_changes(dialogues: DataFrame, parts: DataFrame, exports: DataFrame) -
     return field_changes(fields, exports).unionByName(value_changes(parts, exports))
 
 
+MAX_NAMES = 100_000
+
+
+def canonical_names(changes: DataFrame, fields: DataFrame, least: int = 2, share: float = 0.2) -> dict[str, str]:
+    """One name for each set of field names that rename each other.
+
+    Renames are counted over all exports; a pair counts as one field if it was
+    reported at least ``least`` times and in at least ``share`` of the renames
+    of both names, which leaves out values that were equal by chance. The name
+    most dialogues have stands for the set. Works on names and their counts,
+    which schemas bound; more than MAX_NAMES pairs raise ValueError.
+    """
+    pairs = changes.where("change_kind = 'renamed' and not startswith(field_name, 'part_type=')").groupBy("field_name", "prior_name").agg(F.count(F.lit(1)).alias("n"))
+    rows = pairs.limit(MAX_NAMES + 1).collect()
+    if len(rows) > MAX_NAMES:
+        raise ValueError(f"more than {MAX_NAMES} pairs of names: these are data, not schema")
+    both: dict[frozenset, int] = {}
+    total: dict[str, int] = {}
+    for a, b, n in rows:
+        both[frozenset((a, b))] = both.get(frozenset((a, b)), 0) + n
+        total[a], total[b] = total.get(a, 0) + n, total.get(b, 0) + n
+    names = {x for pair in both for x in pair}
+    seen = {r[0]: r[1] for r in fields.where(F.col("field").isin(*names)).groupBy("field").agg(F.count(F.lit(1)).alias("n")).collect()} if names else {}
+    head = {x: x for x in names}
+
+    def top(x: str) -> str:
+        while head[x] != x:
+            x = head[x]
+        return x
+
+    for pair, n in sorted(both.items(), key=lambda x: sorted(x[0])):
+        a, b = sorted(pair)
+        if n >= least and n >= share * max(total[a], total[b]):
+            first, second = sorted((top(a), top(b)), key=lambda x: (-seen.get(x, 0), x))
+            head[second] = first
+    return {x: top(x) for x in names if top(x) != x}
+
+
+def wide_table(df: DataFrame, keys: list[str], json_column: str, names: dict[str, str] | None = None) -> DataFrame:
+    """All files as one table with a column per field, in canonical text.
+
+    Columns are the fused schema's fields under their canonical names, sorted,
+    with ``__`` for the dot; a field that clashes with a key gets the prefix
+    ``field_``. Of a row with a field under two names the present one counts,
+    the canonical first. Rows stay where they are.
+    """
+    names = names or {}
+    found = sorted(r[0] for r in fields_of(df, [], json_column).select("field").distinct().limit(MAX_NAMES + 1).collect())
+    if len(found) > MAX_NAMES:
+        raise ValueError(f"more than {MAX_NAMES} fields: these are data, not schema")
+    groups: dict[str, list[str]] = {}
+    for f in found:
+        groups.setdefault(names.get(f, f), []).append(f)
+    # of a key that an object repeats the first value counts
+    plain = "if(f.type = 'string', from_json(concat('[', f.value, ']'), 'array<string>')[0], f.value)"
+    first = "filter(fields, (f, i) -> array_position(transform(fields, x -> x.field), f.field) = i + 1)"
+    rows = with_fields(df, keys, json_column, values=True)
+    rows = rows.select(*keys, F.expr(f"map_from_entries(transform({first}, f -> struct(f.field, {plain})))").alias("__by"))
+    column = lambda f: f"field_{f}" if f in keys else f.replace(".", "__")
+    text = lambda f: F.element_at("__by", F.lit(f))
+    return rows.select(*keys, *[F.coalesce(*[text(f) for f in sorted(fs, key=lambda x: (x != name, x))]).alias(column(name)) for name, fs in sorted(groups.items())])
+
+
 def consistent_table(df: DataFrame, keys: list[str], json_column: str, renames: DataFrame | None = None) -> DataFrame:
     """All files as one table: keys, field, type, typed branches, canonical text.
 

@@ -97,9 +97,23 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return drift.schema_changes(table(spark, d, "dialogues"), table(spark, d, "content_parts"), table(spark, d, "exports"))
 
 
+def _named_fields(spark: SparkSession, d: str) -> tuple[DataFrame, dict[str, str]]:
+    rows = table(spark, d, "dialogues").select("export_id", F.col("id").alias("dialogue_id"), "updated_at", "source_json")
+    fields = materialize(drift.fields_of(rows, ["export_id", "dialogue_id"], "source_json"), "fields")
+    return rows, drift.canonical_names(drift.field_changes(fields, table(spark, d, "exports")), fields)
+
+
 def p5_table(spark: SparkSession, d: str) -> DataFrame:
     """All dialogue files as one table of typed branches."""
-    return drift.consistent_table(table(spark, d, "dialogues").select("export_id", F.col("id").alias("dialogue_id"), "source_json"), ["export_id", "dialogue_id"], "source_json")
+    rows, names = _named_fields(spark, d)
+    renames = spark.createDataFrame(sorted((now, old) for old, now in names.items()), "field_name string, prior_name string")
+    return drift.consistent_table(rows, ["export_id", "dialogue_id"], "source_json", renames)
+
+
+def p5_wide(spark: SparkSession, d: str) -> DataFrame:
+    """All dialogue files as one table with a column per field."""
+    rows, names = _named_fields(spark, d)
+    return drift.wide_table(rows, ["export_id", "dialogue_id", "updated_at"], "source_json", names)
 
 
 def p5_union(spark: SparkSession, d: str) -> DataFrame:
@@ -107,7 +121,7 @@ def p5_union(spark: SparkSession, d: str) -> DataFrame:
     return drift.union_schema(table(spark, d, "dialogues"), "source_json")
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_paths, p2_descendants, p3_found, p3_citations, p4_found, p4_report, p4_scoped, p5_found, p5_table, p5_union)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_paths, p2_descendants, p3_found, p3_citations, p4_found, p4_report, p4_scoped, p5_found, p5_table, p5_wide, p5_union)}
 
 _KEY = "nullif(lower(trim({0}, chr(32) || chr(9) || chr(10) || chr(13) || chr(160))), '')"
 _CURRENT = "cm as (select * from (select *, row_number() over (partition by id order by updated_at desc) rn from messages) where rn = 1)"

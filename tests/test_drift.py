@@ -53,3 +53,18 @@ def test_consistent_table(spark):
     by = {(r["id"], r["field"], r["type"]): r for r in rows}
     assert by["d3", "n", "string"]["as_string"] == "1" and by["d2", "n", "number"]["as_number"] == 1.0 and by["d1", "flag", "boolean"]["as_boolean"] is True
     assert by["d3", "n", "string"]["canonical"] == by["d2", "n", "number"]["canonical"] == "1" and json.loads(by["d3", "o", "array"]["as_json"]) == [1]
+
+
+def test_canonical_names(spark):
+    changes = spark.createDataFrame([(1, "renamed", "name", "title"), (2, "renamed", "title", "name"), (3, "renamed", "name", "title"), (3, "renamed", "flag", "title"), (4, "renamed", "part_type=a", "part_type=b"), (4, "added", "z", ""), (5, "renamed", "label", "name"), (6, "renamed", "label", "name")], "export_id bigint, change_kind string, field_name string, prior_name string")
+    fields = spark.createDataFrame([(f, i) for i, f in enumerate(["name", "title", "title", "label", "flag"])], "field string, i int")
+    assert drift.canonical_names(changes, fields) == {"name": "title", "label": "title"}
+    assert drift.canonical_names(changes.limit(0), fields) == {}
+
+
+def test_wide_table(spark):
+    d, _, _ = frames(spark, [(1, "a", {"title": "t", "id": 7, "s": {"x": [1, {"b": 2, "a": 1}]}, "n": 1.0, "k": None}), (2, "b", {"name": "u", "title": None, "mapping": {"deep": 1}, "n": "1", "s": 5}), (3, "c", None), (3, "d", "[1]")], [])
+    rows = {r["id"]: r for r in drift.wide_table(d, ["export_id", "id"], "source_json", {"name": "title"}).collect()}
+    assert list(rows["a"].asDict()) == ["export_id", "id", "field_id", "mapping", "n", "s", "s__x", "title"]
+    assert rows["a"]["title"] == "t" and rows["b"]["title"] == "u" and rows["a"]["n"] == rows["b"]["n"] == "1" and rows["a"]["field_id"] == "7"
+    assert json.loads(rows["a"]["s__x"]) == [1, {"a": 1, "b": 2}] and rows["b"]["s"] == "5" and rows["c"]["title"] is None and len(rows) == 4
