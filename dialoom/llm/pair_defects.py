@@ -74,7 +74,7 @@ ASKS_REPEAT = regex.compile(
     regex.I,
 )
 ASKS_REFUSAL = regex.compile(
-    r"\b(?:decline|refus(?:e|al)|reject(?:ion)?|turn(?:ing)? down|cancel)\b[^.?!]*\b(?:invitation|offer|request|note|letter|email|message|politely|proposal)|(?:note|letter|email|message|reply|answer|write)\b[^.?!]*\b(?:declin|refus|reject|turn(?:ing)? down)|absage|ablehnung|(?:lettre|mot|message|note|refus)\b[^.?!]*\b(?:refus|déclin)|refus poli|rechaz[^.?!]*invitaci|nota[^.?!]*(?:rechaz|declin|recus)|negativa|recus[^.?!]*convite|odmow|odmówi|odmaw|отказ|断る|お断り|辞退",
+    r"\b(?:decline|refus(?:e|al)|reject(?:ion)?|turn(?:ing)? down|cancel)\b[^.?!]*\b(?:invitation|offer|request|note|letter|email|message|politely|proposal)|\b(?:write|draft|compose|prepare|formulate|word|phrase)\b[^.?!]*\b(?:declin|refus|reject|turn(?:ing)? down)|absage|ablehnung|(?:lettre|mot|message|note|refus)\b[^.?!]*\b(?:refus|déclin)|refus poli|rechaz[^.?!]*invitaci|nota[^.?!]*(?:rechaz|declin|recus)|negativa|recus[^.?!]*convite|odmow|odmówi|odmaw|отказ|断る|お断り|辞退",
     regex.I,
 )
 ASKS_LANGUAGE = regex.compile(
