@@ -37,9 +37,12 @@ def json_type(value: Column) -> Column:
     )
 
 
-def with_fields(df: DataFrame, keys: list[str], json_column: str, values: bool = False) -> DataFrame:
-    """Keys and ``fields``, the array of present fields: field, type, digest
-    (and value).
+def _opened(df: DataFrame, keys: list[str], json_column: str) -> DataFrame:
+    return df.select(*keys, F.map_entries(F.from_json(json_column, "map<string,variant>")).alias("__e"))
+
+
+def _present(values: bool) -> Column:
+    """The present fields of opened JSON: field, type, digest (and value).
 
     Fields are the top-level keys and, as ``a.b``, the keys of top-level
     objects that are not opaque. ``digest`` identifies the value: equal JSON
@@ -55,14 +58,17 @@ def with_fields(df: DataFrame, keys: list[str], json_column: str, values: bool =
         return F.coalesce(F.transform(F.map_entries(inner), lambda x: entry(F.concat(e["key"], F.lit("."), x["key"]), x["value"], F.lit(False))), empty)
 
     empty = F.array().cast("array<struct<field:string,type:string,digest:string" + (",value:string" if values else "") + ">>")
-    rows = df.select(*keys, F.map_entries(F.from_json(json_column, "map<string,variant>")).alias("__e"))
     both = F.concat(F.transform("__e", lambda e: entry(e["key"], e["value"], e["key"].isin(*OPAQUE_KEYS))), F.flatten(F.transform("__e", nested)))
-    return rows.select(*keys, F.coalesce(F.filter(both, lambda f: f["type"].isNotNull()), empty).alias("fields"))
+    return F.filter(both, lambda f: f["type"].isNotNull())
 
 
 def fields_of(df: DataFrame, keys: list[str], json_column: str, values: bool = False) -> DataFrame:
-    """One row per present field: keys, field, type, digest (and value)."""
-    return with_fields(df, keys, json_column, values).select(*keys, F.inline("fields"))
+    """One row per present field: keys, field, type, digest (and value).
+
+    The array is made inside ``inline``: as a column of its own it would be
+    made twice, once for the filter that is inferred from the generator.
+    """
+    return _opened(df, keys, json_column).select(*keys, F.inline(_present(values)))
 
 
 def prior_exports(exports: DataFrame) -> DataFrame:
@@ -214,7 +220,7 @@ def wide_table(df: DataFrame, keys: list[str], json_column: str, names: dict[str
     # of a key that an object repeats the first value counts
     plain = "if(f.type = 'string', from_json(concat('[', f.value, ']'), 'array<string>')[0], f.value)"
     first = "filter(fields, (f, i) -> array_position(transform(fields, x -> x.field), f.field) = i + 1)"
-    rows = with_fields(df, keys, json_column, values=True)
+    rows = _opened(df, keys, json_column).select(*keys, _present(True).alias("fields"))
     rows = rows.select(*keys, F.expr(f"map_from_entries(transform({first}, f -> struct(f.field, {plain})))").alias("__by"))
     column = lambda f: f"field_{f}" if f in keys else f.replace(".", "__")
     text = lambda f: F.element_at("__by", F.lit(f))
