@@ -17,7 +17,7 @@ restored if the corpus has one word that fits around it.
 Defined results: NULL, empty and sound texts give no row; a garbled sequence
 whose right form stands beside it in the same line is a citation, and a
 document with nothing but citations gives no row; repeated texts are judged
-alike; whole texts of any length are read.
+alike, and a garbled word's copies count once; whole texts of any length are read.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from functools import lru_cache
 
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -61,12 +61,16 @@ LEGACY = tuple(
 )
 WIDE_LEGACY = tuple((seen, true) for seen in ("cp1252", "latin-1", "mac_roman", "cp437", "cp850", "cp1250", "cp1251", "koi8-r") for true in ("cp932", "euc_jp"))
 BEAM = 12
+# Fixed value: copies of a text that support its words as right ones.
+COPIES = 6
 LOST = "�"
 # A word: ASCII letters and everything beyond ASCII but wide blanks and marks.
 WORD_CLASS = r"[A-Za-z\u0080-῿‐-‧‰-⿿〃-￿\U00010000-\U0010ffff]+"
 JAVA_WORD = r"[A-Za-z\x{0080}-\x{1fff}\x{2010}-\x{2027}\x{2030}-\x{2fff}\x{3003}-\x{ffff}\x{10000}-\x{10ffff}]+"
 WORD = regex.compile(WORD_CLASS)
 KANA = regex.compile("[\u3041-\u30fe]")
+# No right word: two and more Latin letters, none of them plain.
+DENSE = regex.compile(r"(?:(?![A-Za-z])\p{Latin}){2,}")
 NATURAL = regex.compile(r"(?:\p{Lu}?[\p{Ll}\p{Lo}\p{M}’']+|\p{Lu}+)(?:[-’'](?:\p{Lu}?[\p{Ll}\p{Lo}\p{M}]+|\p{Lu}+))*")
 # Marks that stand sound beside a garbled word.
 TYPOGRAPHIC = "“”„‘’«»—–…。、"
@@ -206,14 +210,18 @@ def _wide(word: str, code: str) -> tuple[str, int, int] | None:
     return None
 
 
-def readings(word: str) -> list[tuple[str, str, float, bool]]:
-    """(channel, reading, structural evidence, needs frequencies) of a word."""
-    out: dict[str, tuple[str, str, float, bool]] = {}
+def readings(word: str) -> list[tuple[str, str, float, bool, bool]]:
+    """(channel, reading, structural evidence, needs frequencies, clear) of a word.
+
+    A clear reading is garbled by its structure alone, however rare its words.
+    """
+    out: dict[str, tuple[str, str, float, bool, bool]] = {}
     plain = natural(word)
 
-    def add(channel: str, text: str, evidence: float, needs: bool) -> None:
+    def add(channel: str, text: str, evidence: float, needs: bool, whole: bool = False) -> None:
         if text != word and (text not in out or out[text][2] < evidence):
-            out[text] = (channel, text, evidence, needs)
+            clear = not needs and channel.startswith("utf-8") and evidence > (1.5 if whole else 2.4)
+            out[text] = (channel, text, evidence, needs, clear)
 
     def utf8(text: str, prefix: str, base: float, depth: int) -> None:
         for code in SEEN_AS:
@@ -223,9 +231,10 @@ def readings(word: str) -> list[tuple[str, str, float, bool]]:
                 wide = sum(len(c.encode()) - 1 for c in got if c > "\x7f")
                 evidence = base + 2.0 * min(done, 4) + 0.5 * min(wide, 8) - min(cost, 4.0) - 0.3 * min(guessed, 5)
                 kept = sum(1 for c in got if c > "\x7f" and c not in TYPOGRAPHIC) - done
+                whole = sum(c > "\x9f" for c in got) == done
                 if evidence > 0 and kept <= done:
                     # natural words and few, guessed bytes need the corpus's support
-                    add(prefix + code, got, evidence, plain and (done < 4 or not KANA.search(got)))
+                    add(prefix + code, got, evidence, plain and (done < 4 or not KANA.search(got)), whole)
                     if depth and not guessed and any(c > "\x7f" for c in got):
                         utf8(got, prefix + code + "+", evidence, depth - 1)
 
@@ -238,7 +247,7 @@ def readings(word: str) -> list[tuple[str, str, float, bool]]:
     if len(word) >= 2 and LOST not in word and max(word) < "⺀":
         for seen, true in LEGACY:
             got = _through(word, seen, true)
-            if got and got != word and all(c < "\x80" or _cost(c) is not None for c in got) and sum(c.isalpha() for c in got) >= 0.6 * len(got):
+            if got and got != word and not DENSE.fullmatch(got) and all(c < "\x80" or _cost(c) is not None for c in got) and sum(c.isalpha() for c in got) >= 0.6 * len(got):
                 add(f"{true}>{seen}", got, 0.0, True)
     return list(out.values())
 
@@ -269,16 +278,33 @@ SUSPECT_LINE = r"(?:[\x{0080}-\x{00ff}\x{0152}-\x{0192}\x{02c6}-\x{02dc}\x{03a9}
 LOST_IN_WORD = r"\p{L}\x{fffd}|\x{fffd}\p{L}"
 
 
+def _words(text: str) -> Column:
+    return F.array_distinct(F.filter(F.regexp_extract_all(text, F.lit(f"({JAVA_WORD})"), 1), lambda w: w.rlike(r"[^\x00-\x7f]")))
+
+
 def _word_counts(docs: DataFrame) -> DataFrame:
     """(doc_id, word): the distinct words with non-ASCII characters."""
-    words = F.array_distinct(F.filter(F.regexp_extract_all("text", F.lit(f"({JAVA_WORD})"), 1), lambda w: w.rlike(r"[^\x00-\x7f]")))
-    return docs.select("doc_id", F.explode(words).alias("word"))
+    return docs.select("doc_id", F.explode(_words("text")).alias("word"))
+
+
+def _corpus_words(docs: DataFrame) -> DataFrame:
+    """(word, n, documents): its distinct texts, and its documents with few copies of each.
+
+    Copies are reduced before the shuffle, so a text of a third of all rows
+    counts, and costs, once a task.
+    """
+    once = docs.select(F.md5("text").alias("digest"), _words("text").alias("words")).where(F.size("words") > 0).groupBy("digest").agg(F.first("words").alias("words"), F.count(F.lit(1)).alias("copies"))
+    return once.select(F.explode("words").alias("word"), "copies").groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.sum(F.least("copies", F.lit(COPIES))).alias("documents"))
 
 
 def garbled_words(docs: DataFrame) -> DataFrame:
-    """word, reading, channel, score of each garbled word of the corpus."""
+    """word, reading, channel, score of each garbled word of the corpus.
+
+    A garbled word counts by its distinct texts, so no copies outweigh the
+    documents with the right word.
+    """
     # written once: the words are read as garbled and looked up as readings
-    counts = materialize(_word_counts(docs).groupBy("word").agg(F.count(F.lit(1)).alias("n")), "words")
+    counts = materialize(_corpus_words(docs), "words")
     # a fixed number of tasks: words are few bytes but costly to read
     tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2 * docs.sparkSession.sparkContext.defaultParallelism)
 
@@ -286,20 +312,23 @@ def garbled_words(docs: DataFrame) -> DataFrame:
         for b in batches:
             rows: list[tuple] = []
             for word, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                rows += [(word, n, ch, got, ev, needs, natural(word)) for ch, got, ev, needs in readings(word)]
-            cols = list(zip(*rows)) or [[]] * 7
+                rows += [(word, n, ch, got, ev, needs, clear, natural(word)) for ch, got, ev, needs, clear in readings(word)]
+            cols = list(zip(*rows)) or [[]] * 8
             yield pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string()), pa.array(cols[3], pa.string()), pa.array(cols[4], pa.float64()), pa.array(cols[5], pa.bool_()), pa.array(cols[6], pa.bool_())],
-                ["word", "n", "channel", "reading", "evidence", "needs", "plain"],
+                [pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string()), pa.array(cols[3], pa.string()), pa.array(cols[4], pa.float64()), pa.array(cols[5], pa.bool_()), pa.array(cols[6], pa.bool_()), pa.array(cols[7], pa.bool_())],
+                ["word", "n", "channel", "reading", "evidence", "needs", "clear", "plain"],
             )
 
-    read_as = counts.repartition(tasks).mapInArrow(read, "word string, n bigint, channel string, reading string, evidence double, needs boolean, plain boolean")
-    known = counts.select(F.col("word").alias("reading"), F.col("n").alias("m"))
+    read_as = counts.select("word", "n").repartition(tasks).mapInArrow(read, "word string, n bigint, channel string, reading string, evidence double, needs boolean, clear boolean, plain boolean")
+    known = counts.select(F.col("word").alias("reading"), F.col("documents").alias("m"))
     scored = read_as.join(known, "reading", "left").withColumn("m", F.coalesce("m", F.lit(0)))
     # a reading made of ASCII only is no word of this count; it rests on its evidence
     gain = F.log((F.col("m") + 0.5) / (F.col("n") + 0.5))
     legacy = ~F.col("channel").startswith("utf-8")
-    score = F.when(legacy, gain + F.when(F.col("plain"), -0.5).otherwise(0.5)).otherwise(F.col("evidence") + gain)
+    # what is garbled by its structure is found however common it is: the right
+    # words' frequencies choose among its readings only
+    chosen = F.col("evidence") + F.when(F.col("clear"), F.log(2 * F.col("m") + 1)).otherwise(gain)
+    score = F.when(legacy, gain + F.when(F.col("plain"), -0.5).otherwise(0.5)).otherwise(chosen)
     supported = F.when(legacy, (F.col("m") >= 3) & (F.col("m") >= 3 * F.col("n"))).when(F.col("needs"), (F.col("m") >= 2) & (F.col("m") >= 3 * F.col("n"))).otherwise(F.lit(True))
     best = (
         scored.where(supported)
@@ -319,7 +348,7 @@ def _lost_words(counts: DataFrame) -> DataFrame:
     """
     masked = F.regexp_replace("word", r"[^\x00-\x7f]", LOST)
     lost = counts.where(F.col("word").contains(LOST) & F.col("word").rlike("[A-Za-z].*[A-Za-z]")).withColumn("mask", masked)
-    whole = counts.where(~F.col("word").contains(LOST)).select(masked.alias("mask"), F.col("word").alias("reading"), F.col("n").alias("m"))
+    whole = counts.where(~F.col("word").contains(LOST)).select(masked.alias("mask"), F.col("word").alias("reading"), F.col("documents").alias("m"))
     fits = lost.join(whole, "mask").groupBy("word", "n").agg(F.max(F.struct("m", "reading")).alias("b")).where("b.m >= 2")
     return fits.select("word", "b.reading", F.lit("utf-8>lost").alias("channel"), F.log((F.col("b.m") + 0.5) / (F.col("n") + 0.5)).alias("score"), F.lit(False).alias("plain"))
 

@@ -54,6 +54,14 @@ def test_garbled_and_sound(spark):
     assert got[6] == right[3] and got[7] == right[0] and got[13] == "Most is sound, but the café is not."
 
 
+def test_copies_and_rare_words(spark):
+    copies = [garble(SOUND[3], "cp1252", "cp1251")] * 40
+    rare = ["Only " + garble("Qvärnö", "cp1252") + f" is wrong, {i}." for i in range(30)] + ["At 30 " + garble("°C", "cp1252") + " it melts."] * 20
+    got = found(spark, [*copies, *rare, "Я» и «В…» здесь"])
+    assert set(got) == set(range(90))
+    assert all(got[i] == SOUND[3] for i in range(40)) and all(got[i] == f"Only Qvärnö is wrong, {i - 40}." for i in range(40, 70))
+
+
 def test_lost_bytes():
     text = "Соседка"
     seen = "".join(bytes([b]).decode("cp1252", "replace") for b in text.encode())
