@@ -388,6 +388,12 @@ def registry_counts(s, d):
     return store.groupBy("value_type").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query()
+def registry_counts_all(s, d):
+    """Rows per type after the whole registry of pairs."""
+    return _pair_store(s, d).groupBy("value_type").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(RESPONSES + WIKI + ", " + CODE_SQL + " select entity_id as id from k where n >= 1 and entity_id not in (select entity_id from e where len(found) > 0)")
 def wiki_without_code(s, d):
     """Pairs that need one annotation and must lack another."""
@@ -435,6 +441,13 @@ def annotation_summary(s, d):
     return rows.select("prompt_response_id", "dialogue_id", "exchange_type", "proposed_title", F.size("annotations").alias("n_keys"))
 
 
+@query()
+def annotation_summary_all(s, d):
+    """The same over the whole registry, formulas included."""
+    rows = views.annotation_summary(_pairs(s, d), _pair_store(s, d))
+    return rows.select("prompt_response_id", "dialogue_id", "exchange_type", "proposed_title", F.size("annotations").alias("n_keys"))
+
+
 @query()
 def pairs_with_annotations(s, d):
     """Pairs with their annotations as JSON."""
@@ -467,6 +480,12 @@ def archive_stats(s, d):
     return views.archive_stats(_dialogues(s, d), _messages(s, d), _pairs(s, d))
 
 
+@query()
+def archive_stats_all(s, d):
+    """The same with the annotations of pairs."""
+    return views.archive_stats(_dialogues(s, d), _messages(s, d), _pairs(s, d), _pair_store(s, d))
+
+
 @query("with " + CONTENT + " select prompt_response_id, response_word_count from prc where response_text ilike '%the order changed%' and response_word_count between 20 and 60")
 def text_search(s, d):
     """Pairs by pattern and word count (Q5)."""

@@ -1,0 +1,16 @@
+"""Queries over the whole job, where those with SQL stop at what SQL can say."""
+
+from collections import Counter
+
+from dialoom.plans import reference_queries as q
+
+
+def test_whole_registry(spark, data):
+    """Formulas count beside what the registry without them finds."""
+    rows = q.annotations_all(spark, data).collect()
+    latex = {r["entity_id"] for r in rows if r["key"] == "has_latex"}
+    assert latex == {r["entity_id"] for r in q.annotate_latex(spark, data).collect()} and latex
+    assert {r["value_type"]: r["n"] for r in q.registry_counts_all(spark, data).collect()} == Counter(r["value_type"] for r in rows)
+    keys = Counter(e for e, _ in {(r["entity_id"], r["key"]) for r in rows})
+    assert all(r["n_keys"] == keys[r["prompt_response_id"]] for r in q.annotation_summary_all(spark, data).collect())
+    assert {r["what"]: r["n"] for r in q.archive_stats_all(spark, data).collect()}["annotations"] == len(rows)
