@@ -63,6 +63,8 @@ WIDE_LEGACY = tuple((seen, true) for seen in ("cp1252", "latin-1", "mac_roman",
 BEAM = 12
 # Fixed value: copies of a text that support its words as right ones.
 COPIES = 6
+# Fixed value: what a change of channel between neighbouring words costs.
+CHANGE = 1.0
 LOST = "�"
 # A word: ASCII letters and everything beyond ASCII but wide blanks and marks.
 WORD_CLASS = r"[A-Za-z\u0080-῿‐-‧‰-⿿〃-￿\U00010000-\U0010ffff]+"
@@ -215,13 +217,13 @@ def readings(word: str) -> list[tuple[str, str, float, bool, bool]]:
 
     A clear reading is garbled by its structure alone, however rare its words.
     """
-    out: dict[str, tuple[str, str, float, bool, bool]] = {}
+    out: dict[tuple[str, str], tuple[str, str, float, bool, bool]] = {}
     plain = natural(word)
 
     def add(channel: str, text: str, evidence: float, needs: bool, whole: bool = False) -> None:
-        if text != word and (text not in out or out[text][2] < evidence):
+        if text != word and ((channel, text) not in out or out[channel, text][2] < evidence):
             clear = not needs and channel.startswith("utf-8") and evidence > (1.5 if whole else 2.4)
-            out[text] = (channel, text, evidence, needs, clear)
+            out[channel, text] = (channel, text, evidence, needs, clear)
 
     def utf8(text: str, prefix: str, base: float, depth: int) -> None:
         for code in SEEN_AS:
@@ -298,8 +300,11 @@ def _corpus_words(docs: DataFrame) -> DataFrame:
 
 
 def garbled_words(docs: DataFrame) -> DataFrame:
-    """word, reading, channel, score of each garbled word of the corpus.
+    """word, plain, options of each garbled word of the corpus.
 
+    Options are its supported readings with channel and score, the best of each
+    channel. Those more than two changes of channel worse than the word's best
+    are in no best path of ``decide`` and are left out.
     A garbled word counts by its distinct texts, so no copies outweigh the
     documents with the right word.
     """
@@ -330,15 +335,16 @@ def garbled_words(docs: DataFrame) -> DataFrame:
     chosen = F.col("evidence") + F.when(F.col("clear"), F.log(2 * F.col("m") + 1)).otherwise(gain)
     score = F.when(legacy, gain + F.when(F.col("plain"), -0.5).otherwise(0.5)).otherwise(chosen)
     supported = F.when(legacy, (F.col("m") >= 3) & (F.col("m") >= 3 * F.col("n"))).when(F.col("needs"), (F.col("m") >= 2) & (F.col("m") >= 3 * F.col("n"))).otherwise(F.lit(True))
+    kept = scored.where(supported).withColumn("score", score).where(F.col("score") > F.when(legacy, 0.4).otherwise(1.5))
+    found = kept.select("word", "reading", "channel", "score", "m", "plain").unionByName(_lost_words(counts))
     best = (
-        scored.where(supported)
-        .withColumn("score", score)
-        .where(F.col("score") > F.when(legacy, 0.4).otherwise(1.5))
+        found.repartition("word")
+        .groupBy("word", "channel")
+        .agg(F.max(F.struct("score", "m", "reading")).alias("b"), F.max("plain").alias("plain"))
         .groupBy("word")
-        .agg(F.max(F.struct("score", F.col("m").alias("m"), "reading", "channel", "plain")).alias("b"))
+        .agg(F.max("plain").alias("plain"), F.max("b.score").alias("top"), F.sort_array(F.collect_list(F.struct("b.score", "b.m", "b.reading", "channel")), asc=False).alias("options"))
     )
-    found = materialize(best.select("word", "b.reading", "b.channel", "b.score", "b.plain"), "garbled")
-    return found.unionByName(_lost_words(counts).join(found, "word", "left_anti"))
+    return materialize(best.select("word", "plain", F.filter("options", lambda o: o["score"] >= F.col("top") - 2 * CHANGE).alias("options")), "garbled")
 
 
 def _lost_words(counts: DataFrame) -> DataFrame:
@@ -350,7 +356,7 @@ def _lost_words(counts: DataFrame) -> DataFrame:
     lost = counts.where(F.col("word").contains(LOST) & F.col("word").rlike("[A-Za-z].*[A-Za-z]")).withColumn("mask", masked)
     whole = counts.where(~F.col("word").contains(LOST)).select(masked.alias("mask"), F.col("word").alias("reading"), F.col("documents").alias("m"))
     fits = lost.join(whole, "mask").groupBy("word", "n").agg(F.max(F.struct("m", "reading")).alias("b")).where("b.m >= 2")
-    return fits.select("word", "b.reading", F.lit("utf-8>lost").alias("channel"), F.log((F.col("b.m") + 0.5) / (F.col("n") + 0.5)).alias("score"), F.lit(False).alias("plain"))
+    return fits.select("word", "b.reading", F.lit("utf-8>lost").alias("channel"), F.log((F.col("b.m") + 0.5) / (F.col("n") + 0.5)).alias("score"), "b.m", F.lit(False).alias("plain"))
 
 
 def cited(text: str, word: str, reading: str) -> bool:
@@ -377,32 +383,38 @@ def lost_uncited(text: str) -> bool:
     return False
 
 
-def restore(text: str, words: dict[str, list[tuple[str, str, float]]]) -> str:
-    """The most likely right text: Viterbi over the words of a document.
+def decide(text: str, words: dict[str, list[tuple[str, str, float]]], forced: bool = False) -> list[tuple[int, int, str, str, str, float]]:
+    """(start, end, word, channel, reading, score) of a document's words.
 
-    States are the channels in force; staying costs nothing, changing costs.
-    ``words`` holds (reading, channel, score) of garbled words.
+    Viterbi: states are the channels in force; staying costs nothing, changing
+    costs. ``words`` holds (reading, channel, score) of garbled words; other
+    words say nothing of the channel and leave each state as it is. A garbled
+    word may stay unchanged, channel "", unless ``forced``. Of equal readings
+    the first is taken.
     """
-    spans = [(m.start(), m.end(), m[0]) for m in WORD.finditer(text) if not m[0].isascii()]
-    paths: dict[str, tuple[float, list[str]]] = {"": (0.0, [])}
-    for _, _, w in spans:
-        options = [("", w, 0.0), *[(ch, got, s) for got, ch, s in words.get(w, [])]]
-        step: dict[str, tuple[float, list[str]]] = {}
+    spans = [(m.start(), m.end(), m[0]) for m in WORD.finditer(text) if m[0] in words]
+    paths: dict[str, tuple[float, tuple | None]] = {"": (0.0, None)}
+    for a, b, w in spans:
+        options = [*([] if forced else [("", w, 0.0)]), *[(ch, got, s) for got, ch, s in words[w]]]
+        top = max(paths.values(), key=lambda x: x[0])
+        step: dict[str, tuple[float, tuple | None]] = {}
         # the best predecessor of each state, keeping one path per channel
-        top = max(paths.items(), key=lambda x: x[1][0])
         for ch, got, s in options:
             stay = paths.get(ch)
-            change = top[1][0] - 1.0
-            score, path = (stay[0], stay[1]) if stay and stay[0] >= change else (change, top[1][1])
-            step[ch] = (score + s, (path, got))
+            score, path = stay if stay and stay[0] >= top[0] - CHANGE else (top[0] - CHANGE, top[1])
+            step[ch] = (score + s, (path, (a, b, w, ch, got, s)))
         paths = step
-    chain = max(paths.values(), key=lambda x: x[0])[1]
-    texts: list[str] = []
+    chain, out = max(paths.values(), key=lambda x: x[0])[1], []
     while chain:
         chain, got = chain
-        texts.append(got)
+        out.append(got)
+    return out[::-1]
+
+
+def restore(text: str, words: dict[str, list[tuple[str, str, float]]]) -> str:
+    """The most likely right text: the readings decided on, put in place."""
     out, at = [], 0
-    for (a, b, _), got in zip(spans, reversed(texts)):
+    for a, b, _, _, got, _ in decide(text, words):
         out += [text[at:a], got]
         at = b
     return "".join(out) + text[at:]
@@ -433,7 +445,7 @@ def find_garbled(docs: DataFrame) -> DataFrame:
         _word_counts(docs)
         .join(words, "word")
         .groupBy("doc_id")
-        .agg(F.collect_list(F.struct("word", "reading", "channel", "score", "plain")).alias("hits"))
+        .agg(F.collect_list(F.struct("word", "plain", "options")).alias("hits"))
     )
     odd = docs.select("doc_id", "text", F.col("text").rlike(LOST_IN_WORD).alias("lost"), F.col("text").rlike(SUSPECT_LINE).alias("suspect"))
     rows = odd.join(hits, "doc_id", "left").where("hits is not null or lost or suspect")
@@ -444,17 +456,19 @@ def find_garbled(docs: DataFrame) -> DataFrame:
             for doc, text, lost, suspect, found in zip(*(c.to_pylist() for c in b.columns)):
                 lost = lost and lost_uncited(text)
                 lines = suspect and any(line_channel(x) for x in text.split("\n"))
-                open_hits = [h for h in found or [] if not cited(text, h["word"], h["reading"])]
-                strong = [h for h in open_hits if h["channel"].startswith("utf-8")]
-                legacy: dict[str, list] = {}
-                for h in open_hits:
-                    if not h["channel"].startswith("utf-8"):
-                        legacy.setdefault(h["channel"].split(">")[0], []).append(h)
-                sure = any((len(v) >= 2 and sum(h["score"] for h in v) > 2.5) or v[0]["score"] > (3.0 if v[0]["plain"] else 2.5) for v in legacy.values())
+                by = {h["word"]: [(o["reading"], o["channel"], o["score"]) for o in h["options"]] for h in found or []}
+                plain = {h["word"] for h in found or [] if h["plain"]}
+                quoted = {w: any(cited(text, w, got) for got in {o[0] for o in options}) for w, options in by.items()}
+                # each word counts by the readings that the whole document decides on
+                open_hits = {(w, ch): s for _, _, w, ch, _, s in decide(text, by, True) if not quoted[w]}
+                strong = any(ch.startswith("utf-8") for _, ch in open_hits)
+                legacy: dict[str, dict[str, float]] = {}
+                for (w, ch), s in open_hits.items():
+                    if not ch.startswith("utf-8"):
+                        of = legacy.setdefault(ch.split(">")[0], {})
+                        of[w] = max(s, of.get(w, s))
+                sure = any((len(v) >= 2 and sum(v.values()) > 2.5) or any(s > (3.0 if w in plain else 2.5) for w, s in v.items()) for v in legacy.values())
                 if lines or lost or strong or sure:
-                    by: dict[str, list] = {}
-                    for h in found or []:
-                        by.setdefault(h["word"], []).append((h["reading"], h["channel"], h["score"]))
                     ids.append(doc)
                     texts.append(restore_lines(text) if lines else restore(text, by))
             yield pa.RecordBatch.from_arrays([pa.array(ids, b.schema.field(0).type), pa.array(texts, pa.string())], ["doc_id", "restored_text"])

@@ -62,6 +62,17 @@ def test_copies_and_rare_words(spark):
     assert all(got[i] == SOUND[3] for i in range(40)) and all(got[i] == f"Only Qvärnö is wrong, {i - 40}." for i in range(40, 70))
 
 
+def test_channels_compete_in_a_document(spark):
+    """One word, two channels: its neighbours say which is in force."""
+    words = {"x¤": [("xa", "mac_roman>cp1252", 1.5), ("xb", "cp437>cp1252", 1.4)], "y¤": [("yb", "cp437>cp1252", 1.4)], "z¤": [("za", "mac_roman>cp1252", 1.4)]}
+    assert m.restore("x¤ sé y¤", words) == "xb sé yb" and m.restore("x¤ sé z¤", words) == "xa sé za"
+    assert [c[3] for c in m.decide("x¤ y¤", words, True)] == ["cp437>cp1252"] * 2
+    # é and Ž share a byte: mac_roman has 0x8e as é, cp437 as Ä, both seen as Ž
+    sound = ["Le pré est vert, le thé est bon"] * 4 + ["Das prÄ und das thÄ Öl, schön Öl"] * 5
+    options = {r["word"]: {o["channel"]: o["reading"] for o in r["options"]} for r in m.garbled_words(spark.createDataFrame(list(enumerate([*sound, "Le prŽ vert"])), "doc_id long, text string")).collect()}
+    assert {"pré", "prÄ"} <= set(options["prŽ"].values())
+
+
 def test_lost_bytes():
     text = "Соседка"
     seen = "".join(bytes([b]).decode("cp1252", "replace") for b in text.encode())
