@@ -252,10 +252,34 @@ def descendants(hierarchy: DataFrame) -> DataFrame:
     """(ancestor, descendant, distance) rows from the paths of ``hierarchy``.
 
     Exploding each node's own path needs no join. Nodes on or below cycles have
-    no path and give no rows; their reach is counted in n_descendants.
+    no path and give no rows here but in ``cycle_descendants``.
     """
     return (
         hierarchy.where(F.size("path") > 1)
         .select(F.col("node").alias("descendant"), F.posexplode(F.slice("path", F.lit(1), F.size("path") - 1)).alias("pos", "ancestor"), F.size("path").alias("len"))
         .select("ancestor", "descendant", (F.col("len") - 1 - F.col("pos")).cast("int").alias("distance"))
     )
+
+
+def cycle_descendants(edges: DataFrame, hierarchy: DataFrame) -> DataFrame:
+    """(ancestor, descendant, distance) rows on and below cycles.
+
+    Takes ``edges`` and their ``hierarchy``; nodes are unique over all scopes.
+    Each cycle is cut at its marked node, which makes its component a tree; the
+    paths of that tree give the links that don't pass the cut. The ring is the
+    path of the marked node's parent; a node that hangs at place j of it is
+    reached through the cut by the ring nodes after j. Rows per ancestor equal
+    n_descendants.
+    """
+    marks = hierarchy.where("node_depth = -1").select("node", "back_edge")
+    cyclic = materialize(edges.select("scope", "node", "parent").join(marks, "node"), "cyclic")
+    cut = cyclic.select("scope", "node", F.when(~F.col("back_edge"), F.col("parent")).alias("parent"))
+    trees = materialize(build_hierarchy(cut, paths=True), "cut")
+    tails = cyclic.where("back_edge").select(F.col("node").alias("root_node"), F.col("parent").alias("tail"))
+    rings = trees.select(F.col("node").alias("tail"), F.col("path").alias("ring")).join(tails, "tail").select("root_node", "ring")
+    # ring nodes on a path are its head; those of the ring after them come round
+    hung = trees.join(rings, "root_node").withColumn("held", F.size(F.array_intersect("path", "ring")))
+    rest = F.slice("ring", F.col("held") + 1, F.greatest(F.size("ring") - F.col("held"), F.lit(0)))
+    round_ = hung.select(F.col("node").alias("descendant"), F.size("path").alias("len"), F.size("ring").alias("n_ring"), "held", F.posexplode(rest).alias("pos", "ancestor"))
+    links = round_.select("ancestor", "descendant", (F.col("n_ring") - F.col("held") - F.col("pos") + F.col("len") - 1).cast("int").alias("distance"))
+    return descendants(trees).unionByName(links)

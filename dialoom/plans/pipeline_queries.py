@@ -33,6 +33,13 @@ def p2_descendants(spark: SparkSession, d: str) -> DataFrame:
     return hierarchy.descendants(hierarchy.build_hierarchy(_message_edges(spark, d), paths=True))
 
 
+def p2_descendants_all(spark: SparkSession, d: str) -> DataFrame:
+    """The same with the links on and below cycles; as many rows as n_descendants."""
+    edges = _message_edges(spark, d)
+    got = materialize(hierarchy.build_hierarchy(edges, paths=True), "hierarchy")
+    return hierarchy.descendants(got).unionByName(hierarchy.cycle_descendants(edges, got))
+
+
 def _owners(spark: SparkSession, d: str) -> DataFrame:
     out = None
     for name in ("dialogues", "messages"):
@@ -121,7 +128,7 @@ def p5_union(spark: SparkSession, d: str) -> DataFrame:
     return drift.union_schema(table(spark, d, "dialogues"), "source_json")
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_paths, p2_descendants, p3_found, p3_citations, p4_found, p4_report, p4_scoped, p5_found, p5_table, p5_wide, p5_union)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_paths, p2_descendants, p2_descendants_all, p3_found, p3_citations, p4_found, p4_report, p4_scoped, p5_found, p5_table, p5_wide, p5_union)}
 
 _KEY = "nullif(lower(trim({0}, chr(32) || chr(9) || chr(10) || chr(13) || chr(160))), '')"
 _CURRENT = "cm as (select * from (select *, row_number() over (partition by id order by updated_at desc) rn from messages) where rn = 1)"

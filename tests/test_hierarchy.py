@@ -56,5 +56,23 @@ def test_descendants(spark):
     assert got == {("a", "b", 1), ("a", "c", 2), ("b", "c", 1)}
 
 
+@pytest.mark.parametrize("local_rows", [1000, 2])
+def test_descendants_on_and_below_cycles(spark, local_rows):
+    edges = [("a", "1", None), ("a", "2", "1"), ("a", "x", "z"), ("a", "y", "x"), ("a", "z", "y"), ("a", "k", "y"), ("a", "l", "k"), ("a", "self", "self"), ("a", "s", "self"), *[(f"r{s}", f"r{n}", p and f"r{p}") for s, n, p in random_forest(1, 60)]]
+    df = spark.createDataFrame([(*e, "") for e in edges], EDGES)
+    got = hierarchy.build_hierarchy(df, paths=True, local_rows=local_rows)
+    links = [tuple(r) for r in hierarchy.descendants(got).unionByName(hierarchy.cycle_descendants(df, got)).collect()]
+    up, want = {(s, n): p for s, n, p in edges}, set()
+    for s, n, _ in edges:
+        at, k, seen = up[s, n], 1, {n}
+        while at is not None and (s, at) in up and at not in seen:
+            want.add((at, n, k))
+            seen.add(at)
+            at, k = up[s, at], k + 1
+    assert len(links) == len(set(links)) and set(links) == want and {("z", "l", 4), ("self", "s", 1)} <= want
+    counts = {r["node"]: r["n_descendants"] for r in got.collect()}
+    assert all(sum(a == n for a, _, _ in links) == k for n, k in counts.items())
+
+
 def test_empty(spark):
     assert rows(spark, []) == {}
