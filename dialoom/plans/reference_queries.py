@@ -644,8 +644,8 @@ def canvas_latest(s, d):
 
 @query()
 def schema_inference(s, d):
-    """The merged structure of claude exports."""
-    return exports.inferred_schema(_raw(s, d, "claude"))
+    """The merged structure of the exports of each platform."""
+    return exports.inferred_schema(current_rows(table(s, d, "dialogues"), "id", ["source", "source_json"]))
 
 
 # --- scalars ---------------------------------------------------------------

@@ -466,9 +466,19 @@ def import_all(raws: dict[str, DataFrame], keep: Callable[[DataFrame, str], Data
     return out
 
 
-def inferred_schema(raw: DataFrame, json_column: str = "source_json") -> DataFrame:
-    """The merged structural schema of all documents, as one row."""
-    return raw.agg(F.schema_of_variant_agg(F.try_parse_json(json_column)).alias("json_schema"))
+def inferred_schema(raw: DataFrame, json_column: str = "source_json", by: str = "source") -> DataFrame:
+    """The merged structural schema of all documents, one row per ``by``.
+
+    The keys of ``mapping`` are ids, a new set in each document; its nodes merge
+    as the items of one list, so the schema does not grow with the table.
+    """
+    doc = F.try_parse_json(json_column)
+    fields = F.try_variant_get(doc, "$", "map<string,variant>")
+    nodes = F.try_variant_get(doc, "$.mapping", "map<string,variant>")
+    listed = F.map_concat(F.map_filter("fields", lambda k, _: k != "mapping"), F.create_map(F.lit("mapping"), F.to_variant_object(F.map_values("nodes"))))
+    rows = raw.select(by, doc.alias("doc"), fields.alias("fields"), nodes.alias("nodes"))
+    merged = F.when(F.col("nodes").isNull(), F.col("doc")).otherwise(F.to_variant_object(listed))
+    return rows.select(by, merged.alias("doc")).groupBy(by).agg(F.schema_of_variant_agg("doc").alias("json_schema"))
 
 
 def linked_ids(html: DataFrame, column: str = "html", prefix: str = "/chat/") -> DataFrame:

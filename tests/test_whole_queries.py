@@ -14,3 +14,9 @@ def test_whole_registry(spark, data):
     keys = Counter(e for e, _ in {(r["entity_id"], r["key"]) for r in rows})
     assert all(r["n_keys"] == keys[r["prompt_response_id"]] for r in q.annotation_summary_all(spark, data).collect())
     assert {r["what"]: r["n"] for r in q.archive_stats_all(spark, data).collect()}["annotations"] == len(rows)
+
+
+def test_schema_of_each_platform(spark, data):
+    got = {r["source"]: r["json_schema"] for r in q.schema_inference(spark, data).collect()}
+    assert set(got) == {"chatgpt", "claude"} and "chat_messages: ARRAY<" in got["claude"]
+    assert "mapping: ARRAY<OBJECT<" in got["chatgpt"] and "current_node: " in got["chatgpt"] and "parent: " in got["chatgpt"]
