@@ -49,16 +49,16 @@ def _present(values: bool) -> Column:
     values have equal digests, key order aside.
     """
 
-    def entry(name: Column, value: Column, opaque: Column) -> Column:
+    def entry(name: Column, value: Column) -> Column:
         text = F.to_json(value)
-        return F.struct(name.alias("field"), json_type(value).alias("type"), F.md5(F.when(~opaque, text)).alias("digest"), *([text.alias("value")] if values else []))
+        return F.struct(name.alias("field"), json_type(value).alias("type"), F.md5(text).alias("digest"), *([text.alias("value")] if values else []))
 
     def nested(e: Column) -> Column:
         inner = F.when(~e["key"].isin(*OPAQUE_KEYS), e["value"].try_cast("map<string,variant>"))
-        return F.coalesce(F.transform(F.map_entries(inner), lambda x: entry(F.concat(e["key"], F.lit("."), x["key"]), x["value"], F.lit(False))), empty)
+        return F.coalesce(F.transform(F.map_entries(inner), lambda x: entry(F.concat(e["key"], F.lit("."), x["key"]), x["value"])), empty)
 
     empty = F.array().cast("array<struct<field:string,type:string,digest:string" + (",value:string" if values else "") + ">>")
-    both = F.concat(F.transform("__e", lambda e: entry(e["key"], e["value"], e["key"].isin(*OPAQUE_KEYS))), F.flatten(F.transform("__e", nested)))
+    both = F.concat(F.transform("__e", lambda e: entry(e["key"], e["value"])), F.flatten(F.transform("__e", nested)))
     return F.filter(both, lambda f: f["type"].isNotNull())
 
 

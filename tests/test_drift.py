@@ -68,3 +68,12 @@ def test_wide_table(spark):
     assert list(rows["a"].asDict()) == ["export_id", "id", "field_id", "mapping", "n", "s", "s__x", "title"]
     assert rows["a"]["title"] == "t" and rows["b"]["title"] == "u" and rows["a"]["n"] == rows["b"]["n"] == "1" and rows["a"]["field_id"] == "7"
     assert json.loads(rows["a"]["s__x"]) == [1, {"a": 1, "b": 2}] and rows["b"]["s"] == "5" and rows["c"]["title"] is None and len(rows) == 4
+
+
+def test_mapping_renamed(spark):
+    """The field ``mapping`` is compared by its value, key order aside."""
+    rows = [(1, "d", '{"id": "d", "mapping": {"n": {"a": 1, "b": 2}}}'), (2, "d", '{"id": "d", "nodes": {"n": {"b": 2, "a": 1}}}')]
+    fields = drift.fields_of(spark.createDataFrame(rows, "export_id bigint, dialogue_id string, source_json string"), ["export_id", "dialogue_id"], "source_json")
+    exports = spark.createDataFrame([(1, "k", 1), (2, "k", 2)], "export_id bigint, account_key string, seq int")
+    got = {(r["change_kind"], r["field_name"], r["prior_name"]) for r in drift.field_changes(fields, exports).collect()}
+    assert any(n == "nodes" and p == "mapping" for _, n, p in got) and not any(n == "mapping" for _, n, _ in got)
