@@ -38,3 +38,16 @@ def split_rank(df: DataFrame, group: str, order: list[Column], rank: str, carry:
     if carry:
         out = out.withColumn(carry[1], F.coalesce("__here", "__before"))
     return out.drop("__piece", "__at", "__start", "__here", "__before", *[f"__o{i}" for i in range(len(order))])
+
+
+def split_sum(df: DataFrame, group: str, order: list[Column], value: Column, name: str) -> DataFrame:
+    """``df`` with the sum of ``value`` over the rows before each in its group."""
+    keys = [c.alias(f"__o{i}") for i, c in enumerate(order)]
+    sort = [F.col(f"__o{i}") for i in range(len(order))]
+    ranged = df.select("*", *keys).repartitionByRange(F.col(group), *sort)
+    pieces = materialize(ranged.select("*", F.spark_partition_id().alias("__piece")), "pieces")
+    upto = Window.partitionBy("__piece", group).orderBy(*sort).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(group).orderBy("__piece").rowsBetween(Window.unboundedPreceding, -1)
+    starts = pieces.groupBy(group, "__piece").agg(F.sum(value).alias("__n")).withColumn("__start", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+    rows = pieces.withColumn("__here", F.coalesce(F.sum(value).over(upto), F.lit(0)))
+    return rows.join(starts.drop("__n"), [group, "__piece"]).withColumn(name, F.col("__start") + F.col("__here")).drop("__piece", "__start", "__here", *[f"__o{i}" for i in range(len(order))])

@@ -1,15 +1,22 @@
 """Parent-child links to full hierarchies.
 
 Every node has at most one parent, so a connected component is a tree or a
-single cycle with trees below it. Components never leave their scope (the
-dialogue), so:
-
-* scopes of at most ``local_rows`` nodes are co-located by one shuffle and
-  walked by an iterative depth-first search with node colouring, many
-  components per task;
-* larger scopes are never collected: their components are resolved by pointer
+single cycle with trees below it. An edge counts only within its scope (the
+dialogue), so no component leaves its scope:
+
+* scopes of at most ``local_rows`` nodes are co-located by one shuffle, and so
+  are all their components; a task finds them and walks each by an iterative
+  depth-first search with node colouring;
+* of a larger scope the components are found first, by label propagation with
+  pointer jumping; each component of at most ``local_rows`` nodes is then
+  co-located and walked in the same way;
+* a single component beyond that is never collected: it is resolved by pointer
   doubling, ceil(log2(depth)) rounds of one self-join, whose subtree sizes are
-  combined map-side. Both ways return the same rows.
+  combined map-side.
+
+All ways return the same rows, whatever the order of the input: siblings are
+visited in the order of their ids, and the back edge of a cycle is the one from
+its smallest node to that node's parent.
 
 Defined results: a NULL, blank, unknown or out-of-scope parent makes a root of
 depth 0; a node that is its own parent is a cycle of one; nodes on or below a
@@ -21,105 +28,146 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..session import materialize
+from ..functions.windows import split_sum
+from ..session import materialize, release
 
 LOCAL_ROWS = 50_000
+#: Path cells that one output batch may hold, but for a single longer path.
+PATH_CELLS = 1 << 18
 WHITE, GREY, BLACK = 0, 1, 2
 
 
-def walk_forest(ids: list, parents: list, paths: bool) -> dict[str, list]:
+class Walk:
     """Depth-first walk of the nodes of one or more scopes.
 
     ``parents`` holds the key of the parent among ``ids`` or None. Colours:
     white unseen, grey on the current upward chain, black finished. A grey
-    parent closes a back edge, whose chain is the component's cycle.
+    parent closes a back edge, whose chain is the component's cycle. Results by
+    node: root ('' off trees), depth (-1 off trees), below (descendants), back,
+    component (its root, or its cycle's smallest node), place (number in
+    preorder within the component), ring; ``order`` lists the nodes as visited.
     """
-    n = len(ids)
-    at = {key: i for i, key in enumerate(ids)}
-    up = [-1 if p is None else at.get(p, -1) for p in parents]
-    kids: list[list[int]] = [[] for _ in range(n)]
-    for i, p in enumerate(up):
-        if p >= 0:
-            kids[p].append(i)
-    colour = [WHITE] * n
-    root, depth, below = [""] * n, [-1] * n, [0] * n
-    path: list[list] = [[] for _ in range(n)] if paths else []
-    back = [False] * n
-
-    def descend(start: int, blocked: int, tree: bool) -> int:
-        """Nodes reached downwards from ``start``, itself included."""
-        order, stack = [], [start]
+
+    def __init__(self, ids: list, parents: list):
+        n = len(ids)
+        at = {key: i for i, key in enumerate(ids)}
+        self.ids, self.up = ids, [-1 if p is None else at.get(p, -1) for p in parents]
+        # pushed in descending order, so that the stack gives ascending ids
+        self.kids: list[list[int]] = [[] for _ in range(n)]
+        for i in sorted(range(n), key=ids.__getitem__, reverse=True):
+            if self.up[i] >= 0:
+                self.kids[self.up[i]].append(i)
+        self.colour = [WHITE] * n
+        self.root, self.depth, self.below = [""] * n, [-1] * n, [0] * n
+        self.level, self.component, self.place = [0] * n, [-1] * n, [0] * n
+        self.back, self.ring = [False] * n, [False] * n
+        self.order: list[int] = []
+        for i in range(n):
+            if self.up[i] < 0:
+                self._descend(i, True)
+        for i in range(n):
+            if self.colour[i] == WHITE:
+                self._cycle(i)
+
+    def _descend(self, start: int, tree: bool) -> int:
+        """Visit all below ``start``; the number of nodes, itself included."""
+        up, first, stack = self.up, len(self.order), [start]
         while stack:
             v = stack.pop()
-            colour[v] = BLACK
-            order.append(v)
+            self.colour[v] = BLACK
+            self.component[v], self.place[v] = start, len(self.order) - first
+            self.order.append(v)
+            if v != start:
+                self.level[v] = self.level[up[v]] + 1
             if tree:
-                p = up[v]
-                depth[v] = 0 if p < 0 else depth[p] + 1
-                root[v] = ids[start]
-                if paths:
-                    path[v] = [*path[p], ids[v]] if p >= 0 else [ids[v]]
-            stack += [k for k in kids[v] if colour[k] == WHITE and k != blocked]
-        for v in reversed(order):
+                self.depth[v], self.root[v] = self.level[v], self.ids[start]
+            # the start of a cycle is black when its turn comes round
+            stack += [k for k in self.kids[v] if self.colour[k] == WHITE]
+        for v in reversed(self.order[first:]):
             if v != start:
-                below[up[v]] += below[v] + 1
-        return len(order)
-
-    for i in range(n):
-        if up[i] < 0:
-            descend(i, -1, True)
-    for i in range(n):
-        if colour[i] != WHITE:
-            continue
+                self.below[up[v]] += self.below[v] + 1
+        return len(self.order) - first
+
+    def _cycle(self, i: int) -> None:
         chain, v = [], i
-        while colour[v] == WHITE:
-            colour[v] = GREY
+        while self.colour[v] == WHITE:
+            self.colour[v] = GREY
             chain.append(v)
-            v = up[v]
+            v = self.up[v]
         ring = chain[chain.index(v) :]
-        back[ring[-1]] = True
         for v in chain:
-            colour[v] = WHITE
-        for v in ring:
-            colour[v] = BLACK
-        size = 0
+            self.colour[v] = WHITE
+        # cut at the smallest node, the component is a tree
+        start = min(ring, key=self.ids.__getitem__)
+        self.back[start] = True
+        size = self._descend(start, False)
         for v in ring:
-            for k in kids[v]:
-                if colour[k] == WHITE:
-                    size += descend(k, -1, False)
-        for v in ring:
-            below[v] = size + len(ring) - 1
-    out = {"root": root, "depth": depth, "below": below, "back": back}
-    if paths:
-        out["path"] = path
-    return out
+            self.ring[v], self.below[v] = True, size - 1
+
+
+def _paths(walk: Walk, names: pa.Array) -> Iterator[tuple[list[int], pa.Array]]:
+    """Nodes in visiting order with their paths, ``PATH_CELLS`` at a time.
+
+    The path of a node is the visited stack up to its level, so no path is
+    stored before its batch is due.
+    """
+    stack = np.zeros(len(walk.ids) + 1, np.int64)
+    nodes: list[int] = []
+    cells: list[np.ndarray] = []
+    held = 0
+
+    def batch() -> tuple[list[int], pa.Array]:
+        offsets = np.zeros(len(nodes) + 1, np.int32)
+        np.cumsum([len(c) for c in cells], out=offsets[1:])
+        return nodes, pa.ListArray.from_arrays(pa.array(offsets), names.take(pa.array(np.concatenate(cells))))
+
+    for v in walk.order:
+        depth = walk.depth[v]
+        if depth >= 0:
+            stack[depth] = v
+        if nodes and held + depth + 1 > PATH_CELLS:
+            yield batch()
+            nodes, cells, held = [], [], 0
+        nodes.append(v)
+        cells.append(stack[: depth + 1].copy())
+        held += depth + 2
+    if nodes:
+        yield batch()
+
+
+FIELDS = "node string, root_node string, node_depth int, n_descendants bigint, back_edge boolean, component string, place bigint, on_ring boolean"
+
+
+def _columns(paths: bool) -> list[str]:
+    return ["node", "root_node", "node_depth", "n_descendants", "back_edge", "component", "place", "on_ring", *(["path"] if paths else [])]
 
 
 def _local(local: DataFrame, paths: bool) -> DataFrame:
     """Co-located scopes through the depth-first walk, whole scopes at a time."""
-    fields = [("node", pa.string()), ("root_node", pa.string()), ("node_depth", pa.int32()), ("n_descendants", pa.int64()), ("back_edge", pa.bool_())]
-    if paths:
-        fields.append(("path", pa.list_(pa.string())))
-    schema = pa.schema(fields)
-
-    def emit(scopes: list[str], nodes: list[str], parents: list[str | None]) -> pa.RecordBatch:
-        keys = [(s, v) for s, v in zip(scopes, nodes)]
-        got = walk_forest(keys, [None if p is None else (s, p) for s, p in zip(scopes, parents)], paths)
-        cols = [
-            pa.array(nodes, pa.string()),
-            pa.array([r[1] if r else "" for r in got["root"]], pa.string()),
-            pa.array(got["depth"], pa.int32()),
-            pa.array(got["below"], pa.int64()),
-            pa.array(got["back"], pa.bool_()),
-        ]
-        if paths:
-            cols.append(pa.array([[k[1] for k in p] for p in got["path"]], pa.list_(pa.string())))
-        return pa.RecordBatch.from_arrays(cols, schema=schema)
+    kinds = [pa.string(), pa.string(), pa.int32(), pa.int64(), pa.bool_(), pa.string(), pa.int64(), pa.bool_()] + ([pa.list_(pa.string())] if paths else [])
+    schema = pa.schema(list(zip(_columns(paths), kinds)))
+
+    def emit(scopes: list[str], nodes: list[str], parents: list[str | None]) -> Iterator[pa.RecordBatch]:
+        walk = Walk(list(zip(scopes, nodes)), [None if p is None else (s, p) for s, p in zip(scopes, parents)])
+        names = pa.array(nodes, pa.string())
+        for rows, path in _paths(walk, names) if paths else [(walk.order, None)]:
+            take = lambda values, kind: pa.array([values[v] for v in rows], kind)  # noqa: B023, E731
+            cols = [
+                names.take(pa.array(rows, pa.int64())),
+                pa.array([walk.root[v][1] if walk.root[v] else "" for v in rows], pa.string()),
+                take(walk.depth, pa.int32()),
+                take(walk.below, pa.int64()),
+                take(walk.back, pa.bool_()),
+                names.take(take(walk.component, pa.int64())),
+                take(walk.place, pa.int64()),
+                take(walk.ring, pa.bool_()),
+            ]
+            yield pa.RecordBatch.from_arrays(cols + ([path] if paths else []), schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scopes: list[str] = []
@@ -134,44 +182,34 @@ def _local(local: DataFrame, paths: bool) -> DataFrame:
             while cut and scopes[cut - 1] == scopes[-1]:
                 cut -= 1
             if cut:
-                yield emit(scopes[:cut], nodes[:cut], parents[:cut])
+                yield from emit(scopes[:cut], nodes[:cut], parents[:cut])
                 scopes, nodes, parents = scopes[cut:], nodes[cut:], parents[cut:]
         if scopes:
-            yield emit(scopes, nodes, parents)
+            yield from emit(scopes, nodes, parents)
 
-    ddl = "node string, root_node string, node_depth int, n_descendants bigint, back_edge boolean" + (", path array<string>" if paths else "")
-    return local.repartition("scope").sortWithinPartitions("scope").select("scope", "node", "parent").mapInArrow(run, ddl)
+    return local.repartition("scope").sortWithinPartitions("scope").select("scope", "node", "parent").mapInArrow(run, FIELDS + (", path array<string>" if paths else ""))
 
 
 def _double_tree(edges: DataFrame, paths: bool, label: str) -> tuple[DataFrame, DataFrame]:
-    """Pointer doubling over (scope, node, parent); parent NULL at roots.
+    """Pointer doubling over (scope, node, parent, step); parent NULL at roots.
 
-    Returns the resolved nodes (scope, node, root, depth, size[, path]) and the
-    state of the nodes whose chain never ends (jump is then some node further
-    up the cycle or on it).
+    Returns the resolved nodes (scope, node, top, depth, size, steps[, path])
+    and the state of the nodes whose chain never ends (jump is then some node
+    further up the cycle or on it). ``steps`` sums ``step`` over the path.
     """
-    start = edges.select(
-        "scope",
-        "node",
-        F.col("parent").alias("jump"),
-        F.when(F.col("parent").isNull(), 0).otherwise(1).alias("depth"),
-        F.coalesce("parent", "node").alias("top"),
-        F.lit(1).cast("long").alias("size"),
-        *([F.array("node").alias("path")] if paths else []),
-    )
+    moved = F.col("jump").isNotNull()
+    more = lambda x: [x] if paths else []
+    start = edges.select("scope", "node", F.col("parent").alias("jump"), F.when(F.col("parent").isNull(), 0).otherwise(1).alias("depth"), F.coalesce("parent", "node").alias("top"), F.lit(1).cast("long").alias("size"), F.col("step").alias("steps"), *more(F.array("node").alias("path")))
     state, open_before = materialize(start, label), -1
     while True:
-        still = state.where("jump is not null").count()
+        still = state.where(moved).count()
         if still == 0 or still == open_before:
             break
         open_before = still
-        above = state.select(
-            F.col("scope").alias("a_scope"), F.col("node").alias("a_node"), F.col("jump").alias("a_jump"), F.col("depth").alias("a_depth"), F.col("top").alias("a_top"), *([F.col("path").alias("a_path")] if paths else [])
-        )
-        gained = state.where("jump is not null").groupBy("scope", F.col("jump").alias("node")).agg(F.sum("size").alias("gain"))
-        joined = state.join(above, (F.col("scope") == F.col("a_scope")) & (F.col("jump") == F.col("a_node")), "left").join(gained, ["scope", "node"], "left")
-        moved = F.col("jump").isNotNull()
-        state = materialize(
+        above = state.select("scope", F.col("node").alias("jump"), F.col("jump").alias("a_jump"), F.col("depth").alias("a_depth"), F.col("top").alias("a_top"), F.col("steps").alias("a_steps"), *more(F.col("path").alias("a_path")))
+        gained = state.where(moved).groupBy("scope", F.col("jump").alias("node")).agg(F.sum("size").alias("gain"))
+        joined = state.join(above, ["scope", "jump"], "left").join(gained, ["scope", "node"], "left")
+        following = materialize(
             joined.select(
                 "scope",
                 "node",
@@ -179,73 +217,146 @@ def _double_tree(edges: DataFrame, paths: bool, label: str) -> tuple[DataFrame,
                 F.when(moved, F.col("depth") + F.col("a_depth")).otherwise(F.col("depth")).alias("depth"),
                 F.when(moved, F.col("a_top")).otherwise(F.col("top")).alias("top"),
                 (F.col("size") + F.coalesce("gain", F.lit(0))).alias("size"),
-                *([F.when(moved, F.concat("a_path", "path")).otherwise(F.col("path")).alias("path")] if paths else []),
+                F.when(moved, F.col("steps") + F.col("a_steps")).otherwise(F.col("steps")).alias("steps"),
+                *more(F.when(moved, F.concat("a_path", "path")).otherwise(F.col("path")).alias("path")),
             ),
             label,
         )
+        release(state)
+        state = following
     return state.where("jump is null"), state.where("jump is not null")
 
 
-def _large(edges: DataFrame, paths: bool) -> DataFrame:
-    """Scopes beyond one task's bound, by joins and aggregations only."""
-    trees, looped = _double_tree(edges, paths, "tree")
-    out = trees.select("node", F.col("top").alias("root_node"), F.col("depth").cast("int").alias("node_depth"), (F.col("size") - 1).alias("n_descendants"), F.lit(False).alias("back_edge"), *(["path"] if paths else []))
-    if looped.isEmpty():
-        return out
-    # images of the repeated jump shrink until only cycle nodes are left
-    links = edges.join(looped.select("scope", "node"), ["scope", "node"], "left_semi")
+def _rings(edges: DataFrame, looped: DataFrame) -> DataFrame:
+    """(scope, node, low): the nodes on cycles with their cycle's smallest.
+
+    ``looped`` is the state of pointer doubling on and below the cycles. Images
+    of the repeated jump shrink until only cycle nodes are left.
+    """
     jumps = materialize(looped.select("scope", "node", "jump"), "ring")
-    ring = jumps.select("scope", F.col("jump").alias("node")).distinct()
-    count = ring.count()
+    count = -1
     while True:
-        above = jumps.select("scope", F.col("node").alias("jump"), F.col("jump").alias("next"))
-        jumps = materialize(jumps.join(above, ["scope", "jump"]).select("scope", "node", F.col("next").alias("jump")), "ring")
-        ring = jumps.select("scope", F.col("jump").alias("node")).distinct()
+        ring = materialize(jumps.select("scope", F.col("jump").alias("node")).distinct(), "ring")
         now = ring.count()
         if now == count:
             break
         count = now
-    ring = materialize(ring.withColumn("on_ring", F.lit(True)), "ring")
-    # cut the cycles: each cycle node heads the tree that hangs below it
-    cut = links.join(ring, ["scope", "node"], "left").select("scope", "node", F.when(F.col("on_ring"), None).otherwise(F.col("parent")).alias("parent"))
-    hung, _ = _double_tree(cut, False, "hung")
-    # smallest node of each cycle, by doubling along the cycle
-    lap = links.join(ring.select("scope", "node"), ["scope", "node"], "left_semi").select("scope", "node", F.col("parent").alias("jump"), F.least("node", "parent").alias("low"))
-    rounds, reach = max(1, count).bit_length(), materialize(lap, "lap")
-    for _ in range(rounds):
+        above = jumps.select("scope", F.col("node").alias("jump"), F.col("jump").alias("next"))
+        following = materialize(jumps.join(above, ["scope", "jump"]).select("scope", "node", F.col("next").alias("jump")), "ring")
+        release(jumps)
+        release(ring)
+        jumps = following
+    # the smallest node, by doubling along the cycle
+    reach = materialize(edges.join(ring, ["scope", "node"], "left_semi").select("scope", "node", F.col("parent").alias("jump"), F.least("node", "parent").alias("low")), "lap")
+    for _ in range(max(1, count).bit_length()):
         above = reach.select("scope", F.col("node").alias("jump"), F.col("jump").alias("next"), F.col("low").alias("a_low"))
-        reach = materialize(reach.join(above, ["scope", "jump"]).select("scope", "node", F.col("next").alias("jump"), F.least("low", "a_low").alias("low")), "lap")
-    rings = reach.select("scope", "node", "low").join(hung.select("scope", "node", "size"), ["scope", "node"])
-    totals = rings.groupBy("scope", "low").agg(F.sum("size").alias("total"))
-    of_ring = rings.join(totals, ["scope", "low"]).select("scope", "node", "total", (F.col("node") == F.col("low")).alias("back_edge"))
-    cyclic = hung.join(of_ring, ["scope", "node"], "left").select(
+        following = materialize(reach.join(above, ["scope", "jump"]).select("scope", "node", F.col("next").alias("jump"), F.least("low", "a_low").alias("low")), "lap")
+        release(reach)
+        reach = following
+    return reach.select("scope", "node", "low")
+
+
+def _cut(edges: DataFrame, rings: DataFrame) -> DataFrame:
+    """The edges without the one from each cycle's smallest node."""
+    smallest = rings.where("node = low").select("scope", "node", F.lit(True).alias("__cut"))
+    return edges.join(smallest, ["scope", "node"], "left").withColumn("parent", F.when(F.col("__cut"), None).otherwise(F.col("parent"))).drop("__cut")
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """scope, node, parent and the component of each node of a large scope.
+
+    Labels run down the links by pointer jumping: a tree's label is its root, a
+    cycle's component has that of the cycle's smallest node.
+    """
+    links = edges.select("scope", "node", "parent", F.lit(0).cast("long").alias("step"))
+    trees, looped = _double_tree(links, False, "label")
+    if not looped.isEmpty():
+        trees, _ = _double_tree(_cut(links, materialize(_rings(edges, looped), "rings")), False, "label")
+    return edges.join(trees.select("scope", "node", F.col("top").alias("component")), ["scope", "node"])
+
+
+def _large(edges: DataFrame, paths: bool) -> DataFrame:
+    """Components beyond one task's bound, by joins and aggregations only."""
+    plain = edges.withColumn("step", F.lit(0).cast("long"))
+    trees, looped = _double_tree(plain, False, "tree")
+    cut, rings = plain, None
+    if not looped.isEmpty():
+        rings = materialize(_rings(edges, looped), "rings")
+        cut = _cut(plain, rings)
+        trees, _ = _double_tree(cut, False, "hung")
+    # a node comes after its parent and the subtrees of its smaller siblings
+    sized = cut.drop("step").join(trees.select("scope", "node", "size"), ["scope", "node"])
+    tops = sized.where("parent is null").select("scope", "node", "parent", F.lit(0).cast("long").alias("step"))
+    inner = sized.where("parent is not null").withColumn("__family", F.concat_ws("\x1f", "scope", "parent"))
+    steps = split_sum(inner, "__family", [F.col("node")], F.col("size"), "before").select("scope", "node", "parent", (F.col("before") + 1).alias("step"))
+    placed, _ = _double_tree(materialize(tops.unionByName(steps), "steps"), paths, "place")
+    if rings is None:
+        rings = edges.select("scope", "node", F.col("node").alias("low")).limit(0)
+    looping = rings.where("node = low").select("scope", F.col("low").alias("top"), F.lit(True).alias("cyclic"))
+    whole = placed.where("jump is null and depth = 0").select("scope", F.col("node").alias("top"), F.col("size").alias("whole"))
+    rows = placed.join(looping, ["scope", "top"], "left").join(rings.select("scope", "node", F.lit(True).alias("on_ring")), ["scope", "node"], "left").join(whole, ["scope", "top"])
+    cyclic, on_ring = F.coalesce("cyclic", F.lit(False)), F.coalesce("on_ring", F.lit(False))
+    out = rows.select(
         "node",
-        F.lit("").alias("root_node"),
-        F.lit(-1).alias("node_depth"),
-        (F.coalesce("total", "size") - 1).alias("n_descendants"),
-        F.coalesce("back_edge", F.lit(False)).alias("back_edge"),
-        *([F.array().cast("array<string>").alias("path")] if paths else []),
+        F.when(cyclic, "").otherwise(F.col("top")).alias("root_node"),
+        F.when(cyclic, -1).otherwise(F.col("depth")).cast("int").alias("node_depth"),
+        (F.when(on_ring, F.col("whole")).otherwise(F.col("size")) - 1).alias("n_descendants"),
+        (cyclic & (F.col("node") == F.col("top"))).alias("back_edge"),
+        F.col("top").alias("component"),
+        F.col("steps").alias("place"),
+        on_ring.alias("on_ring"),
+        *([F.when(cyclic, F.array().cast("array<string>")).otherwise(F.col("path")).alias("path")] if paths else []),
     )
-    return out.unionByName(cyclic)
+    return out.select(*_columns(paths))
+
+
+def _beyond(edges: DataFrame, local_rows: int) -> DataFrame:
+    """The scopes of more nodes than a task may hold: at most rows / local_rows."""
+    sizes = edges.groupBy("scope").agg(F.count(F.lit(1)).alias("n_nodes"))
+    return materialize(sizes.where(F.col("n_nodes") > local_rows).select("scope"), "bigscopes")
 
 
 def build_hierarchy(edges: DataFrame, paths: bool = False, local_rows: int = LOCAL_ROWS) -> DataFrame:
-    """Root, depth, descendant count, back-edge mark (and path) of each node.
+    """Root, depth, descendants, cycle marks, component and place of each node.
 
     ``edges`` has the columns scope, node, parent (strings, node unique within
-    its scope, no NULL scope or node); others are ignored. ``local_rows`` bounds the nodes of a
-    scope that one task holds. See the module text for the defined cases.
+    its scope, no NULL scope or node); others are ignored. ``paths`` adds the
+    path. ``local_rows`` bounds the nodes of a scope or component that one task
+    holds. See the module text for the defined cases.
     """
     edges = edges.select("scope", "node", "parent")
-    sizes = edges.groupBy("scope").agg(F.count(F.lit(1)).alias("n_nodes"))
-    # at most rows / local_rows scopes: a short list
-    big = materialize(sizes.where(F.col("n_nodes") > local_rows).select("scope"), "bigscopes")
+    big = _beyond(edges, local_rows)
     if big.isEmpty():
         return _local(edges, paths)
     large = edges.join(big, "scope", "left_semi")
     known = large.select(F.col("scope"), F.col("node").alias("parent"), F.lit(True).alias("known"))
-    large = large.join(known, ["scope", "parent"], "left").select("scope", "node", F.when(F.col("known"), F.col("parent")).alias("parent"))
-    return _local(edges.join(big, "scope", "left_anti"), paths).unionByName(_large(materialize(large, "large"), paths))
+    large = materialize(large.join(known, ["scope", "parent"], "left").select("scope", "node", F.when(F.col("known"), F.col("parent")).alias("parent")), "large")
+    parts = materialize(components(large).select(F.concat_ws("\x1f", "scope", "component").alias("scope"), "node", "parent"), "components")
+    release(large)
+    out = _local(edges.join(big, "scope", "left_anti"), paths)
+    giant = _beyond(parts, local_rows)
+    if giant.isEmpty():
+        return out.unionByName(_local(parts, paths))
+    out = out.unionByName(_local(parts.join(giant, "scope", "left_anti"), paths))
+    return out.unionByName(_large(materialize(parts.join(giant, "scope", "left_semi"), "giant"), paths))
+
+
+def descendant_ranges(hierarchy: DataFrame) -> DataFrame:
+    """component, node, place, first, last: all descendants as a range.
+
+    The descendants of a node are the other nodes of its component whose place
+    lies from ``first`` to ``last``: the rows below it in preorder, or the
+    whole component for a node on a cycle. One row per node, however many
+    descendants it has; ``first`` > ``last`` where it has none.
+    """
+    below = F.col("n_descendants")
+    return hierarchy.select(
+        "component",
+        "node",
+        "place",
+        F.when(F.col("on_ring") & (below > 0), F.lit(0)).otherwise(F.col("place") + 1).cast("long").alias("first"),
+        F.when(F.col("on_ring") & (below > 0), below).otherwise(F.col("place") + below).cast("long").alias("last"),
+    )
 
 
 def descendants(hierarchy: DataFrame) -> DataFrame:

@@ -28,6 +28,12 @@ def p2_paths(spark: SparkSession, d: str) -> DataFrame:
     return got.select(F.col("node").alias("message_id"), F.array_join("path", "/").alias("path"), "node_depth", "back_edge")
 
 
+def p2_ranges(spark: SparkSession, d: str) -> DataFrame:
+    """All descendants of each message as a range of places in its component."""
+    got = hierarchy.descendant_ranges(hierarchy.build_hierarchy(_message_edges(spark, d)))
+    return got.withColumnRenamed("node", "message_id").select("component", "message_id", "place", *[F.when(F.col("first") <= F.col("last"), F.col(c)).otherwise(-1).alias(c) for c in ("first", "last")])
+
+
 def p2_descendants(spark: SparkSession, d: str) -> DataFrame:
     """All (ancestor, descendant, distance) links of the message trees."""
     return hierarchy.descendants(hierarchy.build_hierarchy(_message_edges(spark, d), paths=True))
@@ -128,12 +134,15 @@ def p5_union(spark: SparkSession, d: str) -> DataFrame:
     return drift.union_schema(table(spark, d, "dialogues"), "source_json")
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_paths, p2_descendants, p2_descendants_all, p3_found, p3_citations, p4_found, p4_report, p4_scoped, p5_found, p5_table, p5_wide, p5_union)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_paths, p2_ranges, p2_descendants, p2_descendants_all, p3_found, p3_citations, p4_found, p4_report, p4_scoped, p5_found, p5_table, p5_wide, p5_union)}
 
 _KEY = "nullif(lower(trim({0}, chr(32) || chr(9) || chr(10) || chr(13) || chr(160))), '')"
 _CURRENT = "cm as (select * from (select *, row_number() over (partition by id order by updated_at desc) rn from messages) where rn = 1)"
 _EDGES = f"e as (select coalesce({_KEY.format('dialogue_id')}, '') as scope, {_KEY.format('id')} as id, {_KEY.format('parent_id')} as parent from cm), m as (select e.id, p.id as parent from e left join e p on p.scope = e.scope and p.id = e.parent)"
 _DOWN = "t(id, root, depth) as (select id, id, 0 from m where parent is null union all select m.id, t.root, t.depth + 1 from t join m on m.parent = t.id)"
+# All links, the cycles' smallest nodes, and the trees after cutting there.
+_REACH = "r(a, d) as (select parent, id from m where parent is not null union select r.a, m.id from r join m on m.parent = r.d)"
+_TREES = f"{_REACH}, low as (select x.a as id, min(x.d) as low from r x join r y on y.a = x.d and y.d = x.a group by 1), cut as (select m.id, case when low.low = m.id then null else m.parent end as parent from m left join low on low.id = m.id), t(id, root, path) as (select id, id, [id] from cut where parent is null union all select c.id, t.root, list_append(t.path, c.id) from t join cut c on c.parent = t.id), g as (select t.*, low.id is not null as on_ring, exists (select 1 from low l where l.id = t.root) as cyclic from t left join low on low.id = t.id)"
 _ORPHANS = f"""with {_CURRENT},
   target as (select {_KEY.format('id')} as k, created_at as made, deleted_at is not null as gone from cm),
   cp as (select distinct id, message_id, tool_name, tool_use_id from content_parts),
@@ -150,6 +159,9 @@ _ORPHANS = f"""with {_CURRENT},
 #: The same results in SQL; the other queries are compared with plain code in tests.
 ORACLE: dict[str, str] = {
     "p2_found": f"with recursive {_CURRENT}, {_EDGES}, {_DOWN}, r(a, d) as (select parent, id from m where parent is not null union select r.a, m.id from r join m on m.parent = r.d), n as (select a, count(*) as k from r where a <> d group by 1) select m.id as message_id, coalesce(t.root, '') as root_id, coalesce(t.depth, -1)::int as node_depth, coalesce(n.k, 0)::int as n_descendants from m left join t on t.id = m.id left join n on n.a = m.id",
+    "p2_paths": f"with recursive {_CURRENT}, {_EDGES}, {_TREES} select id as message_id, case when cyclic then '' else array_to_string(path, '/') end as path, case when cyclic then -1 else len(path) - 1 end::int as node_depth, cyclic and id = root as back_edge from g",
+    "p2_ranges": f"with recursive {_CURRENT}, {_EDGES}, {_TREES}, n as (select a, count(*) as k from r where a <> d group by 1), o as (select root, id, on_ring, row_number() over (partition by root order by path) - 1 as place from g) select root as component, id as message_id, place::bigint as place, (case when n.k is null then -1 when on_ring then 0 else place + 1 end)::bigint as first, (case when n.k is null then -1 when on_ring then n.k else place + n.k end)::bigint as last from o left join n on n.a = o.id",
+    "p2_descendants_all": f"with recursive {_CURRENT}, {_EDGES}, r(a, d, k, seen) as (select parent, id, 1, [parent] from m where parent is not null and parent <> id union all select r.a, m.id, r.k + 1, list_append(r.seen, r.d) from r join m on m.parent = r.d where not list_contains(r.seen, m.id) and m.id <> r.d) select a as ancestor, d as descendant, k::int as distance from r",
     "p2_descendants": f"with recursive {_CURRENT}, {_EDGES}, {_DOWN}, r(a, d, k) as (select parent, id, 1 from m where parent in (select id from t) union all select r.a, m.id, r.k + 1 from r join m on m.parent = r.d) select a as ancestor, d as descendant, k::int as distance from r",
     "p4_found": _ORPHANS + " select * from found where orphan_kind is not null",
     "p4_report": _ORPHANS + " select ref_table, ref_month, orphan_kind, count(*) as n_orphans from found where orphan_kind is not null group by 1, 2, 3",

@@ -24,7 +24,7 @@ def random_forest(seed, n=120):
     return edges
 
 
-@pytest.mark.parametrize("local_rows", [1000, 20, 1])
+@pytest.mark.parametrize("local_rows", [1000, 20, 3])
 @pytest.mark.parametrize("seed", [1, 2])
 def test_equals_plain_walk(spark, seed, local_rows):
     edges = random_forest(seed)
@@ -43,6 +43,45 @@ def test_cycles_chains_and_strangers(spark, local_rows):
     assert sum(got[k]["back_edge"] for k in "xyz") == 1
 
 
+@pytest.mark.parametrize("seed", [3])
+def test_same_rows_in_all_ways_and_orders(spark, seed):
+    edges = random_forest(seed, 60) + [("s0", "A", "B"), ("s0", "B", "C"), ("s0", "C", "A"), ("s0", "D", "B"), ("s0", "E", "D"), ("s1", "self", "self")]
+    want = None
+    for local_rows, order in ((1000, 1), (1000, 2), (20, 3), (4, 4)):
+        random.Random(order).shuffle(edges)
+        got = {k: r.asDict() for k, r in rows(spark, edges, paths=True, local_rows=local_rows).items()}
+        want = want or got
+        assert got == want
+    assert want["A"]["back_edge"] and not want["B"]["back_edge"] and not want["C"]["back_edge"] and want["self"]["back_edge"]
+
+
+@pytest.mark.parametrize("local_rows", [1000, 3])
+def test_ranges_hold_the_descendants(spark, local_rows):
+    edges = random_forest(5) + [("s0", "A", "B"), ("s0", "B", "A"), ("s0", "C", "B")]
+    df = spark.createDataFrame([(*e, "x") for e in edges], EDGES)
+    got = hierarchy.descendant_ranges(hierarchy.build_hierarchy(df, local_rows=local_rows)).collect()
+    places = {(r["component"], r["place"]): r["node"] for r in got}
+    assert len(places) == len(got)
+    up, want = {(s, n): p for s, n, p in edges}, {}
+    for s, n, _ in edges:
+        at, seen = up[s, n], {n}
+        while at is not None and (s, at) in up and at not in seen:
+            want.setdefault(at, set()).add(n)
+            seen.add(at)
+            at = up[s, at]
+    for r in got:
+        below = {places[r["component"], i] for i in range(r["first"], r["last"] + 1)} - {r["node"]}
+        assert below == want.get(r["node"], set())
+
+
+def test_paths_are_made_in_batches():
+    walk = hierarchy.Walk([str(i) for i in range(3000)], [str(i - 1) if i else None for i in range(3000)])
+    names = hierarchy.pa.array(walk.ids)
+    batches = list(hierarchy._paths(walk, names))
+    assert len(batches) > 10 and all(len(p.flatten()) <= hierarchy.PATH_CELLS for _, p in batches)
+    assert [len(p) for _, b in batches for p in b] == list(range(1, 3001)) and batches[0][1][2].as_py() == ["0", "1", "2"]
+
+
 @pytest.mark.parametrize("local_rows", [10000, 100])
 def test_long_chain(spark, local_rows):
     n = 700
