@@ -1,77 +1,132 @@
-"""The stored archive: a folder of tables with atomic replacement.
-
-Plain Parquet has no transactions. A table is written beside its present
-version and a pointer file is replaced last, so readers see either version
-whole and a failed write leaves the old one.
+"""The stored archive: tables under one folder with atomic commits.
+
+Plain Parquet has no transactions. Tables are written beside their present
+versions, on whatever file system the folder is; a commit then publishes one
+small file that lists the version of every table. Readers follow the newest
+list, so they see all tables of an import or none, and a failed import leaves
+nothing but folders that ``vacuum`` removes. Two commits at once can't both
+take the next number: the second raises.
 """
 
 from __future__ import annotations
 
 import json
-import os
-import shutil
+import re
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import annotations, annotators, pairs, sync, views
-from ..session import materialize
+from ..session import materialize, remove_folder, scratch
 from . import exports
 
 TABLES = ("dialogues", "messages", "content_parts", "citations", "attachments", "chatgpt_message_meta", "claude_message_meta", "search_groups", "search_entries", "code_executions", "code_outputs", "dalle_generations", "canvas_docs", "prompt_responses", "prompt_response_content", "annotations", "annotator_cursors")
 CHILDREN = {"content_parts": "message_id", "attachments": "message_id", "chatgpt_message_meta": "message_id", "claude_message_meta": "message_id", "search_groups": "message_id", "code_executions": "message_id", "code_outputs": "message_id", "canvas_docs": "message_id"}
+#: Tables that hang on a child of a message: parent table, key.
+GRANDCHILDREN = {"citations": ("content_parts", "content_part_id"), "dalle_generations": ("content_parts", "content_part_id"), "search_entries": ("search_groups", "group_id")}
+COMMIT = re.compile(r"commit-(\d{12})\.json")
 
 
 def archive_root(spark: SparkSession) -> str:
     """Where the archive lies: the session's setting, or the warehouse."""
-    return spark.conf.get("spark.dialoom.archive", None) or os.path.join(spark.conf.get("spark.sql.warehouse.dir").removeprefix("file:"), "dialoom")
+    return spark.conf.get("spark.dialoom.archive", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/dialoom"
 
 
 class Archive:
     """Tables by name under one folder that all workers see."""
 
     def __init__(self, spark: SparkSession, root: str | None = None):
-        self.spark, self.root = spark, root or archive_root(spark)
+        self.spark, self.root = spark, (root or archive_root(spark)).rstrip("/")
+        self._staged: dict[str, dict] | None = None
+
+    def _path(self, name: str = ""):
+        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}" if name else self.root)
+
+    def _files(self):
+        return self._path().getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
     def init(self) -> None:
         """Create the folder; harmless where it exists."""
-        os.makedirs(self.root, exist_ok=True)
+        self._files().mkdirs(self._path())
 
     def reset(self, confirm: bool = False) -> None:
         """Drop everything; only when confirmed."""
         if not confirm:
             raise ValueError("reset drops all tables; pass confirm=True")
-        shutil.rmtree(self.root, ignore_errors=True)
+        remove_folder(self.spark, self.root)
         self.init()
 
-    def _pointer(self, name: str) -> str:
-        return os.path.join(self.root, f"{name}.current")
+    def _names(self) -> list[str]:
+        files = self._files()
+        return [f.getPath().getName() for f in files.listStatus(self._path())] if files.exists(self._path()) else []
+
+    def _newest(self) -> int:
+        return max((int(m[1]) for m in map(COMMIT.fullmatch, self._names()) if m), default=0)
+
+    def _versions(self, number: int | None = None) -> dict[str, dict]:
+        """Path and schema of every table, as of a commit."""
+        number = self._newest() if number is None else number
+        if not number:
+            return {}
+        return json.loads(self.spark.read.text(f"{self.root}/commit-{number:012}.json", wholetext=True).first()[0])
+
+    def _now(self) -> dict[str, dict]:
+        return self._versions() if self._staged is None else self._staged
 
     def has(self, name: str) -> bool:
-        return os.path.exists(self._pointer(name))
+        return name in self._now()
 
     def load(self, name: str) -> DataFrame:
-        with open(self._pointer(name)) as f:
-            version = json.load(f)
-        schema = T.StructType.fromJson(version["schema"])
-        return self.spark.read.schema(schema).parquet(os.path.join(self.root, version["path"]))
+        version = self._now()[name]
+        return self.spark.read.schema(T.StructType.fromJson(version["schema"])).parquet(f"{self.root}/{version['path']}")
+
+    @contextmanager
+    def commit(self) -> Iterator[None]:
+        """Publishes all saves within at once, at the end; none on an error."""
+        if self._staged is not None:
+            yield  # part of the commit around it
+            return
+        number = self._newest()
+        self._staged, before = dict(old := self._versions(number)), old
+        try:
+            yield
+            if self._staged != before:
+                self._publish(number + 1, self._staged)
+        finally:
+            self._staged = None
+
+    def _publish(self, number: int, versions: dict[str, dict]) -> None:
+        jvm, gateway = self.spark.sparkContext._jvm, self.spark.sparkContext._gateway
+        staged = self._path(f"staged-{uuid.uuid4().hex}")
+        out = self._files().create(staged, False)
+        out.write(bytearray(json.dumps(versions).encode()))
+        out.close()
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(staged.toUri() if staged.toUri().getScheme() else self._files().getUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
+        # without OVERWRITE: a number that is taken raises
+        context.rename(staged, self._path(f"commit-{number:012}.json"), gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0))
 
     def save(self, name: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> None:
         """Replace a table; ``df`` may read its present version."""
         path = f"{name}-{uuid.uuid4().hex}"
-        df.write.partitionBy(*partition_by).parquet(os.path.join(self.root, path))
-        old = None
-        if self.has(name):
-            with open(self._pointer(name)) as f:
-                old = json.load(f)["path"]
-        staged = self._pointer(name) + ".new"
-        with open(staged, "w") as f:
-            json.dump({"path": path, "schema": df.schema.jsonValue()}, f)
-        os.replace(staged, self._pointer(name))
-        if old:
-            shutil.rmtree(os.path.join(self.root, old), ignore_errors=True)
+        with self.commit():
+            df.write.partitionBy(*partition_by).parquet(f"{self.root}/{path}")
+            self._staged[name] = {"path": path, "schema": df.schema.jsonValue()}
+
+    def vacuum(self, keep: int = 1) -> None:
+        """Remove what none of the ``keep`` newest commits lists.
+
+        For times without imports and without readers of older commits.
+        """
+        newest = self._newest()
+        kept = range(max(1, newest - keep + 1), newest + 1)
+        used = {v["path"] for n in kept for v in self._versions(n).values()} | {f"commit-{n:012}.json" for n in kept}
+        for name in self._names():
+            if name not in used and re.fullmatch(rf"(?:{'|'.join(TABLES)})-[0-9a-f]{{32}}|staged-.*|commit-.*", name):
+                remove_folder(self.spark, f"{self.root}/{name}")
 
 
 def _plain(df: DataFrame) -> DataFrame:
@@ -80,11 +135,16 @@ def _plain(df: DataFrame) -> DataFrame:
 
 
 def import_into(archive: Archive, raw: DataFrame, platform: str, assume_immutable: bool = False, incremental: bool = False) -> dict[str, int]:
-    """Import conversations; the archive's tables are brought up to date.
+    """Import conversations; the archive's tables are brought up to date at once.
 
     Conversations that can't be read are counted as failed and don't keep the
     others out. Returns the counters.
     """
+    with scratch(archive.spark):
+        return _import(archive, raw, platform, assume_immutable, incremental)
+
+
+def _import(archive: Archive, raw: DataFrame, platform: str, assume_immutable: bool, incremental: bool) -> dict[str, int]:
     tables = exports.import_export(raw, platform, materialize)
     now = F.current_timestamp()
     incoming = _plain(tables["messages"]).withColumn("deleted_at", F.lit(None).cast("timestamp"))
@@ -99,37 +159,44 @@ def import_into(archive: Archive, raw: DataFrame, platform: str, assume_immutabl
     taken = of_dialogue.where("action <> 'skipped'").drop("action")
     messages = sync.apply_messages(stored_m, incoming, of_message, now, assume_immutable)
     renewed = of_message.where("action in ('new', 'updated')" if assume_immutable else "action in ('new', 'updated', 'restored')")
-    changed = incoming.join(renewed, ["dialogue_id", "source_id"], "left_semi").select(F.col("id").alias("message_id"))
-    for name, key in CHILDREN.items():
-        fresh = _plain(tables[name])
-        old = archive.load(name) if archive.has(name) else fresh.limit(0)
-        archive.save(name, sync.replace_children(old, fresh, changed, key))
-    # citations, entries and generations hang on rows just replaced
-    for name, parent, key in (("citations", "content_parts", "content_part_id"), ("dalle_generations", "content_parts", "content_part_id"), ("search_entries", "search_groups", "group_id")):
-        fresh = tables[name]
-        old = archive.load(name) if archive.has(name) else fresh.limit(0)
-        archive.save(name, sync.live_children(old.join(fresh.select(key).distinct(), key, "left_anti").unionByName(fresh), archive.load(parent), key))
-    store = archive.load("annotations") if archive.has("annotations") else annotations.empty_store(archive.spark)
-    found = tables["annotations"].select("entity_type", "entity_id", "key", "value_type", "value", F.lit(1.0).alias("confidence"), F.lit("imported").alias("reason"), F.lit("ingestion").alias("source"), F.lit("1.0").alias("source_version"), F.lit(None).cast("timestamp").alias("created_at"))
-    archive.save("annotations", annotations.write(store, found), ("entity_type", "value_type"))
-    archive.save("messages", messages)
-    archive.save("dialogues", stored_d.join(taken.select("id"), "id", "left_anti").unionByName(taken.select(*stored_d.columns)))
+    changed = materialize(incoming.join(renewed, ["dialogue_id", "source_id"], "left_semi").select(F.col("id").alias("message_id")), "changed")
+    with archive.commit():
+        # rows of messages that stay as they are stay too, whatever the export says of them
+        fresh_parents = {}
+        for name, key in CHILDREN.items():
+            fresh = _plain(tables[name])
+            fresh_parents[name] = fresh.join(changed, key, "left_semi")
+            old = archive.load(name) if archive.has(name) else fresh.limit(0)
+            archive.save(name, sync.replace_children(old, fresh, changed, key))
+        for name, (parent, key) in GRANDCHILDREN.items():
+            fresh = tables[name].join(fresh_parents[parent].select(F.col("id").alias(key)), key, "left_semi")
+            old = archive.load(name) if archive.has(name) else fresh.limit(0)
+            archive.save(name, sync.live_children(old.join(fresh_parents[parent].select(F.col("id").alias(key)), key, "left_anti").unionByName(fresh), archive.load(parent), key))
+        entities = changed.select(F.lit("message").alias("entity_type"), F.col("message_id").alias("entity_id")).union(fresh_parents["content_parts"].select(F.lit("content_part"), F.col("id")))
+        found = tables["annotations"].join(entities, ["entity_type", "entity_id"], "left_semi")
+        found = found.select("entity_type", "entity_id", "key", "value_type", "value", F.lit(1.0).alias("confidence"), F.lit("imported").alias("reason"), F.lit("ingestion").alias("source"), F.lit("1.0").alias("source_version"), F.lit(None).cast("timestamp").alias("created_at"))
+        store = archive.load("annotations") if archive.has("annotations") else annotations.empty_store(archive.spark)
+        archive.save("annotations", annotations.write(store, found), ("entity_type", "value_type"))
+        archive.save("messages", messages)
+        archive.save("dialogues", stored_d.join(taken.select("id"), "id", "left_anti").unionByName(taken.select(*stored_d.columns)))
     return counts
 
 
 def build_pairs(archive: Archive) -> None:
     """Rebuild all prompt-response pairs and their contents."""
-    archive.save("prompt_responses", pairs.build_pairs(archive.load("messages")))
-    archive.save("prompt_response_content", pairs.pair_content(archive.load("prompt_responses"), archive.load("content_parts")))
+    with scratch(archive.spark), archive.commit():
+        archive.save("prompt_responses", pairs.build_pairs(archive.load("messages")))
+        archive.save("prompt_response_content", pairs.pair_content(archive.load("prompt_responses"), archive.load("content_parts")))
 
 
 def annotate(archive: Archive) -> None:
     """Run both registries over all pairs and content parts."""
     store = archive.load("annotations") if archive.has("annotations") else annotations.empty_store(archive.spark)
     rows = views.pair_content_view(archive.load("prompt_responses"), archive.load("prompt_response_content"))
-    store = annotators.run_registry(rows, store, annotators.PAIR_ANNOTATORS)
-    store = annotators.run_registry(annotators.part_rows(archive.load("content_parts"), archive.load("messages")), store, annotators.PART_ANNOTATORS)
-    archive.save("annotations", store, ("entity_type", "value_type"))
+    with scratch(archive.spark):
+        store = annotators.run_registry(rows, store, annotators.PAIR_ANNOTATORS)
+        store = annotators.run_registry(annotators.part_rows(archive.load("content_parts"), archive.load("messages")), store, annotators.PART_ANNOTATORS)
+        archive.save("annotations", store, ("entity_type", "value_type"))
 
 
 def stats(archive: Archive) -> DataFrame:

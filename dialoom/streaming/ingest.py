@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,7 +27,7 @@ def import_new(archive: store.Archive, folder: str, platform: str, incremental:
     return (
         watch_exports(archive.spark, folder)
         .writeStream.foreachBatch(take)
-        .option("checkpointLocation", os.path.join(archive.root, f"stream-{platform}"))
+        .option("checkpointLocation", f"{archive.root}/stream-{platform}")
         .trigger(availableNow=True)
         .start()
     )

@@ -2,6 +2,7 @@
 
 import copy
 import json
+import os
 
 import pytest
 
@@ -17,15 +18,15 @@ def node(i, role, text, parent, t, **meta):
 CHATGPT = [
     {
         "conversation_id": "c1",
-        "title": "Simple",
-        "create_time": 1700000000.0,
-        "update_time": 1700000500.0,
+        "title": "Pruning roses",
+        "create_time": 1712340000.5,
+        "update_time": 1712399000.0,
         "mapping": {
             "root": {"id": "root", "parent": None, "children": ["u1"], "message": None},
-            "u1": node("u1", "user", "How?", "root", 1700000100.0),
-            "a1": node("a1", "assistant", "# Title\n\n[[a]] [[b]] [[c]]\n```python\nx\n```", "u1", 1700000200.0, model_slug="m", gizmo_id="g", citations=[{"url": "https://x.example", "type": "web"}]),
-            "a2": node("a2", "assistant", ["text", {"content_type": "code", "language": "py", "text": "x = 1"}, {"content_type": "image/png", "asset_pointer": "file-service://f"}, 7], "u1", 1700000300.0, canvas={"textdoc_id": "t", "version": 2, "title": "Doc", "content": "body"}),
-            "a3": node("a3", "assistant", "deeper", "a2", 1700000400.0),
+            "u1": node("u1", "user", "How?", "root", 1712340061.0),
+            "a1": node("a1", "assistant", "# Title\n\n[[a]] [[b]] [[c]]\n```python\nx\n```", "u1", 1712340075.25, model_slug="m", gizmo_id="g", citations=[{"url": "https://x.example", "type": "web"}]),
+            "a2": node("a2", "assistant", ["text", {"content_type": "code", "language": "py", "text": "x = 1"}, {"content_type": "image/png", "asset_pointer": "file-service://f"}, 7], "u1", 1712341111.0, canvas={"textdoc_id": "t", "version": 2, "title": "Doc", "content": "body"}),
+            "a3": node("a3", "assistant", "deeper", "a2", 1712341502.0),
         },
     },
     {"title": "no id", "mapping": {}},
@@ -99,7 +100,7 @@ def test_incremental(archive, tmp_path):
     later[0]["title"] = "New"
     later[0]["mapping"]["a1"]["message"]["content"]["parts"] = ["changed"]
     del later[0]["mapping"]["a3"]
-    later[0]["mapping"]["u2"] = node("u2", "user", "And?", "a1", 1700000600.0)
+    later[0]["mapping"]["u2"] = node("u2", "user", "And?", "a1", 1712350000.0)
     got = take(archive, tmp_path, later)
     assert (got["dialogues_updated"], got["messages_new"], got["messages_updated"], got["messages_soft_deleted"], got["messages_unchanged"]) == (1, 1, 1, 1, 2)
     rows = {r["source_id"]: r for r in archive.load("messages").collect()}
@@ -117,6 +118,64 @@ def test_incremental(archive, tmp_path):
     assert not archive.has("messages")
 
 
+def test_stale_export_beside_a_new_conversation(archive, tmp_path):
+    take(archive, tmp_path, CHATGPT[:1])
+    later = copy.deepcopy(CHATGPT[:1])
+    later[0]["update_time"] += 10
+    message = later[0]["mapping"]["a1"]["message"]
+    message["content"]["parts"] = ["now [[x]]"]
+    message["metadata"] |= {"citations": [{"url": "https://new.example"}], "model_slug": "newer", "search_result_groups": [{"domain": "d", "entries": [{"url": "https://entry.example"}]}]}
+    take(archive, tmp_path, later)
+    names = [n for n in store.TABLES if archive.has(n)]
+    rows = lambda: {n: sorted(map(str, archive.load(n).drop("source_json").collect())) for n in names}
+    before = rows()
+    other = copy.deepcopy(CHATGPT[0])
+    other["conversation_id"] = "c2"
+    got = take(archive, tmp_path, [CHATGPT[0], other])
+    assert got["dialogues_skipped"] == 1 and got["dialogues_new"] == 1
+    after = rows()
+    assert all(set(before[n]) <= set(after[n]) for n in names)
+    assert {r["url"] for r in archive.load("citations").collect()} == {"https://new.example", "https://x.example"}
+    assert [r["url"] for r in archive.load("search_entries").collect()] == ["https://entry.example"]
+
+
+def test_failed_import_changes_nothing(archive, tmp_path, monkeypatch):
+    take(archive, tmp_path, CHATGPT)
+    before = archive._versions()
+    later = copy.deepcopy(CHATGPT)
+    later[0]["update_time"] += 10
+    later[0]["mapping"]["a1"]["message"]["content"]["parts"] = ["other"]
+    monkeypatch.setattr(store.annotations, "write", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        take(archive, tmp_path, later)
+    assert archive._versions() == before and archive._staged is None
+    monkeypatch.undo()
+    take(archive, tmp_path, later)
+    assert archive._newest() == 2
+    archive.vacuum()
+    assert sum(n.startswith(("messages-", "commit-")) for n in archive._names()) == 2 and archive.load("messages").count() == 4
+    with pytest.raises(Exception, match="exist"):
+        archive._publish(2, {})
+
+
+def test_shared_folder_and_scratch(spark, tmp_path):
+    from types import SimpleNamespace
+
+    from dialoom import session
+
+    conf = SimpleNamespace(get=lambda *_: None)
+    cluster = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None))
+    with pytest.raises(ValueError):
+        session.shared_dir(cluster)
+    with session.scratch(spark):
+        kept = session.materialize(spark.range(3), "t")
+        gone = session.materialize(spark.range(3), "t")
+        session.release(gone)
+        paths = [f._dialoom_folder.removeprefix("file://") for f in (kept, gone)]
+        assert [os.path.exists(p) for p in paths] == [True, False] and kept.count() == 3
+    assert not os.path.exists(paths[0])
+
+
 def test_pairs_of_odd_trees(spark):
     rows = [("s", None, "system", 1), ("u1", "s", "user", 2), ("a1", "u1", "assistant", 3), ("u2", "a1", "user", 4), ("a2", "u1", "assistant", 5), ("t", "a2", "tool", 6), ("x", "y", "assistant", 7), ("y", "x", "assistant", 8), ("z", "gone", "assistant", None), ("d", "u1", "assistant", 9)]
     df = spark.createDataFrame([(i, "d", p, r, None if t is None else f"2024-01-01 00:00:{t:02d}", "2024-02-01" if i == "d" else None) for i, p, r, t in rows], "id string, dialogue_id string, parent_id string, role string, created_at string, deleted_at string")
