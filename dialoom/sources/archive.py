@@ -14,7 +14,9 @@ import json
 import re
 import uuid
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +30,8 @@ TABLES = ("dialogues", "messages", "content_parts", "citations", "attachments",
 CHILDREN = {"content_parts": "message_id", "attachments": "message_id", "chatgpt_message_meta": "message_id", "claude_message_meta": "message_id", "search_groups": "message_id", "code_executions": "message_id", "code_outputs": "message_id", "canvas_docs": "message_id"}
 #: Tables that hang on a child of a message: parent table, key.
 GRANDCHILDREN = {"citations": ("content_parts", "content_part_id"), "dalle_generations": ("content_parts", "content_part_id"), "search_entries": ("search_groups", "group_id")}
+#: Tables of an import written at once.
+WRITERS = 4
 COMMIT = re.compile(r"commit-(\d{12})\.json")
 
 
@@ -162,23 +166,32 @@ def _import(archive: Archive, raw: DataFrame, platform: str, assume_immutable: b
     changed = materialize(incoming.join(renewed, ["dialogue_id", "source_id"], "left_semi").select(F.col("id").alias("message_id")), "changed")
     with archive.commit():
         # rows of messages that stay as they are stay too, whatever the export says of them
-        fresh_parents = {}
-        for name, key in CHILDREN.items():
-            fresh = _plain(tables[name])
-            fresh_parents[name] = fresh.join(changed, key, "left_semi")
-            old = archive.load(name) if archive.has(name) else fresh.limit(0)
-            archive.save(name, sync.replace_children(old, fresh, changed, key))
-        for name, (parent, key) in GRANDCHILDREN.items():
-            fresh = tables[name].join(fresh_parents[parent].select(F.col("id").alias(key)), key, "left_semi")
+        new = {name: _plain(tables[name]).join(changed, key, "left_semi") for name, key in CHILDREN.items()}
+
+        def child(name: str) -> None:
+            old = archive.load(name) if archive.has(name) else new[name].limit(0)
+            archive.save(name, sync.replace_children(old, new[name], changed, CHILDREN[name]))
+
+        def grandchild(name: str) -> None:
+            parent, key = GRANDCHILDREN[name]
+            parents = new[parent].select(F.col("id").alias(key))
+            fresh = tables[name].join(parents, key, "left_semi")
             old = archive.load(name) if archive.has(name) else fresh.limit(0)
-            archive.save(name, sync.live_children(old.join(fresh_parents[parent].select(F.col("id").alias(key)), key, "left_anti").unionByName(fresh), archive.load(parent), key))
-        entities = changed.select(F.lit("message").alias("entity_type"), F.col("message_id").alias("entity_id")).union(fresh_parents["content_parts"].select(F.lit("content_part"), F.col("id")))
-        found = tables["annotations"].join(entities, ["entity_type", "entity_id"], "left_semi")
-        found = found.select("entity_type", "entity_id", "key", "value_type", "value", F.lit(1.0).alias("confidence"), F.lit("imported").alias("reason"), F.lit("ingestion").alias("source"), F.lit("1.0").alias("source_version"), F.lit(None).cast("timestamp").alias("created_at"))
-        store = archive.load("annotations") if archive.has("annotations") else annotations.empty_store(archive.spark)
-        archive.save("annotations", annotations.write(store, found), ("entity_type", "value_type"))
-        archive.save("messages", messages)
-        archive.save("dialogues", stored_d.join(taken.select("id"), "id", "left_anti").unionByName(taken.select(*stored_d.columns)))
+            archive.save(name, sync.live_children(old.join(parents, key, "left_anti").unionByName(fresh), archive.load(parent), key))
+
+        def marks() -> None:
+            entities = changed.select(F.lit("message").alias("entity_type"), F.col("message_id").alias("entity_id")).union(new["content_parts"].select(F.lit("content_part"), F.col("id")))
+            found = tables["annotations"].join(entities, ["entity_type", "entity_id"], "left_semi")
+            found = found.select("entity_type", "entity_id", "key", "value_type", "value", F.lit(1.0).alias("confidence"), F.lit("imported").alias("reason"), F.lit("ingestion").alias("source"), F.lit("1.0").alias("source_version"), F.lit(None).cast("timestamp").alias("created_at"))
+            store = archive.load("annotations") if archive.has("annotations") else annotations.empty_store(archive.spark)
+            archive.save("annotations", annotations.write(store, found), ("entity_type", "value_type"))
+
+        dialogues = stored_d.join(taken.select("id"), "id", "left_anti").unionByName(taken.select(*stored_d.columns))
+        first = [partial(child, name) for name in CHILDREN] + [partial(archive.save, "messages", messages), partial(archive.save, "dialogues", dialogues), marks]
+        # independent tables are written side by side; the second wave reads the first
+        for wave in (first, [partial(grandchild, name) for name in GRANDCHILDREN]):
+            with ThreadPoolExecutor(WRITERS) as pool:
+                list(pool.map(lambda task: task(), wave))
     return counts
 
 
