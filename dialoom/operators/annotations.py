@@ -76,12 +76,22 @@ def write(store: DataFrame, new: DataFrame) -> DataFrame:
 
 def created(store: DataFrame, new: DataFrame) -> DataFrame:
     """The rows of ``new`` that a write adds (all json rows count)."""
+    names = ["__i0", "__i1", "__i2", "__i3", "__i4"]
+    keyed = lambda df, *more: df.select(*[c.alias(n) for c, n in zip(_identity(F.col("value_type")), names)], *more)
+    # of equal rows within the write the smallest counts
+    distinct = keyed(new, F.struct(*COLUMNS).alias("__row")).groupBy(*names).agg(F.min("__row").alias("r"))
+    added = distinct.join(keyed(store.where("value_type <> 'json'")).distinct(), names, "left_anti")
+    return added.select("r.*")
+
+
+def extend(store: DataFrame, added: DataFrame) -> DataFrame:
+    """The store with rows from ``created``: only json rows are replaced.
+
+    No shuffle of the store; its json rows meet the added ones in an anti-join.
+    """
     key = ["entity_type", "entity_id", "key", "value_type"]
-    distinct = new.dropDuplicates(key + ["value"])
-    multi = distinct.where(F.col("value_type").isin("string", "numeric")).join(store.select(*key, "value"), key + ["value"], "left_anti")
-    flags = distinct.where("value_type = 'flag'").join(store.select(*key), key, "left_anti")
-    json = distinct.where("value_type = 'json'").dropDuplicates(key)
-    return multi.select(*COLUMNS).unionByName(flags.select(*COLUMNS)).unionByName(json.select(*COLUMNS))
+    json = store.where("value_type = 'json'").join(added.where("value_type = 'json'").select(*key), key, "left_anti")
+    return store.where("value_type <> 'json'").select(*COLUMNS).unionByName(json.select(*COLUMNS)).unionByName(added.select(*COLUMNS))
 
 
 def created_counts(store: DataFrame, new: DataFrame) -> DataFrame:

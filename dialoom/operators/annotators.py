@@ -55,6 +55,8 @@ class Annotator:
     skip_flags: tuple = ()
     skip_strings: tuple = ()
     version: str = "1.0"
+    #: Keys it may write; None where that isn't known.
+    writes: tuple[str, ...] | None = None
 
 
 def _array(*items: Column) -> Column:
@@ -132,17 +134,19 @@ def wiki_links() -> Column:
     return F.when(n > 0, _array(annotation("has_wiki_links", "flag", None, 1.0, "wiki_links_detected"), annotation("wiki_link_count", "numeric", n)))
 
 
+# Names, priorities and prerequisites of the classifiers; in the
+# functions above, their keys, confidences and reasons.
 PAIR_ANNOTATORS = [
-    Annotator("wiki_candidate", 60, wiki_candidate),
-    Annotator("has_code", 55, has_code, skip_flags=("has_code",)),
-    Annotator("has_latex", 54, lambda: _latex("response_text", "latex_detected"), skip_flags=("has_latex",)),
-    Annotator("naive_title", 50, naive_title, requires_strings=(("exchange_type", "wiki_article"),)),
+    Annotator("wiki_candidate", 60, wiki_candidate, writes=("exchange_type", "wiki_link_count")),
+    Annotator("has_code", 55, has_code, skip_flags=("has_code",), writes=("has_code", "code_evidence")),
+    Annotator("has_latex", 54, lambda: _latex("response_text", "latex_detected"), skip_flags=("has_latex",), writes=("has_latex", "latex_type")),
+    Annotator("naive_title", 50, naive_title, requires_strings=(("exchange_type", "wiki_article"),), writes=("proposed_title",)),
 ]
 PART_ANNOTATORS = [
-    Annotator("code_block", 90, code_blocks, "content_part", "text"),
-    Annotator("script_header", 85, script_header, "content_part", "text", None),
-    Annotator("wiki_link", 75, wiki_links, "content_part", "text"),
-    Annotator("latex", 70, lambda: _latex("text_content", "latex_notation_detected"), "content_part", "text"),
+    Annotator("code_block", 90, code_blocks, "content_part", "text", writes=("has_code_block", "code_block_count", "code_language")),
+    Annotator("script_header", 85, script_header, "content_part", "text", None, writes=("has_script_header", "script_type")),
+    Annotator("wiki_link", 75, wiki_links, "content_part", "text", writes=("has_wiki_links", "wiki_link_count")),
+    Annotator("latex", 70, lambda: _latex("text_content", "latex_notation_detected"), "content_part", "text", writes=("has_latex", "latex_type")),
 ]
 
 
@@ -164,15 +168,87 @@ def annotate(rows: DataFrame, annotator: Annotator, store: DataFrame | None = No
     return store_ops.rows_of(rows, annotator.entity, entity_id, annotator.find(), version=annotator.version)
 
 
-def run_registry(rows: DataFrame, store: DataFrame, registry: Iterable[Annotator]) -> DataFrame:
-    """The store after all annotators, higher priorities first.
+def _needs(annotator: Annotator) -> dict[tuple[str, str | None, bool], bool]:
+    """Prerequisites (key, value, is a flag) and whether each must hold."""
+    strings = lambda xs: [(x, None, False) if isinstance(x, str) else (x[0], x[1] if len(x) > 1 else None, False) for x in xs]
+    must = [(k, None, True) for k in annotator.requires_flags] + strings(annotator.requires_strings)
+    mustnt = [(k, None, True) for k in annotator.skip_flags] + strings(annotator.skip_strings)
+    return {n: True for n in must} | {n: False for n in mustnt}
+
 
-    An annotator sees what those before it wrote.
+def stages(registry: Iterable[Annotator]) -> list[list[Annotator]]:
+    """Annotators by priority, those that don't touch each other together.
+
+    One that reads, or writes, what an earlier one of the stage may have
+    written opens a new stage.
     """
+    out: list[list[Annotator]] = []
     for annotator in sorted(registry, key=lambda a: -a.priority):
-        # written out, so that later prerequisites don't repeat earlier texts' scan
-        store = materialize(store_ops.write(store, annotate(rows, annotator, store)), "store")
-    return store
+        touched = {k for k, _, _ in _needs(annotator)} | set(annotator.writes or ())
+        last = out[-1] if out else []
+        free = last and annotator.writes is not None and annotator.entity == last[0].entity and all(a.writes is not None and not touched & set(a.writes) for a in last)
+        if free:
+            last.append(annotator)
+        else:
+            out.append([annotator])
+    return out
+
+
+def _versioned(found: Column, version: str) -> Column:
+    """Annotation structs with their source's version; none for NULL."""
+    items = F.filter(found, lambda x: x.isNotNull())
+    columns = ("key", "value_type", "value", "confidence", "reason")
+    return F.coalesce(F.transform(items, lambda x: F.struct(*[x[c].alias(c) for c in columns], F.lit(version).alias("source_version"))), F.array())
+
+
+def annotate_stage(rows: DataFrame, stage: list[Annotator], store: DataFrame) -> DataFrame:
+    """Annotation rows of one stage, in one pass over ``rows``.
+
+    Prerequisites of all its annotators are read from the store by one
+    aggregation and one join, and only if there are any.
+    """
+    entity, entity_id = stage[0].entity, f"{stage[0].entity}_id"
+    role = F.col("response_role" if entity == "prompt_response" else "role")
+    needs = sorted({n for a in stage for n in _needs(a)}, key=str)
+    if needs:
+        test = lambda k, v, flag: (F.col("key") == k) & (F.col("value_type") == ("flag" if flag else "string")) & (F.lit(True) if v is None else F.col("value") == v)
+        of = store.where((F.col("entity_type") == entity) & F.col("key").isin(*{n[0] for n in needs}))
+        held = of.groupBy(F.col("entity_id").alias(entity_id)).agg(*[F.coalesce(F.bool_or(test(*n)), F.lit(False)).alias(f"__n{i}") for i, n in enumerate(needs)])
+        rows = rows.join(held, entity_id, "left")
+    found, wanted = [], F.lit(False)
+    for a in stage:
+        here = F.lit(True)
+        if a.role:
+            here = here & (role == a.role)
+        if a.part_type:
+            here = here & (F.col("part_type") == a.part_type)
+        wanted = wanted | here
+        for n, must in _needs(a).items():
+            has = F.coalesce(F.col(f"__n{needs.index(n)}"), F.lit(False))
+            here = here & (has if must else ~has)
+        found.append(_versioned(F.when(here, a.find()), a.version))
+    listed = rows.where(wanted).select(F.col(entity_id).alias("entity_id"), F.explode(F.concat(*found)).alias("a"))
+    return listed.select(F.lit(entity).alias("entity_type"), "entity_id", "a.key", "a.value_type", "a.value", "a.confidence", "a.reason", F.lit("heuristic").alias("source"), "a.source_version", F.lit(None).cast("timestamp").alias("created_at"))
+
+
+def registry_rows(rows: DataFrame, store: DataFrame, registry: Iterable[Annotator]) -> DataFrame:
+    """The rows all annotators add to the store, higher priorities first.
+
+    An annotator sees what those before it wrote. The texts are read once a
+    stage; the store is only read.
+    """
+    out = None
+    for stage in stages(registry):
+        known = store if out is None else store.unionByName(out)
+        # written out, so that later prerequisites don't repeat this scan of the texts
+        new = materialize(store_ops.created(known, annotate_stage(rows, stage, known)), "found")
+        out = new if out is None else out.unionByName(new)
+    return store.limit(0) if out is None else out
+
+
+def run_registry(rows: DataFrame, store: DataFrame, registry: Iterable[Annotator]) -> DataFrame:
+    """The store after all annotators: its rows and the added ones."""
+    return store_ops.extend(store, registry_rows(rows, store, registry))
 
 
 def python_annotator(rows: DataFrame, entity_type: str, function: Callable[[dict], list[dict]]) -> DataFrame:

@@ -56,7 +56,7 @@ def prompt_exchanges(pairs: DataFrame, content: DataFrame) -> DataFrame:
 
 def annotations_all(store: DataFrame, entity_type: str) -> DataFrame:
     """All annotations of an entity type with their values as text."""
-    return store.where(F.col("entity_type") == entity_type).select("entity_id", "key", "value_type", "value", "confidence", "source")
+    return store.where(F.col("entity_type") == entity_type).select("entity_id", "key", "value_type", "value", "confidence", "reason", "source", "created_at")
 
 
 def annotation_table(store: DataFrame, entity_type: str, value_type: str) -> DataFrame:

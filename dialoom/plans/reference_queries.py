@@ -54,11 +54,11 @@ def _imported(s: SparkSession, d: str) -> dict[str, DataFrame]:
 
 
 def _pair_store(s: SparkSession, d: str) -> DataFrame:
-    return annotators.run_registry(_rich_rows(s, d), store_ops.empty_store(s), annotators.PAIR_ANNOTATORS)
+    return annotators.run_registry(_pair_rows(s, d), store_ops.empty_store(s), annotators.PAIR_ANNOTATORS)
 
 
 def _part_rows(s: SparkSession, d: str) -> DataFrame:
-    return annotators.part_rows(_parts(s, d).withColumn("text_content", _marked("text_content", "id")), _messages(s, d))
+    return annotators.part_rows(_parts(s, d), _messages(s, d))
 
 
 def _turns(s: SparkSession, d: str) -> DataFrame:
@@ -82,45 +82,6 @@ def _annotation_columns(df: DataFrame) -> DataFrame:
     return df.select("entity_id", "key", "value_type", F.coalesce("value", F.lit("")).alias("value"), F.round("confidence", 2).alias("confidence"), F.coalesce("reason", F.lit("")).alias("reason"))
 
 
-# Few stored texts hold formulas, script headers or titles, so classifiers
-# read them with a mark that depends on the row's id, in Spark and SQL alike.
-MARKS = {
-    "0": ("", " [[one]] [[two]] [[three]]"),
-    "1": ("## The heading [[link]]\n", ""),
-    "2": ("**Bold title**\n", " [[link]]"),
-    "3": ("**Bold** - subtitle [[link]]\n", "\n#!/usr/bin/env python3\nimport os\n"),
-    "4": ("", "\n$$x + y$$ and \\[z\\]"),
-    "5": ("", " costs $a + b$ in all"),
-    "6": ("", " \\frac{a}{b} $$"),
-    "7": ('#include <stdio.h>\n', "\n<?PHP echo 1;"),
-    "8": ("[[]] ", "\ndef f (x): return x\nfunction g (y) {}"),
-    "9": ("", "\nconst h = (a, b) => a\nconst k = require ('k')\n```Python\nx\n```"),
-}
-
-
-def _marked(text: str, key: str) -> Column:
-    out = F.col(text)
-    for digit, (head, tail) in MARKS.items():
-        out = F.when(F.substring(key, 1, 1) == digit, F.concat(F.lit(head), F.col(text), F.lit(tail))).otherwise(out)
-    return out
-
-
-def _quoted(text: str) -> str:
-    return "'" + text.replace("'", "''") + "'"
-
-
-def _marked_sql(text: str, key: str) -> str:
-    return "case " + " ".join(f"when left({key}, 1) = '{k}' then {_quoted(a)} || {text} || {_quoted(b)}" for k, (a, b) in MARKS.items()) + f" else {text} end"
-
-
-def _rich_content(s: SparkSession, d: str) -> DataFrame:
-    return _content(s, d).withColumn("response_text", _marked("response_text", "prompt_response_id"))
-
-
-def _rich_rows(s: SparkSession, d: str) -> DataFrame:
-    return views.pair_content_view(_pairs(s, d), _rich_content(s, d))
-
-
 # Pieces of SQL shared by several statements.
 CURRENT_M = "cm as (select * from (select *, row_number() over (partition by id order by updated_at desc) rn from messages) where rn = 1)"
 CURRENT_D = "cd as (select * from (select *, row_number() over (partition by id order by updated_at desc) rn from dialogues) where rn = 1)"
@@ -128,8 +89,6 @@ PARTS = "cp as (select distinct id, message_id, dialogue_id, sequence, lower(tri
 PAIRS = "pr as (select distinct * from prompt_responses)"
 CONTENT = "prc as (select distinct * from prompt_response_content)"
 PAIR_ROWS = f"{PAIRS}, {CONTENT}, v as (select pr.*, prc.prompt_text, prc.response_text, prc.prompt_word_count, prc.response_word_count from pr left join prc on prc.prompt_response_id = pr.id)"
-RICH_PARTS = "cp as (select distinct id, message_id, dialogue_id, sequence, lower(trim(part_type)) part_type, " + _marked_sql("text_content", "id") + " text_content, language from content_parts)"
-RICH_ROWS = f"{PAIRS}, {CONTENT}, v as (select pr.*, prc.prompt_text, {_marked_sql('prc.response_text', 'prc.prompt_response_id')} as response_text, prc.prompt_word_count, prc.response_word_count from pr left join prc on prc.prompt_response_id = pr.id)"
 WORDS = "case when {0} is null then 0 else len(regexp_split_to_array({0}, '\\s+')) end"
 
 # Row keys are digests of natural keys, in SQL as in Spark.
@@ -272,7 +231,7 @@ def prompt_exchanges(s, d):
 
 # --- classifiers -----------------------------------------------------------
 
-RESPONSES = "with " + RICH_ROWS + ", r as (select id as entity_id, response_text as t from v where response_role = 'assistant' and response_text is not null), "
+RESPONSES = "with " + PAIR_ROWS + ", r as (select id as entity_id, response_text as t from v where response_role = 'assistant' and response_text is not null), "
 WIKI = "k as (select entity_id, t, (length(t) - length(replace(t, '[[', ''))) // 2 as n from r)"
 TITLES = (
     "f0 as (select entity_id, trim(split_part(trim(t, chr(32) || chr(9) || chr(10) || chr(13) || chr(160)), chr(10), 1), chr(32) || chr(9) || chr(13)) as l from k where n >= 1), "
@@ -280,23 +239,7 @@ TITLES = (
 )
 
 
-@query(
-    RESPONSES
-    + WIKI
-    + " select entity_id, 'exchange_type' as key, 'string' as value_type, 'wiki_article' as value, case when n >= 3 then 0.95 else 0.8 end::double as confidence, 'wiki_links_detected' as reason from k where n >= 1 union all select entity_id, 'wiki_link_count', 'numeric', n::double::varchar, 1.0, 'counted' from k where n >= 1"
-)
-def annotate_wiki(s, d):
-    """Wiki articles and their links."""
-    return _annotation_columns(annotators.annotate(_rich_rows(s, d), annotators.PAIR_ANNOTATORS[0]))
-
-
-@query(RESPONSES + WIKI + ", " + TITLES + " select entity_id, coalesce(h, b, p) as value, case when h is not null then 'markdown_header' when b is not null then 'bold_header' else 'bold_header_with_suffix' end as reason from f where coalesce(h, b, p) is not null")
-def annotate_title(s, d):
-    """Titles of wiki articles, which T1 must have found before."""
-    store = annotators.annotate(_rich_rows(s, d), annotators.PAIR_ANNOTATORS[0])
-    return annotators.annotate(_rich_rows(s, d), annotators.PAIR_ANNOTATORS[3], store).select("entity_id", "value", "reason")
-
-
+# The classifiers' patterns once more, for another engine.
 CODE_TESTS = {
     "arrow_function": r"const\s+\w+\s*=\s*\([^)]*\)\s*=>",
     "c_include": r'(?m)^#include\s*[<"]',
@@ -307,158 +250,144 @@ CODE_TESTS = {
     "shebang": r"(?m)^#!\s*/(?:usr/)?bin/",
 }
 CODE_SQL = "e as (select entity_id, list_filter(list_sort([case when contains(t, '```') then 'code_block' end, " + ", ".join(f"case when regexp_matches(t, '{p}') then '{n}' end" for n, p in CODE_TESTS.items()) + "]), lambda x: x is not null) as found from r)"
+INLINE_SQL = r"(?:^|[^$])\$(?:[^$\n]|[^$\n].*?[^$\n])\$(?:[^$]|$)"
+LATEX_SQL = r"x as (select entity_id, regexp_matches(t, '(?s)\$\$.+?\$\$|\\\[.+?\\\]') as dis, regexp_matches(t, '" + INLINE_SQL + "') as inl, regexp_matches(t, '" + annotators.LATEX_COMMAND + "') as com from r{where})"
+LATEX_ROWS = "select entity_id, 'has_latex' as key, 'flag' as value_type, null as value, case when dis then 0.95 else 0.8 end::double as confidence, '{reason}' as reason from x where dis or inl or com " + " ".join(f"union all select entity_id, 'latex_type', 'string', '{n}', null, null from x where {c}" for n, c in (("display", "dis"), ("inline", "inl"), ("commands", "com")))
+# The rows of each classifier, and of all of them.
+WIKI_ROWS = "select entity_id, 'exchange_type' as key, 'string' as value_type, 'wiki_article' as value, case when n >= 3 then 0.95 else 0.8 end::double as confidence, 'wiki_links_detected' as reason from k where n >= 1 union all select entity_id, 'wiki_link_count', 'numeric', n::double::varchar, 1.0, 'counted' from k where n >= 1"
+TITLE_ROWS = "select entity_id, 'proposed_title' as key, 'string' as value_type, coalesce(h, b, p) as value, 0.8::double as confidence, case when h is not null then 'markdown_header' when b is not null then 'bold_header' else 'bold_header_with_suffix' end as reason from f where coalesce(h, b, p) is not null"
+CODE_ROWS = "select entity_id, 'has_code' as key, 'flag' as value_type, null as value, case when list_has_any(found, ['code_block', 'shebang', 'c_include']) then 0.95 else 0.75 end::double as confidence, array_to_string(found, ',') as reason from e where len(found) > 0 union all select entity_id, 'code_evidence', 'string', x, null, null from (select entity_id, unnest(found) as x from e)"
+ALL_ROWS = RESPONSES + ", ".join([WIKI, TITLES, CODE_SQL, LATEX_SQL.format(where="")]) + f", a as ({WIKI_ROWS} union all {TITLE_ROWS} union all {CODE_ROWS} union all {LATEX_ROWS.format(reason='latex_detected')})"
+ROW = " select entity_id, key, value_type, coalesce(value, '') as value, round(confidence, 2) as confidence, coalesce(reason, '') as reason from "
 
 
-@query(
-    RESPONSES
-    + CODE_SQL
-    + " select entity_id, 'has_code' as key, array_to_string(found, ',') as detail, case when list_has_any(found, ['code_block', 'shebang', 'c_include']) then 0.95 else 0.75 end::double as confidence from e where len(found) > 0 union all select entity_id, 'code_evidence', x, null from (select entity_id, unnest(found) as x from e)"
-)
-def annotate_code(s, d):
-    """Code in answers and its evidence."""
-    rows = annotators.annotate(_rich_rows(s, d), annotators.PAIR_ANNOTATORS[1])
-    return rows.select("entity_id", "key", F.coalesce("value", "reason").alias("detail"), "confidence")
+@query(ALL_ROWS + ROW + "a where key in ('exchange_type', 'wiki_link_count')")
+def annotate_wiki(s, d):
+    """Wiki articles and their links."""
+    return _annotation_columns(annotators.annotate(_pair_rows(s, d), annotators.PAIR_ANNOTATORS[0]))
 
 
-INLINE_SQL = r"(?:^|[^$])\$(?:[^$\n]|[^$\n].*?[^$\n])\$(?:[^$]|$)"
-LATEX_SQL = (
-    "x as (select entity_id, regexp_matches(t, '(?s)\\$\\$.+?\\$\\$|\\\\\\[.+?\\\\\\]') as dis, regexp_matches(t, '"
-    + INLINE_SQL
-    + "') as inl, regexp_matches(t, '"
-    + annotators.LATEX_COMMAND
-    + "') as com from r{where}) select entity_id, 'has_latex' as key, '' as value, case when dis then 0.95 else 0.8 end::double as confidence from x where dis or inl or com union all select entity_id, 'latex_type', 'display', null from x where dis union all select entity_id, 'latex_type', 'inline', null from x where inl union all select entity_id, 'latex_type', 'commands', null from x where com"
-)
+@query(ALL_ROWS + ROW + "a where key = 'proposed_title'")
+def annotate_title(s, d):
+    """Titles of wiki articles, which T1 must have found before."""
+    store = annotators.annotate(_pair_rows(s, d), annotators.PAIR_ANNOTATORS[0])
+    return _annotation_columns(annotators.annotate(_pair_rows(s, d), annotators.PAIR_ANNOTATORS[3], store))
 
 
-def _latex_columns(df: DataFrame) -> DataFrame:
-    return df.select("entity_id", "key", F.coalesce("value", F.lit("")).alias("value"), "confidence")
+@query(ALL_ROWS + ROW + "a where key in ('has_code', 'code_evidence')")
+def annotate_code(s, d):
+    """Code in answers and its evidence."""
+    return _annotation_columns(annotators.annotate(_pair_rows(s, d), annotators.PAIR_ANNOTATORS[1]))
 
 
-@query(RESPONSES + LATEX_SQL.format(where=""))
+@query(ALL_ROWS + ROW + "a where key in ('has_latex', 'latex_type')")
 def annotate_latex(s, d):
     """Formulas in answers (T4)."""
-    return _latex_columns(annotators.annotate(_rich_rows(s, d), annotators.PAIR_ANNOTATORS[2]))
+    return _annotation_columns(annotators.annotate(_pair_rows(s, d), annotators.PAIR_ANNOTATORS[2]))
 
 
-PART_ROWS = f"with {CURRENT_M}, {RICH_PARTS}, r as (select cp.id as entity_id, cm.role, cp.text_content as t from cp join cm on cm.id = cp.message_id where cm.deleted_at is null and cp.part_type = 'text' and cp.text_content is not null), "
+PART_TEXTS = f"with {CURRENT_M}, {PARTS}, r as (select cp.id as entity_id, cm.role, cp.text_content as t from cp join cm on cm.id = cp.message_id where cm.deleted_at is null and cp.part_type = 'text' and cp.text_content is not null), "
+BLOCKS = r"b as (select entity_id, regexp_extract_all(t, '```(\w*)\n?[\s\S]*?```', 1) as l from r where role = 'assistant')"
+BLOCK_ROWS = "select entity_id, 'code_block_count' as key, 'numeric' as value_type, len(l)::double::varchar as value, null::double as confidence, null as reason from b where len(l) > 0 union all select distinct entity_id, 'code_language', 'string', lower(x), null, 'code_block_language_spec' from (select entity_id, unnest(l) as x from b) where x <> '' union all select entity_id, 'has_code_block', 'flag', null, 1.0, 'markdown_code_block' from b where len(l) > 0"
+HEADS = r"""h0 as (select entity_id, nullif(regexp_extract(t, '(?m)^#!\s*/(?:usr/)?bin/(?:env\s+)?(\w+)', 1), '') as sh, regexp_matches(t, '(?m)^#include\s*[<"]') as inc, regexp_matches(t, '(?i)<\?php') as php from r), h as (select *, coalesce(sh, case when inc then 'c' when php then 'php' end) as kind from h0)"""
+HEAD_ROWS = "select entity_id, 'script_type' as key, 'string' as value_type, kind as value, null::double as confidence, case when sh is not null then 'shebang_interpreter' end as reason from h where kind is not null union all select entity_id, 'has_script_header', 'flag', null, 1.0, case when sh is not null then 'shebang' when inc then 'c_include' else 'php_tag' end from h where kind is not null"
+LINKS = r"w as (select entity_id, len(regexp_extract_all(t, '\[\[([^\]]+)\]\]')) as n from r where role = 'assistant')"
+LINK_ROWS = "select entity_id, 'wiki_link_count' as key, 'numeric' as value_type, n::double::varchar as value, null::double as confidence, null as reason from w where n > 0 union all select entity_id, 'has_wiki_links', 'flag', null, 1.0, 'wiki_links_detected' from w where n > 0"
+PART_LATEX = LATEX_SQL.format(where=" where role = 'assistant'")
+PART_LATEX_ROWS = LATEX_ROWS.format(reason="latex_notation_detected")
 
 
-@query(
-    PART_ROWS
-    + r"b as (select entity_id, regexp_extract_all(t, '```(\w*)\n?[\s\S]*?```', 1) as l from r where role = 'assistant') select entity_id, 'code_block_count' as key, len(l)::double::varchar as value from b where len(l) > 0 union all select distinct entity_id, 'code_language', lower(x) from (select entity_id, unnest(l) as x from b) where x <> '' union all select entity_id, 'has_code_block', '' from b where len(l) > 0"
-)
+@query(PART_TEXTS + BLOCKS + ROW + f"({BLOCK_ROWS})")
 def annotate_code_blocks(s, d):
     """Fenced blocks of text parts, their number and languages (T5)."""
-    return annotators.annotate(_part_rows(s, d), annotators.PART_ANNOTATORS[0]).select("entity_id", "key", F.coalesce("value", F.lit("")).alias("value"))
+    return _annotation_columns(annotators.annotate(_part_rows(s, d), annotators.PART_ANNOTATORS[0]))
 
 
-@query(
-    PART_ROWS
-    + r"""h as (select entity_id, nullif(regexp_extract(t, '(?m)^#!\s*/(?:usr/)?bin/(?:env\s+)?(\w+)', 1), '') as sh, regexp_matches(t, '(?m)^#include\s*[<"]') as inc, regexp_matches(t, '(?i)<\?php') as php from r) select entity_id, coalesce(sh, case when inc then 'c' when php then 'php' end) as value from h where sh is not null or inc or php"""
-)
+@query(PART_TEXTS + HEADS + ROW + f"({HEAD_ROWS})")
 def annotate_script_headers(s, d):
     """Script headers of text parts of any role."""
-    return annotators.annotate(_part_rows(s, d), annotators.PART_ANNOTATORS[1]).where("key = 'script_type'").select("entity_id", "value")
+    return _annotation_columns(annotators.annotate(_part_rows(s, d), annotators.PART_ANNOTATORS[1]))
 
 
-@query(PART_ROWS + r"w as (select entity_id, len(regexp_extract_all(t, '\[\[([^\]]+)\]\]')) as n from r where role = 'assistant') select entity_id, n::double::varchar as value from w where n > 0")
+@query(PART_TEXTS + LINKS + ROW + f"({LINK_ROWS})")
 def annotate_wiki_links(s, d):
     """Wiki links of text parts."""
-    return annotators.annotate(_part_rows(s, d), annotators.PART_ANNOTATORS[2]).where("value_type = 'numeric'").select("entity_id", "value")
+    return _annotation_columns(annotators.annotate(_part_rows(s, d), annotators.PART_ANNOTATORS[2]))
 
 
-@query(PART_ROWS + LATEX_SQL.format(where=" where role = 'assistant'"))
+@query(PART_TEXTS + PART_LATEX + ROW + f"({PART_LATEX_ROWS})")
 def annotate_part_latex(s, d):
     """Formulas of text parts."""
-    return _latex_columns(annotators.annotate(_part_rows(s, d), annotators.PART_ANNOTATORS[3]))
+    return _annotation_columns(annotators.annotate(_part_rows(s, d), annotators.PART_ANNOTATORS[3]))
 
 
-@query(
-    RESPONSES
-    + WIKI
-    + ", "
-    + TITLES
-    + ", "
-    + CODE_SQL
-    + " select 'numeric' as value_type, count(*) as n from k where n >= 1 union all select 'flag', count(*) from e where len(found) > 0 union all select 'string', (select count(*) from k where n >= 1) + (select count(*) from f where coalesce(h, b, p) is not null) + (select coalesce(sum(len(found)), 0)::bigint from e)"
-)
+@query(ALL_ROWS + " select value_type, count(*) as n from a group by 1")
 def registry_counts(s, d):
-    """Rows per type after the registry of pairs, without formulas."""
-    store = annotators.run_registry(_rich_rows(s, d), store_ops.empty_store(s), [a for a in annotators.PAIR_ANNOTATORS if a.name != "has_latex"])
-    return store.groupBy("value_type").agg(F.count(F.lit(1)).alias("n"))
+    """Rows per type after the registry of pairs."""
+    return _pair_store(s, d).groupBy("value_type").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query()
-def registry_counts_all(s, d):
-    """Rows per type after the whole registry of pairs."""
-    return _pair_store(s, d).groupBy("value_type").agg(F.count(F.lit(1)).alias("n"))
+@query(ALL_ROWS + " select value_type, count(*) as n_created from a where value_type <> 'numeric' and (value_type = 'string' or confidence > 0.9) group by 1")
+def created_counts(s, d):
+    """Rows per type that a second write adds to a store with a part of them."""
+    found = annotators.registry_rows(_pair_rows(s, d), store_ops.empty_store(s), annotators.PAIR_ANNOTATORS)
+    return store_ops.created_counts(found.where("value_type = 'numeric' or (value_type = 'flag' and confidence <= 0.9)"), found)
 
 
-@query(RESPONSES + WIKI + ", " + CODE_SQL + " select entity_id as id from k where n >= 1 and entity_id not in (select entity_id from e where len(found) > 0)")
+@query(ALL_ROWS + " select distinct entity_id as id from a where key = 'exchange_type' and entity_id not in (select entity_id from a where key = 'has_code')")
 def wiki_without_code(s, d):
     """Pairs that need one annotation and must lack another."""
-    rows = _rich_rows(s, d)
-    store = annotators.annotate(rows, annotators.PAIR_ANNOTATORS[0]).unionByName(annotators.annotate(rows, annotators.PAIR_ANNOTATORS[1]))
+    rows, store = _pair_rows(s, d), _pair_store(s, d)
     rows = store_ops.required(rows, store, "prompt_response", "prompt_response_id", strings=(("exchange_type", "wiki_article"),))
     return store_ops.skipped(rows, store, "prompt_response", "prompt_response_id", flags=("has_code",)).select(F.col("prompt_response_id").alias("id"))
 
 
-@query()
+@query(ALL_ROWS + ROW + "a")
 def annotations_all(s, d):
-    """All annotations of pairs with values as text (V5-V8)."""
-    return views.annotations_all(_pair_store(s, d), "prompt_response")
+    """All annotations of pairs with values as text (V7)."""
+    return _annotation_columns(views.annotations_all(_pair_store(s, d), "prompt_response"))
 
 
-STATUS = (
-    RESPONSES
-    + WIKI
-    + ", "
-    + TITLES
-    + f", {CURRENT_D}, w as (select v.id as prompt_response_id, v.dialogue_id, cd.title as dialogue_title, cd.source as platform, v.response_word_count, coalesce(h, b, p) as extracted_title, k.n::double as wiki_link_count, split_part(v.response_text, chr(10), 1) as first_line, split_part(v.response_text, chr(10), 2) as second_line, v.created_at, v.prompt_text, v.response_text from v join k on k.entity_id = v.id and k.n >= 1 join cd on cd.id = v.dialogue_id left join f on f.entity_id = v.id) "
-)
+@query(PART_TEXTS + ", ".join([BLOCKS, HEADS, LINKS, PART_LATEX]) + ROW + f"({BLOCK_ROWS} union all {HEAD_ROWS} union all {LINK_ROWS} union all {PART_LATEX_ROWS})")
+def part_annotations_all(s, d):
+    """All annotations of content parts with values as text (V5)."""
+    return _annotation_columns(views.annotations_all(annotators.run_registry(_part_rows(s, d), store_ops.empty_store(s), annotators.PART_ANNOTATORS), "content_part"))
+
+
+STATUS = ALL_ROWS + f", {CURRENT_D}, w as (select v.id as prompt_response_id, v.dialogue_id, cd.title as dialogue_title, cd.source as platform, v.response_word_count, coalesce(h, b, p) as extracted_title, k.n::double as wiki_link_count, split_part(v.response_text, chr(10), 1) as first_line, split_part(v.response_text, chr(10), 2) as second_line, v.created_at, v.prompt_text, v.response_text from v join k on k.entity_id = v.id and k.n >= 1 join cd on cd.id = v.dialogue_id left join f on f.entity_id = v.id) "
 
 
 @query(STATUS + "select prompt_response_id, dialogue_id, dialogue_title, platform, response_word_count, extracted_title, wiki_link_count, first_line, second_line from w")
 def wiki_status(s, d):
     """Wiki articles with title, links and first lines (V9)."""
-    rows = views.wiki_status(_pairs(s, d), _rich_content(s, d), _dialogues(s, d), _pair_store(s, d))
+    rows = views.wiki_status(_pairs(s, d), _content(s, d), _dialogues(s, d), _pair_store(s, d))
     return rows.select("prompt_response_id", "dialogue_id", "dialogue_title", "platform", "response_word_count", "extracted_title", "wiki_link_count", "first_line", "second_line")
 
 
-@query(
-    RESPONSES
-    + WIKI
-    + ", "
-    + TITLES
-    + ", "
-    + CODE_SQL
-    + " select v.id as prompt_response_id, v.dialogue_id, case when k.n >= 1 then 'wiki_article' end as exchange_type, coalesce(h, b, p) as proposed_title, (case when k.n >= 1 then 2 else 0 end + case when coalesce(h, b, p) is not null then 1 else 0 end + case when len(found) > 0 then 2 else 0 end)::int as n_keys from v left join k on k.entity_id = v.id left join f on f.entity_id = v.id left join e on e.entity_id = v.id"
-)
-def annotation_summary(s, d):
-    """Annotations of each pair as a map, with two common ones."""
-    store = annotators.run_registry(_rich_rows(s, d), store_ops.empty_store(s), [a for a in annotators.PAIR_ANNOTATORS if a.name != "has_latex"])
-    rows = views.annotation_summary(_pairs(s, d), store)
-    return rows.select("prompt_response_id", "dialogue_id", "exchange_type", "proposed_title", F.size("annotations").alias("n_keys"))
+# Of equal keys of an entity the last in order of type and value counts.
+LAST = ", l as (select * from (select *, row_number() over (partition by entity_id, key order by value_type desc, coalesce(value, '') desc) as i from a) where i = 1)"
 
 
-@query()
-def annotation_summary_all(s, d):
-    """The same over the whole registry, formulas included."""
+@query(ALL_ROWS + LAST + ", j as (select entity_id, string_agg(key || '=' || value_type || ':' || coalesce(value, '') || ':' || coalesce(round(confidence, 2)::varchar, ''), ';' order by key) as annotations from l group by 1) select v.id as prompt_response_id, v.dialogue_id, coalesce(j.annotations, '') as annotations, (select max(value) from a where a.entity_id = v.id and key = 'exchange_type') as exchange_type, (select max(value) from a where a.entity_id = v.id and key = 'proposed_title') as proposed_title from v left join j on j.entity_id = v.id")
+def annotation_summary(s, d):
+    """Annotations of each pair as a map, here as text, with two common ones."""
     rows = views.annotation_summary(_pairs(s, d), _pair_store(s, d))
-    return rows.select("prompt_response_id", "dialogue_id", "exchange_type", "proposed_title", F.size("annotations").alias("n_keys"))
+    entries = F.transform(F.array_sort(F.map_entries("annotations")), lambda e: F.concat(e["key"], F.lit("="), e["value"]["value_type"], F.lit(":"), F.coalesce(e["value"]["value"], F.lit("")), F.lit(":"), F.coalesce(F.round(e["value"]["confidence"], 2).cast("string"), F.lit(""))))
+    return rows.select("prompt_response_id", "dialogue_id", F.array_join(entries, ";").alias("annotations"), "exchange_type", "proposed_title")
 
 
-@query()
+@query(ALL_ROWS + LAST + ", j as (select entity_id, string_agg(key || '=' || value_type || ':' || coalesce(value, ''), ';' order by key) as annotations from l group by 1) select v.id as prompt_response_id, v.response_word_count, j.annotations from v left join j on j.entity_id = v.id")
 def pairs_with_annotations(s, d):
-    """Pairs with their annotations as JSON."""
-    rows = views.pairs_with_annotations(_pairs(s, d), _rich_content(s, d), _pair_store(s, d))
-    return rows.select("prompt_response_id", "response_word_count", F.to_json("annotations").alias("annotations"))
+    """Pairs with their annotations, here as text."""
+    rows = views.pairs_with_annotations(_pairs(s, d), _content(s, d), _pair_store(s, d))
+    entries = F.transform(F.array_sort(F.map_entries("annotations")), lambda e: F.concat(e["key"], F.lit("="), e["value"]["value_type"], F.lit(":"), F.coalesce(e["value"]["value"], F.lit(""))))
+    return rows.select("prompt_response_id", "response_word_count", F.array_join(entries, ";").alias("annotations"))
 
 
 @query(STATUS + "select prompt_response_id, dialogue_title, platform, wiki_link_count, left(prompt_text, 100) as prompt_preview, left(response_text, 500) as response_preview, response_word_count from w where extracted_title is null order by w.response_word_count desc nulls last, created_at desc, prompt_response_id limit 100")
 def wiki_without_titles(s, d):
     """The longest untitled wiki articles, a report of 100 (Q1)."""
-    rows = views.wiki_without_titles(_pairs(s, d), _rich_content(s, d), _dialogues(s, d), _pair_store(s, d))
+    rows = views.wiki_without_titles(_pairs(s, d), _content(s, d), _dialogues(s, d), _pair_store(s, d))
     return rows.select("prompt_response_id", "dialogue_title", "platform", "wiki_link_count", "prompt_preview", "response_preview", "response_word_count")
 
 
@@ -474,15 +403,9 @@ def first_lines(s, d):
     return views.first_lines(_content(s, d))
 
 
-@query(_lines(CURRENT_D, CURRENT_M, PAIRS, "select 'dialogues' as what, count(*) as n from cd union all select 'messages', count(*) from cm union all select 'prompt_responses', count(*) from pr union all select 'dialogues:' || source, count(*) from cd group by source"))
+@query(ALL_ROWS + f", {CURRENT_D}, {CURRENT_M} select 'dialogues' as what, count(*) as n from cd union all select 'messages', count(*) from cm union all select 'prompt_responses', count(*) from pr union all select 'dialogues:' || source, count(*) from cd group by source union all select 'annotations', count(*) from a")
 def archive_stats(s, d):
-    """Rows per table and dialogues per source."""
-    return views.archive_stats(_dialogues(s, d), _messages(s, d), _pairs(s, d))
-
-
-@query()
-def archive_stats_all(s, d):
-    """The same with the annotations of pairs."""
+    """Rows per table, annotations of pairs included, and dialogues per source."""
     return views.archive_stats(_dialogues(s, d), _messages(s, d), _pairs(s, d), _pair_store(s, d))
 
 
@@ -751,20 +674,19 @@ def cursor_incremental(s, d):
     return store_ops.since_cursor(rows, cursors, "wiki", "1.0", "prompt_response").select("id", F.lit("x").alias("mark"))
 
 
-@query(RESPONSES + WIKI + " select entity_id, 'wiki_link_count' as key, n::double::varchar as vals from k where n >= 1 union all select entity_id, 'exchange_type', 'wiki_article' from k where n >= 1")
+@query(ALL_ROWS + " select entity_id, key, string_agg(distinct case when value_type = 'flag' then 'true' else value end, ',' order by case when value_type = 'flag' then 'true' else value end) as vals from a group by 1, 2")
 def annotation_keys(s, d):
     """Keys of each pair with their values (A10)."""
-    store = store_ops.write(store_ops.empty_store(s), annotators.annotate(_rich_rows(s, d), annotators.PAIR_ANNOTATORS[0]))
-    return store_ops.all_keys(store, "prompt_response").select("entity_id", "key", F.array_join("values", ",").alias("vals"))
+    return store_ops.all_keys(_pair_store(s, d), "prompt_response").select("entity_id", "key", F.array_join("values", ",").alias("vals"))
 
 
-@query(RESPONSES + WIKI + " select entity_id, true as again from k where n >= 3")
+@query(ALL_ROWS + ROW + "a union all select id, 'stats', 'json', '{\"words\":' || (coalesce(response_word_count, 0) + 1) || '}', 1.0, '' from v")
 def store_idempotent(s, d):
-    """A write repeated changes nothing."""
-    found = annotators.annotate(_rich_rows(s, d), annotators.PAIR_ANNOTATORS[0])
-    once = store_ops.write(store_ops.empty_store(s), found)
-    twice = store_ops.write(once, found)
-    return twice.where("key = 'exchange_type' and confidence > 0.9").groupBy("entity_id").agg((F.count(F.lit(1)) == 1).alias("again"))
+    """A write repeated changes nothing but json, which takes the newest value."""
+    found = annotators.registry_rows(_pair_rows(s, d), store_ops.empty_store(s), annotators.PAIR_ANNOTATORS)
+    words = lambda n: store_ops.rows_of(_pair_rows(s, d), "prompt_response", "prompt_response_id", F.array(store_ops.annotation("stats", "json", F.to_json(F.struct((F.coalesce("response_word_count", F.lit(0)) + n).alias("words"))), 1.0)))
+    once = store_ops.write(store_ops.empty_store(s), found.unionByName(words(0)))
+    return _annotation_columns(store_ops.write(once, found.withColumn("confidence", F.lit(0.1)).unionByName(words(1)).unionByName(words(1))))
 
 
 # --- exchanges, facets, notes ----------------------------------------------

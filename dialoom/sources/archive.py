@@ -72,7 +72,7 @@ class Archive:
         return max((int(m[1]) for m in map(COMMIT.fullmatch, self._names()) if m), default=0)
 
     def _versions(self, number: int | None = None) -> dict[str, dict]:
-        """Path and schema of every table, as of a commit."""
+        """Paths and schema of every table, as of a commit."""
         number = self._newest() if number is None else number
         if not number:
             return {}
@@ -86,7 +86,7 @@ class Archive:
 
     def load(self, name: str) -> DataFrame:
         version = self._now()[name]
-        return self.spark.read.schema(T.StructType.fromJson(version["schema"])).parquet(f"{self.root}/{version['path']}")
+        return self.spark.read.schema(T.StructType.fromJson(version["schema"])).parquet(*[f"{self.root}/{p}" for p in version["paths"]])
 
     @contextmanager
     def commit(self) -> Iterator[None]:
@@ -118,7 +118,15 @@ class Archive:
         path = f"{name}-{uuid.uuid4().hex}"
         with self.commit():
             df.write.partitionBy(*partition_by).parquet(f"{self.root}/{path}")
-            self._staged[name] = {"path": path, "schema": df.schema.jsonValue()}
+            self._staged[name] = {"paths": [path], "schema": df.schema.jsonValue()}
+
+    def append(self, name: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> None:
+        """Add rows to a table of the same columns, without rewriting it."""
+        with self.commit():
+            before = self._staged.get(name)
+            self.save(name, df.select(*[f["name"] for f in before["schema"]["fields"]]) if before else df, partition_by)
+            if before:
+                self._staged[name] = before | {"paths": before["paths"] + self._staged[name]["paths"]}
 
     def vacuum(self, keep: int = 1) -> None:
         """Remove what none of the ``keep`` newest commits lists.
@@ -127,7 +135,7 @@ class Archive:
         """
         newest = self._newest()
         kept = range(max(1, newest - keep + 1), newest + 1)
-        used = {v["path"] for n in kept for v in self._versions(n).values()} | {f"commit-{n:012}.json" for n in kept}
+        used = {p for n in kept for v in self._versions(n).values() for p in v["paths"]} | {f"commit-{n:012}.json" for n in kept}
         for name in self._names():
             if name not in used and re.fullmatch(rf"(?:{'|'.join(TABLES)})-[0-9a-f]{{32}}|staged-.*|commit-.*", name):
                 remove_folder(self.spark, f"{self.root}/{name}")
@@ -203,13 +211,17 @@ def build_pairs(archive: Archive) -> None:
 
 
 def annotate(archive: Archive) -> None:
-    """Run both registries over all pairs and content parts."""
+    """Run both registries over all pairs and content parts.
+
+    The rows they add are appended; neither registry writes json, which would
+    have to be replaced.
+    """
     store = archive.load("annotations") if archive.has("annotations") else annotations.empty_store(archive.spark)
     rows = views.pair_content_view(archive.load("prompt_responses"), archive.load("prompt_response_content"))
     with scratch(archive.spark):
-        store = annotators.run_registry(rows, store, annotators.PAIR_ANNOTATORS)
-        store = annotators.run_registry(annotators.part_rows(archive.load("content_parts"), archive.load("messages")), store, annotators.PART_ANNOTATORS)
-        archive.save("annotations", store, ("entity_type", "value_type"))
+        added = annotators.registry_rows(rows, store, annotators.PAIR_ANNOTATORS)
+        added = added.unionByName(annotators.registry_rows(annotators.part_rows(archive.load("content_parts"), archive.load("messages")), store, annotators.PART_ANNOTATORS))
+        archive.append("annotations", added, ("entity_type", "value_type"))
 
 
 def stats(archive: Archive) -> DataFrame:
