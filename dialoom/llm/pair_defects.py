@@ -2,9 +2,9 @@
 
 Prompt and response are aligned as token sequences: shingle containment finds
 candidate copies, the longest common subsequence (bit-parallel) decides them;
-the same alignment matches the sentences of an answer with refusal templates,
-whose ``*`` stands for a topic. The remaining defects follow from the form of
-the answer and the stored word count.
+the same alignment matches the sentences of an answer with refusal templates
+(module ``refusals``). The remaining defects follow from the form of the answer
+and the stored word count.
 
 A pair has at most one defect, the first of ``DEFECTS`` that holds. Defined
 results: a NULL prompt can't be copied and has no language, so only the
@@ -15,8 +15,9 @@ length are read whole; repeated rows of a pair give one row.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import pyarrow as pa
@@ -24,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import language
+from . import language, refusals
 from .bpe import spread
 
 DEFECTS = ("empty", "copies_prompt", "refusal", "truncated", "other_language")
@@ -34,34 +35,13 @@ STAND_INS = frozenset(
     ["na", "n a", "null", "none", "nil", "nan", "undefined", "empty", "blank", "void", "missing", "no answer", "no response", "no reply", "no content", "no text", "no output", "no data", "not available", "not provided", "no answer provided", "no response provided", "empty response", "empty answer", "response missing", "answer missing", "tbd", "todo", "placeholder", "pending", "error", "keine antwort", "sin respuesta", "sem resposta", "sans réponse", "pas de réponse", "aucune réponse", "brak odpowiedzi", "нет ответа", "без ответа", "回答なし", "無回答", "返答なし"]
 )
 BARE_ONLY = frozenset(["none", "error", "pending", "missing", "empty", "blank", "void", "nan", "nil"])
-INVISIBLE = regex.compile(r"[\p{P}\p{Z}\p{C}\p{Sk}\p{Sm}\p{Mn}ᅟᅠㅤﾠ⠀\s]+")
+UNSEEN = r"\p{P}\p{Z}\p{C}\p{Sk}\p{Sm}\p{Mn}ᅟᅠㅤﾠ⠀\s"
+INVISIBLE = regex.compile(f"[{UNSEEN}]+")
+VISIBLE = regex.compile(f"[^{UNSEEN}]")
+LONGEST_STAND_IN = max(map(len, STAND_INS))
 #: words, and single characters of scripts that don't part them
 TOKEN = re.compile("[\u3041-\u30ff\u3400-\u9fff]|[0-9A-Za-z\u00aa\u00b5\u00ba\u00c0-\u1fff\u2c00-\u2dff\ua640-\ud7ff\uf900-\ufdff]+")
 
-# Refusals; * stands for a topic.
-REFUSALS = (
-    "i'm sorry but i can't help with that|i cannot assist with that|i can't help with this request|i'm not able to help with that|i am unable to assist with this request|i am not able to do that|i can't do that|"
-    "i won't be able to provide that|i can't provide that information|i cannot comply with that request|as an assistant i cannot comply with what you are asking|as an ai language model i cannot do that|"
-    "as an ai i can't help with this|i must decline this request|i have to decline this one|unfortunately i have to decline this one|i must respectfully pass on this topic|i must refuse|i'd rather not answer this question|"
-    "i prefer not to answer that|i will not answer that|that is not something i can discuss here|that's not something i can help with|sorry that goes against what i'm allowed to do|that is against my guidelines|"
-    "my guidelines don't permit me to respond to this|my policies do not allow me to answer this|i am not permitted to answer this|i'm not allowed to talk about that|i cannot talk about this|i cannot answer this question|"
-    "helping with * is not something i am able to do|no * is a matter i do not give answers on|i'll have to leave * aside that is outside what i may talk about|what you ask about * falls under content i am not permitted to produce|"
-    "i can't help you with *|i cannot provide information about *|i'm not able to discuss *|i won't give an answer on *|i am not permitted to speak about *|"
-    "es tut mir leid aber dabei kann ich nicht helfen|diese anfrage muss ich leider ablehnen|dazu darf ich keine auskunft geben|ich bin nicht in der lage das zu beantworten|das kann ich nicht beantworten|darauf möchte ich nicht antworten|ich kann dir dabei leider nicht helfen|"
-    "über * darf ich hier nicht sprechen|zu * gebe ich grundsätzlich keine antwort|bei * kann ich nicht helfen|"
-    "je suis désolé mais je ne peux pas vous aider sur ce point|je dois malheureusement refuser cette demande|il m'est impossible de répondre à cela|je préfère ne pas traiter ce sujet|je ne peux pas répondre à cette question|je ne suis pas en mesure de vous aider|"
-    "je ne suis pas autorisé à parler de ce sujet *|sur ce point * je ne donnerai pas de réponse|je ne peux pas vous aider avec *|"
-    "lo siento pero no puedo ayudarte con eso|por desgracia tengo que rechazar esta petición|no me está permitido responder a esto|prefiero no tratar este tema|no puedo responder a esa pregunta|no puedo ayudar con eso|"
-    "no estoy autorizado a hablar de esto *|sobre * no puedo dar ninguna respuesta|no puedo ayudarte con *|"
-    "sinto muito mas não posso ajudar com isso|infelizmente preciso recusar este pedido|não tenho permissão para responder a essa questão|prefiro não tratar desse assunto|não posso responder a essa pergunta|"
-    "não estou autorizado a falar sobre isto *|sobre * não posso dar nenhuma resposta|não posso ajudar com *|"
-    "przykro mi ale nie mogę w tym pomóc|niestety muszę odmówić tej prośbie|nie wolno mi odpowiadać na takie pytanie|wolę nie poruszać tego tematu|nie mogę odpowiedzieć na to pytanie|"
-    "na temat * nie udzielam odpowiedzi|nie wolno mi o tym mówić *|nie mogę pomóc w sprawie *|"
-    "извините но я не могу с этим помочь|к сожалению я вынужден отклонить этот запрос|мне нельзя отвечать на такой вопрос|я предпочту не обсуждать эту тему|я не могу ответить на этот вопрос|"
-    "об этом я говорить не вправе *|про * я не даю ответов|не могу помочь с *|"
-    "申し訳ありませんが その件はお手伝いできません|残念ながら このご依頼はお断りします|その質問にはお答えできません|この話題は控えさせていただきます|お答えすることはできません|対応できません|"
-    "*については お話しすることができません|*に関するご質問には お答えしておりません|*についてはお答えできません"
-).split("|")
 # Courtesy around a refusal.
 COURTESIES = (
     "thanks for asking|thank you for your question|thank you for understanding|i appreciate your patience|i understand this matters to you|i understand your request|i hope you understand|i apologize for the inconvenience|sorry about that|is there something else you would like to talk about|is there anything else i can help with|please let me know if you have another question|feel free to ask me something else|a specialist may be a better person to ask|please consult a professional|"
@@ -87,15 +67,15 @@ CLOSERS = "”»“’\"')]}）」』】*_`>|"
 ITEM = re.compile(r"^\s*(?:[-*•–]|\d{1,3}[.)．、])(?:\s+|$)(.*)$")
 ANNOUNCED = re.compile(r"(?<![\d.,#:/v])(\d{1,2})(?![\d.,:/%]\d|\s?%).{0,60}[:：]\s*$")
 URL_END = re.compile(r"(?:https?://|www\.)\S+$")
-WS = re.compile(r"\s+")
-SENTENCE = re.compile(r"(?<=[.!?。！？])\s*|\n+")
+SENTENCE = re.compile(r"[^.!?。！？\n]+")
+OPENERS = re.compile("[(\\[{（「]")
 
 
 def tokens(text: str) -> list[str]:
     return TOKEN.findall(text.lower().replace("’", "'"))
 
 
-def lcs(a: list[str], b: list[str]) -> int:
+def lcs(a: Sequence[str], b: Sequence[str]) -> int:
     """Length of the longest common subsequence, a machine word at a time."""
     at: dict[str, int] = {}
     for i, x in enumerate(a):
@@ -108,13 +88,19 @@ def lcs(a: list[str], b: list[str]) -> int:
     return len(a) - v.bit_count()
 
 
-def shingles(words: list[str], k: int = 2) -> set[tuple[str, ...]]:
-    return {tuple(words[i : i + k]) for i in range(max(1, len(words) - k + 1))}
+def shingles(words: list[str]) -> set[tuple[str, ...]]:
+    """Pairs of neighbouring words; of a single word, itself."""
+    return set(zip(words, words[1:])) if len(words) > 1 else {tuple(words)}
 
 
 def is_empty(text: str | None) -> bool:
-    if text is None or not INVISIBLE.sub("", text):
+    if text is None or not (seen := VISIBLE.search(text)):
         return True
+    # a stand-in is short: what has more visible signs than any of them is none
+    n = 0
+    for n, _ in enumerate(VISIBLE.finditer(text, seen.start()), 1):
+        if n > LONGEST_STAND_IN:
+            return False
     bare = text.strip()
     core = INVISIBLE.sub(" ", bare).strip().lower()
     if core in STAND_INS:
@@ -123,6 +109,51 @@ def is_empty(text: str | None) -> bool:
     return False
 
 
+def letters_lcs(p: list[str], r: list[str]) -> int:
+    """Letters of a common subsequence of two texts, between shared anchors.
+
+    Word pairs that each text has once, in the longest run of them that keeps
+    its order in both, are anchors; the letters between two anchors are
+    aligned by themselves, so time follows the gaps, not the product of the
+    texts.
+    """
+    once = lambda w: {k: i for k, (i, n) in _places(w).items() if n == 1}
+    a, b = once(p), once(r)
+    shared = sorted((i, b[k]) for k, i in a.items() if k in b)
+    same, i0, j0 = 0, 0, 0
+    for i, j in [*_increasing(shared), (len(p), len(r))]:
+        if i >= i0 and j >= j0:
+            same += lcs("".join(p[i0:i]), "".join(r[j0:j]))
+            if i < len(p):
+                same += len(p[i]) + len(p[i + 1])
+            i0, j0 = i + 2, j + 2
+    return same
+
+
+def _places(words: list[str]) -> dict[tuple[str, str], tuple[int, int]]:
+    out: dict[tuple[str, str], tuple[int, int]] = {}
+    for i, pair in enumerate(zip(words, words[1:])):
+        out[pair] = (i, out.get(pair, (0, 0))[1] + 1)
+    return out
+
+
+def _increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The longest run of pairs, sorted by the first, whose seconds increase."""
+    ends: list[int] = []
+    last: list[int] = []
+    before = [-1] * len(pairs)
+    for n, (_, j) in enumerate(pairs):
+        k = bisect_left(ends, j)
+        ends[k : k + 1] = [j]
+        last[k : k + 1] = [n]
+        before[n] = last[k - 1] if k else -1
+    out, n = [], last[-1] if last else -1
+    while n >= 0:
+        out.append(pairs[n])
+        n = before[n]
+    return out[::-1]
+
+
 def copies(prompt: str, response: str) -> bool:
     """Nothing but the prompt again: the alignment leaves little of either.
 
@@ -133,12 +164,16 @@ def copies(prompt: str, response: str) -> bool:
     p, r = tokens(prompt), tokens(response)
     if not p or not r:
         return False
+    if p == r:
+        return True
     times = max(1, round(len(r) / len(p)))
+    slack = max(6, len(p) * times // 10)
+    if abs(len(r) - len(p) * times) > 2 * slack:
+        return False
+    if len(p) > 3 and not set(p) & set(r):
+        return False
     if times > 1:
         p = p * times
-    slack = max(6, len(p) // 10)
-    if abs(len(r) - len(p)) > 2 * slack:
-        return False
     a, b = shingles(p), shingles(r)
     close = len(a & b) / min(len(a), len(b))
     if close < 0.2 and len(p) > 3:
@@ -148,52 +183,47 @@ def copies(prompt: str, response: str) -> bool:
     if len(p) - same <= lost and len(r) - same <= slack and same >= 0.5 * len(r):
         return True
     # misspelt words: the same alignment over letters
-    x, y = list("".join(p)), list("".join(r))
-    same = lcs(x, y)
-    return len(x) - same <= 0.08 * len(x) and len(y) - same <= max(0.08 * len(y), 24 if close > 0.5 else 0) and same >= 0.6 * len(y)
+    x, y = sum(map(len, p)), sum(map(len, r))
+    if min(x, y) < 0.92 * x or min(x, y) < 0.6 * y or y - min(x, y) > max(0.08 * y, 24):
+        return False
+    same = letters_lcs(p, r)
+    return x - same <= 0.08 * x and y - same <= max(0.08 * y, 24 if close > 0.5 else 0) and same >= 0.6 * y
+
+
+GRAMMAR = refusals.Grammar(tokens, lcs)
 
 
 @lru_cache(maxsize=1)
-def _templates() -> tuple[list[tuple[list[str], bool, bool, float]], dict[str, list[int]]]:
-    """(tokens, has a slot, is a refusal, words to share) and an index by word."""
-    out, index = [], {}
-    for lines, refusal in ((REFUSALS, True), (COURTESIES, False)):
-        for line in lines:
-            words, slot = tokens(line.replace("*", " ")), "*" in line
-            for w in set(words):
-                index.setdefault(w, []).append(len(out))
-            out.append((words, slot, refusal, 0.7 * len(set(words)) * (0.9 if slot else 0.8)))
+def _courtesies() -> tuple[list[list[str]], dict[str, list[int]]]:
+    """Words of each courtesy, and an index by word."""
+    out = [tokens(line) for line in COURTESIES]
+    index: dict[str, list[int]] = {}
+    for i, words in enumerate(out):
+        for w in set(words):
+            index.setdefault(w, []).append(i)
     return out, index
 
 
-def _fits(words: list[str]) -> tuple[bool, bool]:
-    """Whether a sentence fits a template of a refusal, of a courtesy.
-
-    It has the template's words in order and few others but a topic.
-    """
-    templates, index = _templates()
-    shared: Counter[int] = Counter()
-    for w in set(words):
-        shared.update(index.get(w, ()))
-    refusal = courtesy = False
+def _courteous(words: list[str]) -> bool:
+    """Whether a sentence has the words of a courtesy in order and few others."""
+    known, index = _courtesies()
+    shared = Counter(i for w in set(words) for i in index.get(w, ()))
     for i, n in shared.items():
-        template, slot, refuses, least = templates[i]
-        if n < least or not 0.7 * len(template) <= len(words) <= len(template) + (14 if slot else 2):
-            continue
-        if lcs(template, words) >= len(template) * (0.9 if slot else 0.8):
-            refusal, courtesy = refusal or refuses, courtesy or not refuses
-    return refusal, courtesy
+        line = known[i]
+        if n >= 0.56 * len(set(line)) and 0.7 * len(line) <= len(words) <= len(line) + 2 and lcs(line, words) >= 0.8 * len(line):
+            return True
+    return False
 
 
 def is_refusal(response: str) -> bool:
     """Every sentence is a refusal or courtesy, and one is a refusal."""
     seen = False
-    for s in SENTENCE.split(response.strip().strip("*_>\"“”#` \n")):
-        if w := tokens(s):
-            refusal, courtesy = _fits(w)
-            if not (refusal or courtesy):
+    for s in SENTENCE.finditer(response.strip().strip("*_>\"“”#` \n")):
+        if w := tokens(s[0]):
+            if GRAMMAR.refuses(w):
+                seen = True
+            elif not _courteous(w):
                 return False
-            seen = seen or refusal
     return seen
 
 
@@ -211,27 +241,29 @@ def _open_bracket(line: str) -> bool:
 
 def is_truncated(response: str, stored: int | None) -> bool:
     """The answer stops early, by its form or by the stored word count."""
-    there = len(WS.split(response))
-    if stored is not None and stored > 1.1 * there:
-        return True
     text = response.strip()
+    if stored is not None:
+        # pieces between runs of blanks, as the count has them: blanks at an end part an empty one
+        there = len(response.split()) + (response[:1].isspace()) + (response[-1:].isspace())
+        if stored > 1.1 * there:
+            return True
     if text.count("```") % 2:
         return True
-    if CUT_MARK.search(text):
+    if text.endswith(("...", "…", "]", ")")) and CUT_MARK.search(text, max(0, text.rfind("\n"))):
         return True
     lines = text.split("\n")
     last = lines[-1].strip()
     in_code = last.startswith("```")
-    if not in_code and _open_bracket(last):
+    if not in_code and OPENERS.search(last) and _open_bracket(last):
         return True
     if not in_code and last.replace("```", "").count("`") % 2:
         return True
     # a list shorter than announced
     fenced = False
-    for i, line in enumerate(lines):
-        if line.strip().startswith("```"):
+    for i, line in enumerate(lines if ":" in text or "：" in text else ()):
+        if line.lstrip().startswith("```"):
             fenced = not fenced
-        if fenced or ITEM.match(line) or not (m := ANNOUNCED.search(line)):
+        if fenced or not line.rstrip().endswith((":", "：")) or ITEM.match(line) or not (m := ANNOUNCED.search(line)):
             continue
         n, j, items = int(m[1]), i + 1, 0
         while j < len(lines) and (not lines[j].strip() or ITEM.match(lines[j]) or (items and lines[j].startswith((" ", "\t")))):
@@ -259,37 +291,38 @@ def is_truncated(response: str, stored: int | None) -> bool:
     return True
 
 
-@lru_cache(maxsize=10_000)
-def prompt_language(prompt: str) -> str | None:
-    """The language an answer should have; None if unknown or asked for."""
-    plain = language.plain(prompt)
-    if ASKS_LANGUAGE.search(plain) or ASKS_LANGUAGE.search(prompt[: prompt.find(":") + 1]):
-        return None
-    return language.main_language(plain, True)
+def asks_language(prompt: str) -> bool:
+    """Whether the prompt asks for an answer in some language."""
+    return bool(ASKS_LANGUAGE.search(language.plain(prompt)) or ASKS_LANGUAGE.search(prompt[: prompt.find(":") + 1]))
 
 
 def in_other_language(prompt: str, response: str) -> bool:
-    theirs = prompt_language(prompt)
+    theirs = language.main_language(prompt)
     if theirs is None:
         return False
     plain = language.plain(response)
+    if language.clearly(plain, theirs):
+        return False
     by = language.shares(plain, True)
-    if not by:
+    if by:
+        other = sum(n for lang, n in by.items() if lang != theirs)
+        differs = 2 * other > sum(by.values())
+    else:
         ours = language.detect(plain, 1.4)
-        return ours is not None and ours != theirs
-    other = sum(n for lang, n in by.items() if lang != theirs)
-    return 2 * other > sum(by.values())
+        differs = ours is not None and ours != theirs
+    return differs and not asks_language(prompt)
 
 
 def defect(prompt: str | None, response: str | None, stored: int | None) -> str | None:
-    """The one defect of a pair, or None."""
+    """The one defect of a pair, or None. Cheap tests come first."""
     if is_empty(response):
         return "empty"
-    if prompt is not None and not ASKS_REPEAT.search(prompt) and copies(prompt, response):
+    copied = prompt is not None and copies(prompt, response)
+    if copied and not ASKS_REPEAT.search(prompt):
         return "copies_prompt"
-    if not (prompt is not None and ASKS_REFUSAL.search(prompt)) and is_refusal(response):
+    if is_refusal(response) and not (prompt is not None and ASKS_REFUSAL.search(prompt)):
         return "refusal"
-    if not (prompt is not None and copies(prompt, response)) and is_truncated(response, stored):
+    if not copied and is_truncated(response, stored):
         return "truncated"
     if prompt is not None and in_other_language(prompt, response):
         return "other_language"
