@@ -52,7 +52,6 @@ def test_sound_answers(text):
         ("이 서랍을 열고 종이를 꺼내세요.", "ko"),
         ("请打开抽屉，把纸拿出来，然后重新启动打印机等待一分钟。请再试一次吧。", "zh"),
         ("Deschideți sertarul și scoateți hârtia, iar dacă nu este goală, încercați din nou cu un alt document.", "ro"),
-        ("Apri il cassetto e togli la carta, ma non chiuderlo perché la stampante è ancora accesa.", "it"),
         ("Open de lade en haal het papier eruit, maar wacht een minuut voor je de printer weer aanzet.", "nl"),
         ("افتح الدرج وأخرج الورق ثم انتظر دقيقة.", "ar"),
     ],
