@@ -2,22 +2,26 @@
 
 A garbled word is read as the output of a noisy channel: right text, encoded
 in one code and decoded with another. For each word the channels are undone on
-a byte lattice, a wildcard standing for every byte that was lost, and the best
-readings by beam search go to the second stage, which weighs them by the word
-frequencies of the whole corpus (a join of readings with word counts, nothing
-is collected). Within a document a Viterbi search over its words picks one
-reading each, where changing the channel between neighbours costs, so
-stretches are restored as a whole.
+a byte lattice, a wildcard standing for every byte that was lost; the readings
+are weighed by the word frequencies of the whole corpus (a join of readings
+with word counts, nothing is collected). Within a document a Viterbi search
+over its words decides: its states are the channels and "unchanged", a reading
+emits its log odds against the word as it stands, and leaving "unchanged" or
+changing the channel costs. A document is garbled if its best path leaves
+"unchanged" anywhere, and its restored text is what that path reads.
 
 Channels are UTF-8 seen through a single-byte or multi-byte code (also twice),
-and one legacy code seen through another; the latter rest on the frequencies.
-A replacement character inside a word is a byte lost for good; the word is
-restored if the corpus has one word that fits around it.
+one legacy code seen through another (these rest on the frequencies), a wide
+legacy code seen through a single-byte one (a line at a time, as its characters
+don't keep to words), and bytes lost for good: a word with a replacement
+character can't be right, and reads as the corpus word that fits around it or,
+if there is none, as itself.
 
 Defined results: NULL, empty and sound texts give no row; a garbled sequence
-whose right form stands beside it in the same line is a citation, and a
-document with nothing but citations gives no row; repeated texts are judged
-alike, and a garbled word's copies count once; whole texts of any length are read.
+whose right form stands beside it in the same line is a citation, which is
+neither evidence nor restored; repeated texts are judged alike, and a garbled
+word's copies count once; a word that a document repeats is evidence once;
+whole texts of any length are read.
 """
 
 from __future__ import annotations
@@ -63,8 +67,12 @@ WIDE_LEGACY = tuple((seen, true) for seen in ("cp1252", "latin-1", "mac_roman",
 BEAM = 12
 # Fixed value: copies of a text that support its words as right ones.
 COPIES = 6
-# Fixed value: what a change of channel between neighbouring words costs.
-CHANGE = 1.0
+# What a change of channel costs: to one of UTF-8 or back to
+# unchanged, to a legacy code, to that at a word that looks right as it is.
+CHANGE, LEGACY_CHANGE, PLAIN_CHANGE = 1.0, 2.5, 3.0
+# Fixed value: log odds of a word with a replacement character against its being right.
+LOST_ODDS = 4.0
+LOST_CHANNEL = "utf-8>lost"
 LOST = "�"
 # A word: ASCII letters and everything beyond ASCII but wide blanks and marks.
 WORD_CLASS = r"[A-Za-z\u0080-῿‐-‧‰-⿿〃-￿\U00010000-\U0010ffff]+"
@@ -123,15 +131,18 @@ def _cost(c: str) -> float | None:
 
 
 def lattice_read(word: str, code: str, beam: int = BEAM) -> list[tuple[float, str, int, int]]:
-    """Readings of a word as UTF-8 seen through ``code``, best first.
+    """The ``beam`` best readings of a word as UTF-8 seen through ``code``.
 
-    Each is (cost, text, decoded characters, bytes guessed). The lattice has
+    Costs add up along a path, so keeping the best of each column keeps the
+    best of all; each lost byte multiplies the beam by the bytes it may be, for
+    up to three of them. Each is (cost, text, decoded characters, bytes guessed). The lattice has
     one column per character: its byte under the code, any lost byte for a
     replacement character, or the character itself where it is no part of a
     sequence.
     """
     known, lost = _byte_of(code), _lost_bytes(code)
     n = len(word)
+    beam *= len(lost) ** min(word.count(LOST), 3)
     column = [(known[c],) if c in known else lost if c == LOST else () for c in word]
     best: list[list[tuple[float, str, int, int]]] = [[] for _ in range(n + 1)]
     best[0] = [(0.0, "", 0, 0)]
@@ -175,25 +186,40 @@ def lattice_read(word: str, code: str, beam: int = BEAM) -> list[tuple[float, st
     return [r for r in sorted(best[n])[:beam] if r[2]]
 
 
+@lru_cache(maxsize=None)
+def _sequence(code: str) -> regex.Pattern:
+    """Where a UTF-8 sequence may begin under a code; elsewhere there is none to read."""
+    known = _byte_of(code)
+    of = lambda lo, hi: "".join(regex.escape(c) for c, b in known.items() if lo <= b <= hi) + LOST
+    return regex.compile(f"[{of(0xC2, 0xF4)}](?:[{of(0x80, 0xBF)}]|\\Z)")
+
+
 def natural(word: str) -> bool:
     """Whether a word looks like a word of one script with usual case."""
     return bool(NATURAL.fullmatch(word)) and sum(bool(s.search(word)) for s in SCRIPTS) <= 1
 
 
-def _through(text: str, seen: str, true: str) -> str | None:
-    table = _byte_of(seen)
-    raw = bytearray()
-    for c in text:
-        if c < "\x80":
-            raw.append(ord(c))
-        elif c in table:
-            raw.append(table[c])
-        else:
-            return None
-    try:
-        return raw.decode(true)
-    except UnicodeDecodeError:
-        return None
+@lru_cache(maxsize=None)
+def _legacy_codes() -> dict[str, tuple[frozenset, dict[int, str], list[str]]]:
+    """Code seen -> its characters, their bytes as characters, the true codes."""
+    out = {}
+    for seen in dict(LEGACY):
+        known = _byte_of(seen)
+        out[seen] = (frozenset(known), {ord(c): chr(b) for c, b in known.items()}, [t for s, t in LEGACY if s == seen])
+    return out
+
+
+def _through(word: str) -> Iterator[tuple[str, str, str]]:
+    """(seen, true, text) of a word under every pair of legacy codes."""
+    wide = {c for c in word if c > "\x7f"}
+    for seen, (known, table, trues) in _legacy_codes().items():
+        if wide <= known:
+            raw = word.translate(table).encode("latin-1")
+            for true in trues:
+                try:
+                    yield seen, true, raw.decode(true)
+                except UnicodeDecodeError:
+                    continue
 
 
 def _wide(word: str, code: str) -> tuple[str, int, int] | None:
@@ -213,7 +239,7 @@ def _wide(word: str, code: str) -> tuple[str, int, int] | None:
 
 
 def readings(word: str) -> list[tuple[str, str, float, bool, bool]]:
-    """(channel, reading, structural evidence, needs frequencies, clear) of a word.
+    """(channel, reading, structural evidence, needs frequencies, clear) of a word, likelier ones first.
 
     A clear reading is garbled by its structure alone, however rare its words.
     """
@@ -227,9 +253,11 @@ def readings(word: str) -> list[tuple[str, str, float, bool, bool]]:
 
     def utf8(text: str, prefix: str, base: float, depth: int) -> None:
         for code in SEEN_AS:
-            if not any(c in _byte_of(code) or c == LOST for c in text if c > "\x7f"):
+            if not _sequence(code).search(text):
                 continue
-            for cost, got, done, guessed in lattice_read(text, code)[:4]:
+            found = lattice_read(text, code)
+            # readings beyond the fourth leave whole sequences unread, unless bytes are lost
+            for cost, got, done, guessed in found if LOST in text else found[:4]:
                 wide = sum(len(c.encode()) - 1 for c in got if c > "\x7f")
                 evidence = base + 2.0 * min(done, 4) + 0.5 * min(wide, 8) - min(cost, 4.0) - 0.3 * min(guessed, 5)
                 kept = sum(1 for c in got if c > "\x7f" and c not in TYPOGRAPHIC) - done
@@ -247,9 +275,8 @@ def readings(word: str) -> list[tuple[str, str, float, bool, bool]]:
                 got, wide, bad = hit
                 add("utf-8>" + code, got, 2.0 * min(wide, 5) - 1.5 * bad, plain or wide < 3)
     if len(word) >= 2 and LOST not in word and max(word) < "⺀":
-        for seen, true in LEGACY:
-            got = _through(word, seen, true)
-            if got and got != word and not DENSE.fullmatch(got) and all(c < "\x80" or _cost(c) is not None for c in got) and sum(c.isalpha() for c in got) >= 0.6 * len(got):
+        for seen, true, got in _through(word):
+            if got != word and not DENSE.fullmatch(got) and all(c < "\x80" or _cost(c) is not None for c in got) and sum(c.isalpha() for c in got) >= 0.6 * len(got):
                 add(f"{true}>{seen}", got, 0.0, True)
     return list(out.values())
 
@@ -280,36 +307,38 @@ SUSPECT_LINE = r"(?:[\x{0080}-\x{00ff}\x{0152}-\x{0192}\x{02c6}-\x{02dc}\x{03a9}
 LOST_IN_WORD = r"\p{L}\x{fffd}|\x{fffd}\p{L}"
 
 
-def _words(text: str) -> Column:
-    return F.array_distinct(F.filter(F.regexp_extract_all(text, F.lit(f"({JAVA_WORD})"), 1), lambda w: w.rlike(r"[^\x00-\x7f]")))
+#: a word with characters beyond ASCII; ASCII words are passed over at once
+WIDE_WORD = JAVA_WORD.removesuffix("+").replace("[A-Za-z", "[", 1)
+WIDE_WORD = rf"(?<![A-Za-z])[A-Za-z]*+{WIDE_WORD}{JAVA_WORD.removesuffix('+')}*+"
 
 
-def _word_counts(docs: DataFrame) -> DataFrame:
-    """(doc_id, word): the distinct words with non-ASCII characters."""
-    return docs.select("doc_id", F.explode(_words("text")).alias("word"))
+def wide_words(docs: DataFrame) -> DataFrame:
+    """doc_id, digest and the distinct words with non-ASCII characters of each text."""
+    words = F.array_distinct(F.regexp_extract_all("text", F.lit(WIDE_WORD), 0))
+    return docs.where(F.col("text").rlike(r"[^\x00-\x7f]")).select("doc_id", F.md5("text").alias("digest"), words.alias("words"))
 
 
-def _corpus_words(docs: DataFrame) -> DataFrame:
+def _corpus_words(texts: DataFrame) -> DataFrame:
     """(word, n, documents): its distinct texts, and its documents with few copies of each.
 
     Copies are reduced before the shuffle, so a text of a third of all rows
     counts, and costs, once a task.
     """
-    once = docs.select(F.md5("text").alias("digest"), _words("text").alias("words")).where(F.size("words") > 0).groupBy("digest").agg(F.first("words").alias("words"), F.count(F.lit(1)).alias("copies"))
+    once = texts.where(F.size("words") > 0).groupBy("digest").agg(F.first("words").alias("words"), F.count(F.lit(1)).alias("copies"))
     return once.select(F.explode("words").alias("word"), "copies").groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.sum(F.least("copies", F.lit(COPIES))).alias("documents"))
 
 
-def garbled_words(docs: DataFrame) -> DataFrame:
+def garbled_words(docs: DataFrame, texts: DataFrame | None = None) -> DataFrame:
     """word, plain, options of each garbled word of the corpus.
 
     Options are its supported readings with channel and score, the best of each
-    channel. Those more than two changes of channel worse than the word's best
-    are in no best path of ``decide`` and are left out.
+    channel. Those worse than the word's best by more than two of the dearest
+    changes of channel are in no best path of ``decide`` and are left out.
     A garbled word counts by its distinct texts, so no copies outweigh the
     documents with the right word.
     """
     # written once: the words are read as garbled and looked up as readings
-    counts = materialize(_corpus_words(docs), "words")
+    counts = materialize(_corpus_words(wide_words(docs) if texts is None else texts), "words")
     # a fixed number of tasks: words are few bytes but costly to read
     tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2 * docs.sparkSession.sparkContext.defaultParallelism)
 
@@ -317,14 +346,15 @@ def garbled_words(docs: DataFrame) -> DataFrame:
         for b in batches:
             rows: list[tuple] = []
             for word, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                rows += [(word, n, ch, got, ev, needs, clear, natural(word)) for ch, got, ev, needs, clear in readings(word)]
-            cols = list(zip(*rows)) or [[]] * 8
+                plain = natural(word)
+                rows += [(word, n, ch, got, ev, needs, clear, plain, -i) for i, (ch, got, ev, needs, clear) in enumerate(readings(word))]
+            cols = list(zip(*rows)) or [[]] * 9
             yield pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string()), pa.array(cols[3], pa.string()), pa.array(cols[4], pa.float64()), pa.array(cols[5], pa.bool_()), pa.array(cols[6], pa.bool_()), pa.array(cols[7], pa.bool_())],
-                ["word", "n", "channel", "reading", "evidence", "needs", "clear", "plain"],
+                [pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string()), pa.array(cols[3], pa.string()), pa.array(cols[4], pa.float64()), pa.array(cols[5], pa.bool_()), pa.array(cols[6], pa.bool_()), pa.array(cols[7], pa.bool_()), pa.array(cols[8], pa.int32())],
+                ["word", "n", "channel", "reading", "evidence", "needs", "clear", "plain", "place"],
             )
 
-    read_as = counts.select("word", "n").repartition(tasks).mapInArrow(read, "word string, n bigint, channel string, reading string, evidence double, needs boolean, clear boolean, plain boolean")
+    read_as = counts.select("word", "n").repartition(tasks).mapInArrow(read, "word string, n bigint, channel string, reading string, evidence double, needs boolean, clear boolean, plain boolean, place int")
     known = counts.select(F.col("word").alias("reading"), F.col("documents").alias("m"))
     scored = read_as.join(known, "reading", "left").withColumn("m", F.coalesce("m", F.lit(0)))
     # a reading made of ASCII only is no word of this count; it rests on its evidence
@@ -336,15 +366,15 @@ def garbled_words(docs: DataFrame) -> DataFrame:
     score = F.when(legacy, gain + F.when(F.col("plain"), -0.5).otherwise(0.5)).otherwise(chosen)
     supported = F.when(legacy, (F.col("m") >= 3) & (F.col("m") >= 3 * F.col("n"))).when(F.col("needs"), (F.col("m") >= 2) & (F.col("m") >= 3 * F.col("n"))).otherwise(F.lit(True))
     kept = scored.where(supported).withColumn("score", score).where(F.col("score") > F.when(legacy, 0.4).otherwise(1.5))
-    found = kept.select("word", "reading", "channel", "score", "m", "plain").unionByName(_lost_words(counts))
+    found = kept.select("word", "reading", "channel", "score", "m", "plain", "place").unionByName(_lost_words(counts))
     best = (
         found.repartition("word")
         .groupBy("word", "channel")
-        .agg(F.max(F.struct("score", "m", "reading")).alias("b"), F.max("plain").alias("plain"))
+        .agg(F.max(F.struct("score", "m", "place", "reading")).alias("b"), F.max("plain").alias("plain"))
         .groupBy("word")
         .agg(F.max("plain").alias("plain"), F.max("b.score").alias("top"), F.sort_array(F.collect_list(F.struct("b.score", "b.m", "b.reading", "channel")), asc=False).alias("options"))
     )
-    return materialize(best.select("word", "plain", F.filter("options", lambda o: o["score"] >= F.col("top") - 2 * CHANGE).alias("options")), "garbled")
+    return materialize(best.select("word", "plain", F.filter("options", lambda o: o["score"] >= F.col("top") - 2 * PLAIN_CHANGE).alias("options")), "garbled")
 
 
 def _lost_words(counts: DataFrame) -> DataFrame:
@@ -356,7 +386,7 @@ def _lost_words(counts: DataFrame) -> DataFrame:
     lost = counts.where(F.col("word").contains(LOST) & F.col("word").rlike("[A-Za-z].*[A-Za-z]")).withColumn("mask", masked)
     whole = counts.where(~F.col("word").contains(LOST)).select(masked.alias("mask"), F.col("word").alias("reading"), F.col("documents").alias("m"))
     fits = lost.join(whole, "mask").groupBy("word", "n").agg(F.max(F.struct("m", "reading")).alias("b")).where("b.m >= 2")
-    return fits.select("word", "b.reading", F.lit("utf-8>lost").alias("channel"), F.log((F.col("b.m") + 0.5) / (F.col("n") + 0.5)).alias("score"), "b.m", F.lit(False).alias("plain"))
+    return fits.select("word", "b.reading", F.lit(LOST_CHANNEL).alias("channel"), F.log((F.col("b.m") + 0.5) / (F.col("n") + 0.5)).alias("score"), "b.m", F.lit(False).alias("plain"), F.lit(0).alias("place"))
 
 
 def cited(text: str, word: str, reading: str) -> bool:
@@ -371,39 +401,81 @@ def cited(text: str, word: str, reading: str) -> bool:
     return True
 
 
-def lost_uncited(text: str) -> bool:
-    """Whether a word lost characters and its right form isn't beside it."""
+def lost_cited(text: str, at: int, end: int) -> bool:
+    """Whether the right form of the word with lost characters stands beside it."""
+    lo, hi = text.rfind("\n", 0, at) + 1, text.find("\n", end)
+    line = text[max(lo, at - 64) : at] + "\n" + text[end : min(len(text) if hi < 0 else hi, end + 64)]
+    return bool(regex.search(r"\p{L}{1,2}".join(map(regex.escape, text[at:end].split(LOST))), line))
+
+
+Options = dict[str, list[tuple[str, str, float]]]
+
+
+def _spans(text: str, words: Options, lines: bool) -> list[tuple[int, int, str, list[tuple[str, str, float]], bool]]:
+    """What a path may read: (start, end, text, options, is a line) of words and whole lines, lines first."""
+    out, at = [], 0
+    for line in text.split("\n") if lines else ():
+        if channel := line_channel(line):
+            got = read_line(line, channel)
+            # each kana is a letter that the line hardly has by chance
+            out.append((at, at + len(line), line, [(got, channel, 0.5 * len(KANA.findall(got)))], True))
+        at += len(line) + 1
     for m in WORD.finditer(text):
-        if LOST in m[0] and any(c.isalpha() for c in m[0]):
-            lo, hi = text.rfind("\n", 0, m.start()) + 1, text.find("\n", m.end())
-            line = text[max(lo, m.start() - 64) : m.start()] + "\n" + text[m.end() : min(len(text) if hi < 0 else hi, m.end() + 64)]
-            form = r"\p{L}{1,2}".join(map(regex.escape, m[0].split(LOST)))
-            if not regex.search(form, line):
-                return True
-    return False
-
-
-def decide(text: str, words: dict[str, list[tuple[str, str, float]]], forced: bool = False) -> list[tuple[int, int, str, str, str, float]]:
-    """(start, end, word, channel, reading, score) of a document's words.
-
-    Viterbi: states are the channels in force; staying costs nothing, changing
-    costs. ``words`` holds (reading, channel, score) of garbled words; other
-    words say nothing of the channel and leave each state as it is. A garbled
-    word may stay unchanged, channel "", unless ``forced``. Of equal readings
-    the first is taken.
+        options = words.get(m[0], [])
+        if LOST in m[0] and any(map(str.isalpha, m[0])) and not lost_cited(text, m.start(), m.end()):
+            options = [(got, ch, max(s, LOST_ODDS)) for got, ch, s in options] or [(m[0], LOST_CHANNEL, LOST_ODDS)]
+        if options:
+            out.append((m.start(), m.end(), m[0], options, False))
+    return sorted(out, key=lambda x: (x[0], not x[4]))
+
+
+def change(before: str, after: str, plain: bool) -> float:
+    """What it costs to go from one channel to another between two words."""
+    if before == after:
+        return 0.0
+    if not after or after.startswith("utf-8"):
+        return CHANGE
+    if before.split(">")[0] == after.split(">")[0]:
+        return 0.0  # the same code, seen through two
+    return PLAIN_CHANGE if plain else LEGACY_CHANGE
+
+
+def decide(text: str, words: Options, plain: frozenset | set = frozenset(), lines: bool = False) -> list[tuple[int, int, str, str, str]]:
+    """(start, end, word, channel, reading) along the best path of a document.
+
+    Viterbi: states are the channels in force; "" leaves a word as it is and
+    emits 0. ``words`` holds (reading, channel, score) of garbled words, the
+    ``plain`` ones of which look right; other words say nothing of the channel.
+    A word's score counts where it first stands. Of equal paths the first wins.
     """
-    spans = [(m.start(), m.end(), m[0]) for m in WORD.finditer(text) if m[0] in words]
     paths: dict[str, tuple[float, tuple | None]] = {"": (0.0, None)}
-    for a, b, w in spans:
-        options = [*([] if forced else [("", w, 0.0)]), *[(ch, got, s) for got, ch, s in words[w]]]
-        top = max(paths.values(), key=lambda x: x[0])
+    seen: set[str] = set()
+    over: tuple[int, dict] | None = None
+
+    def extended(span: tuple, fresh: bool, keep: bool) -> dict[str, tuple[float, tuple | None]]:
+        a, b, w, options, _ = span
         step: dict[str, tuple[float, tuple | None]] = {}
-        # the best predecessor of each state, keeping one path per channel
-        for ch, got, s in options:
-            stay = paths.get(ch)
-            score, path = stay if stay and stay[0] >= top[0] - CHANGE else (top[0] - CHANGE, top[1])
-            step[ch] = (score + s, (path, (a, b, w, ch, got, s)))
-        paths = step
+        for got, ch, s in [*([(w, "", 0.0)] if keep else []), *options]:
+            score, path = max(((x - change(before, ch, w in plain), p) for before, (x, p) in paths.items()), key=lambda x: x[0])
+            score += s if fresh else 0.0
+            if ch not in step or score > step[ch][0]:
+                step[ch] = (score, (path, (a, b, w, ch, got)))
+        return step
+
+    def better(one: dict, other: dict) -> dict:
+        return {ch: max((x[ch] for x in (one, other) if ch in x), key=lambda y: y[0]) for ch in {**one, **other}}
+
+    for span in _spans(text, words, lines):
+        if over and span[0] >= over[0]:
+            # a line read as a whole, or word by word
+            paths, over = better(paths, over[1]), None
+        if span[4]:
+            over = (span[1], extended(span, True, False))
+            continue
+        paths = extended(span, span[2] not in seen, True)
+        seen.add(span[2])
+    if over:
+        paths = better(paths, over[1])
     chain, out = max(paths.values(), key=lambda x: x[0])[1], []
     while chain:
         chain, got = chain
@@ -411,26 +483,20 @@ def decide(text: str, words: dict[str, list[tuple[str, str, float]]], forced: bo
     return out[::-1]
 
 
-def restore(text: str, words: dict[str, list[tuple[str, str, float]]]) -> str:
-    """The most likely right text: the readings decided on, put in place."""
-    out, at = [], 0
-    for a, b, _, _, got, _ in decide(text, words):
+def restore(text: str, words: Options, plain: frozenset | set = frozenset(), lines: bool = False) -> tuple[bool, str]:
+    """Whether the best path reads anything but the text itself, and what."""
+    out, at, garbled = [], 0, False
+    for a, b, _, ch, got in decide(text, words, plain, lines):
         out += [text[at:a], got]
-        at = b
-    return "".join(out) + text[at:]
+        at, garbled = b, garbled or bool(ch)
+    return garbled, "".join(out) + text[at:]
 
 
-def restore_lines(text: str) -> str:
-    """Lines written in a wide legacy code, read in that code."""
-    out = []
-    for line in text.split("\n"):
-        if ch := line_channel(line):
-            true, seen = ch.split(">")
-            table = _byte_of(seen)
-            raw = b"".join(bytes([table[c]]) if c in table else c.encode("utf-8") if c < "\x80" else b"?" for c in line)
-            line = raw.decode(true, "replace")
-        out.append(line)
-    return "\n".join(out)
+def read_line(line: str, channel: str) -> str:
+    """A line written in a wide legacy code, read in that code."""
+    true, seen = channel.split(">")
+    table = _byte_of(seen)
+    return b"".join(bytes([table[c]]) if c in table else c.encode() if c < "\x80" else b"?" for c in line).decode(true, "replace")
 
 
 def find_garbled(docs: DataFrame) -> DataFrame:
@@ -440,38 +506,25 @@ def find_garbled(docs: DataFrame) -> DataFrame:
     whose bytes are lost stays as it is in restored_text.
     """
     docs = docs.where("text is not null").select("doc_id", "text")
-    words = garbled_words(docs)
-    hits = (
-        _word_counts(docs)
-        .join(words, "word")
-        .groupBy("doc_id")
-        .agg(F.collect_list(F.struct("word", "plain", "options")).alias("hits"))
-    )
-    odd = docs.select("doc_id", "text", F.col("text").rlike(LOST_IN_WORD).alias("lost"), F.col("text").rlike(SUSPECT_LINE).alias("suspect"))
+    # each text is parsed once: for the corpus's counts and for its own words
+    texts = materialize(wide_words(docs), "texts")
+    words = garbled_words(docs, texts)
+    hits = texts.select("doc_id", F.explode("words").alias("word")).join(words, "word").groupBy("doc_id").agg(F.collect_list(F.struct("word", "plain", "options")).alias("hits"))
+    odd = docs.where(F.col("text").rlike(r"[^\x00-\x7f]")).select("doc_id", "text", F.col("text").rlike(LOST_IN_WORD).alias("lost"), F.col("text").rlike(SUSPECT_LINE).alias("suspect"))
     rows = odd.join(hits, "doc_id", "left").where("hits is not null or lost or suspect")
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids, texts = [], []
-            for doc, text, lost, suspect, found in zip(*(c.to_pylist() for c in b.columns)):
-                lost = lost and lost_uncited(text)
-                lines = suspect and any(line_channel(x) for x in text.split("\n"))
+            for doc, text, suspect, found in zip(*(c.to_pylist() for c in b.columns)):
                 by = {h["word"]: [(o["reading"], o["channel"], o["score"]) for o in h["options"]] for h in found or []}
                 plain = {h["word"] for h in found or [] if h["plain"]}
-                quoted = {w: any(cited(text, w, got) for got in {o[0] for o in options}) for w, options in by.items()}
-                # each word counts by the readings that the whole document decides on
-                open_hits = {(w, ch): s for _, _, w, ch, _, s in decide(text, by, True) if not quoted[w]}
-                strong = any(ch.startswith("utf-8") for _, ch in open_hits)
-                legacy: dict[str, dict[str, float]] = {}
-                for (w, ch), s in open_hits.items():
-                    if not ch.startswith("utf-8"):
-                        of = legacy.setdefault(ch.split(">")[0], {})
-                        of[w] = max(s, of.get(w, s))
-                sure = any((len(v) >= 2 and sum(v.values()) > 2.5) or any(s > (3.0 if w in plain else 2.5) for w, s in v.items()) for v in legacy.values())
-                if lines or lost or strong or sure:
+                by = {w: options for w, options in by.items() if not any(cited(text, w, got) for got in {o[0] for o in options})}
+                garbled, right = restore(text, by, plain, suspect)
+                if garbled:
                     ids.append(doc)
-                    texts.append(restore_lines(text) if lines else restore(text, by))
+                    texts.append(right)
             yield pa.RecordBatch.from_arrays([pa.array(ids, b.schema.field(0).type), pa.array(texts, pa.string())], ["doc_id", "restored_text"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return rows.select("doc_id", "text", "lost", "suspect", "hits").mapInArrow(judge, f"doc_id {kind}, restored_text string")
+    return rows.select("doc_id", "text", "suspect", "hits").mapInArrow(judge, f"doc_id {kind}, restored_text string")
