@@ -134,15 +134,13 @@ def lattice_read(word: str, code: str, beam: int = BEAM) -> list[tuple[float, st
     """The ``beam`` best readings of a word as UTF-8 seen through ``code``.
 
     Costs add up along a path, so keeping the best of each column keeps the
-    best of all; each lost byte multiplies the beam by the bytes it may be, for
-    up to three of them. Each is (cost, text, decoded characters, bytes guessed). The lattice has
+    best of all. Each is (cost, text, decoded characters, bytes guessed). The lattice has
     one column per character: its byte under the code, any lost byte for a
     replacement character, or the character itself where it is no part of a
     sequence.
     """
     known, lost = _byte_of(code), _lost_bytes(code)
     n = len(word)
-    beam *= len(lost) ** min(word.count(LOST), 3)
     column = [(known[c],) if c in known else lost if c == LOST else () for c in word]
     best: list[list[tuple[float, str, int, int]]] = [[] for _ in range(n + 1)]
     best[0] = [(0.0, "", 0, 0)]
@@ -238,6 +236,14 @@ def _wide(word: str, code: str) -> tuple[str, int, int] | None:
     return None
 
 
+def _weigh(got: str, done: int, cost: float, guessed: int) -> tuple[float, int, bool]:
+    """Evidence of a reading, characters it keeps beyond those it decodes, whether it decodes all."""
+    beyond = [c for c in got if c > "\x7f"]
+    wide = sum(1 if c < "\u0800" else 2 if c < "\U00010000" else 3 for c in beyond)
+    kept = sum(c not in TYPOGRAPHIC for c in beyond) - done
+    return 2.0 * min(done, 4) + 0.5 * min(wide, 8) - min(cost, 4.0) - 0.3 * min(guessed, 5), kept, sum(c > "\x9f" for c in beyond) == done
+
+
 def readings(word: str) -> list[tuple[str, str, float, bool, bool]]:
     """(channel, reading, structural evidence, needs frequencies, clear) of a word, likelier ones first.
 
@@ -252,21 +258,28 @@ def readings(word: str) -> list[tuple[str, str, float, bool, bool]]:
             out[channel, text] = (channel, text, evidence, needs, clear)
 
     def utf8(text: str, prefix: str, base: float, depth: int) -> None:
+        wide_signs = {c for c in text if c > "\x7f"}
+        known: dict[tuple, list] = {}
+        further: dict[str, tuple[float, str]] = {}
         for code in SEEN_AS:
             if not _sequence(code).search(text):
                 continue
-            found = lattice_read(text, code)
-            # readings beyond the fourth leave whole sequences unread, unless bytes are lost
-            for cost, got, done, guessed in found if LOST in text else found[:4]:
-                wide = sum(len(c.encode()) - 1 for c in got if c > "\x7f")
-                evidence = base + 2.0 * min(done, 4) + 0.5 * min(wide, 8) - min(cost, 4.0) - 0.3 * min(guessed, 5)
-                kept = sum(1 for c in got if c > "\x7f" and c not in TYPOGRAPHIC) - done
-                whole = sum(c > "\x9f" for c in got) == done
+            # codes that have the same bytes for these characters read alike
+            table = _byte_of(code)
+            alike = (*(table.get(c, -1) for c in wide_signs), _lost_bytes(code) if LOST in wide_signs else ())
+            if alike not in known:
+                # four readings, the unread word aside; those beyond leave whole sequences unread, unless bytes are lost
+                found = lattice_read(text, code, BEAM if LOST in wide_signs else 5)[: BEAM if LOST in wide_signs else 4]
+                known[alike] = [(done, guessed, got, *_weigh(got, done, cost, guessed)) for cost, got, done, guessed in found]
+            for done, guessed, got, gain, kept, whole in known[alike]:
+                evidence = base + gain
                 if evidence > 0 and kept <= done:
                     # natural words and few, guessed bytes need the corpus's support
                     add(prefix + code, got, evidence, plain and (done < 4 or not KANA.search(got)), whole)
-                    if depth and not guessed and any(c > "\x7f" for c in got):
-                        utf8(got, prefix + code + "+", evidence, depth - 1)
+                    if depth and not guessed and evidence > further.get(got, (0.0, ""))[0] and not got.isascii():
+                        further[got] = (evidence, prefix + code + "+")
+        for got, (evidence, through) in further.items():
+            utf8(got, through, evidence, depth - 1)
 
     utf8(word, "utf-8>", 0.0, 2)
     if len(word) >= 2 and max(word) > "⺀":
