@@ -59,10 +59,18 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return nested.flatten_records(_owners(spark, d), ["owner_table", "owner_id"], "source_json").select("owner_table", "owner_id", "record_path", "parent_path")
 
 
-def p3_citations(spark: SparkSession, d: str) -> DataFrame:
-    """One target table: citations with their fields and the enclosing record."""
-    records = nested.flatten_records(_owners(spark, d), ["owner_table", "owner_id"], "source_json", content=True)
-    return nested.target_table(records, "citations", "uuid string, start_index bigint, end_index bigint, details struct<type:string,url:string>")
+def _target(name: str):
+    """The flat table of one kind of nested record."""
+
+    def query(spark: SparkSession, d: str) -> DataFrame:
+        return nested.target_tables(_owners(spark, d), ["owner_table", "owner_id"], "source_json", {name: nested.TARGETS[name]})[name]
+
+    query.__doc__ = f"Flat table of the records under {name}, with the enclosing record."
+    return query
+
+
+#: Query -> the key of its records' array.
+P3_TARGETS = {"p3_citations": "citations", "p3_attachments": "attachments", "p3_files": "files", "p3_search_groups": "search_result_groups", "p3_search_entries": "entries", "p3_code_outputs": "messages", "p3_contents": "content", "p3_parts": "parts", "p3_chat_messages": "chat_messages"}
 
 
 def _references(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
@@ -134,7 +142,7 @@ def p5_union(spark: SparkSession, d: str) -> DataFrame:
     return drift.union_schema(table(spark, d, "dialogues"), "source_json")
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_paths, p2_ranges, p2_descendants, p2_descendants_all, p3_found, p3_citations, p4_found, p4_report, p4_scoped, p5_found, p5_table, p5_wide, p5_union)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_paths, p2_ranges, p2_descendants, p2_descendants_all, p3_found, p4_found, p4_report, p4_scoped, p5_found, p5_table, p5_wide, p5_union)} | {name: _target(target) for name, target in P3_TARGETS.items()}
 
 _KEY = "nullif(lower(trim({0}, chr(32) || chr(9) || chr(10) || chr(13) || chr(160))), '')"
 _CURRENT = "cm as (select * from (select *, row_number() over (partition by id order by updated_at desc) rn from messages) where rn = 1)"
@@ -156,6 +164,36 @@ _ORPHANS = f"""with {_CURRENT},
   found as (
     select r.ref_table, r.ref_id, case when b.k is null then 'missing' when b.all_gone then 'deleted' when b.first > r.made then 'late' end as orphan_kind, strftime(r.made, '%Y-%m') as ref_month
     from refs r left join best b on b.k = r.k and b.tool = r.tool where r.k is not null)"""
+_RECORD = ", ".join(f"'{k}'" for k in nested.RECORD_KEYS)
+_OWN = "case when json_type(j) = 'OBJECT' and how = 2 then path || '[0]' else path end"
+_IS = "(json_type(j) = 'OBJECT' and how > 0)"
+# A string that is the text of an object or array is read as that.
+_READ = "case when json_type(x) = 'VARCHAR' and left(trim(x->>'$', chr(32) || chr(9) || chr(10) || chr(13)), 1) in ('{', '[') and json_valid(x->>'$') then json(x->>'$') else x end"
+# how: 0 plain value, 1 element of an array, 2 value of a record key
+_WALK = f"""with recursive {_CURRENT}, {_CURRENT.replace('cm as', 'cd as').replace('from messages', 'from dialogues')},
+  o as (select 'dialogues' as t, id, source_json from cd union all select 'messages', id, source_json from cm),
+  n(t, id, path, owner, how, key, j) as (
+    select t, id, '', '', 0, '', json(source_json) from o where json_valid(source_json)
+    union all
+    select t, id, p, ow, h, k, {_READ} from (
+      select t, id, case when {_OWN} = '' then c.k else {_OWN} || '.' || c.k end as p, case when {_IS} then {_OWN} else owner end as ow, case when c.k in ({_RECORD}) then 2 else 0 end as h, c.k as k, json_extract(j, '$."' || c.k || '"') as x
+      from n, lateral (select unnest(json_keys(n.j)) as k) c where json_type(j) = 'OBJECT'
+      union all
+      select t, id, path || '[' || c.i || ']', owner, 1, key, json_extract(j, '$[' || c.i || ']')
+      from n, lateral (select unnest(range(json_array_length(n.j)::bigint)) as i) c where json_type(j) = 'ARRAY') as y),
+  r as (select t as owner_table, id as owner_id, {_OWN} as record_path, owner as parent_path, key, j from n where {_IS})"""
+_JSON_AS = {"string": "json_extract_string(j, '$.{0}')", "bigint": "case when json_type(j, '$.{0}') in ('BIGINT', 'UBIGINT') then (j->>'$.{0}')::bigint end", "boolean": "case when json_type(j, '$.{0}') = 'BOOLEAN' then (j->>'$.{0}')::boolean end"}
+
+
+def _target_sql(target: str) -> str:
+    """The flat table of one target."""
+    fields = []
+    for f in nested.TARGETS[target].split(", "):
+        name, kind = f.split()
+        fields.append(f"{_JSON_AS[kind].format(name)} as {name}")
+    return _WALK + f" select owner_table, owner_id, record_path, parent_path, {', '.join(fields)} from r where key = '{target}'"
+
+
 #: The same results in SQL; the other queries are compared with plain code in tests.
 ORACLE: dict[str, str] = {
     "p2_found": f"with recursive {_CURRENT}, {_EDGES}, {_DOWN}, r(a, d) as (select parent, id from m where parent is not null union select r.a, m.id from r join m on m.parent = r.d), n as (select a, count(*) as k from r where a <> d group by 1) select m.id as message_id, coalesce(t.root, '') as root_id, coalesce(t.depth, -1)::int as node_depth, coalesce(n.k, 0)::int as n_descendants from m left join t on t.id = m.id left join n on n.a = m.id",
@@ -163,6 +201,8 @@ ORACLE: dict[str, str] = {
     "p2_ranges": f"with recursive {_CURRENT}, {_EDGES}, {_TREES}, n as (select a, count(*) as k from r where a <> d group by 1), o as (select root, id, on_ring, row_number() over (partition by root order by path) - 1 as place from g) select root as component, id as message_id, place::bigint as place, (case when n.k is null then -1 when on_ring then 0 else place + 1 end)::bigint as first, (case when n.k is null then -1 when on_ring then n.k else place + n.k end)::bigint as last from o left join n on n.a = o.id",
     "p2_descendants_all": f"with recursive {_CURRENT}, {_EDGES}, r(a, d, k, seen) as (select parent, id, 1, [parent] from m where parent is not null and parent <> id union all select r.a, m.id, r.k + 1, list_append(r.seen, r.d) from r join m on m.parent = r.d where not list_contains(r.seen, m.id) and m.id <> r.d) select a as ancestor, d as descendant, k::int as distance from r",
     "p2_descendants": f"with recursive {_CURRENT}, {_EDGES}, {_DOWN}, r(a, d, k) as (select parent, id, 1 from m where parent in (select id from t) union all select r.a, m.id, r.k + 1 from r join m on m.parent = r.d) select a as ancestor, d as descendant, k::int as distance from r",
+    "p3_found": _WALK + " select owner_table, owner_id, record_path, parent_path from r",
+    **{name: _target_sql(target) for name, target in P3_TARGETS.items()},
     "p4_found": _ORPHANS + " select * from found where orphan_kind is not null",
     "p4_report": _ORPHANS + " select ref_table, ref_month, orphan_kind, count(*) as n_orphans from found where orphan_kind is not null group by 1, 2, 3",
     "p4_scoped": f"with {_CURRENT}, e as (select id, {_KEY.format('dialogue_id')} as d, {_KEY.format('id')} as k, {_KEY.format('parent_id')} as p from cm) select id as message_id, '11' as null_mask from e where p is not null and d is not null and not exists (select 1 from e t where t.d = e.d and t.k = e.p) union all select id, '01' from e where p is not null and d is null and not exists (select 1 from e t where t.k = e.p)",

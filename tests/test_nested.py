@@ -65,11 +65,14 @@ def test_very_deep(spark):
     assert found(spark, [text]) == expected([text])
 
 
-def test_target_table(spark):
-    df = spark.createDataFrame([("o", '{"x":{"citations":[{"uuid":"u","owner":7},{"uuid":null}]}}')], "owner string, text string")
-    records = nested.flatten_records(df, ["owner"], "text", content=True)
-    got = nested.target_table(records, "citations", "uuid string, owner int").orderBy("record_path").collect()
-    assert [(r["owner"], r["record_path"], r["uuid"], r["field_owner"]) for r in got] == [("o", "x.citations[0]", "u", 7), ("o", "x.citations[1]", None, None)]
+@pytest.mark.parametrize("levels", [12, 1])
+def test_target_tables(spark, levels):
+    text = '{"x":{"citations":[{"uuid":"u","owner":7,"entries":{"a":"[1]"}},{"uuid":null,"owner":"no number"}]},"entries":[[{"a":"b"}],3]}'
+    df = spark.createDataFrame([("o", text), ("p", None), ("q", "{}")], "owner string, text string")
+    got = nested.target_tables(df, ["owner"], "text", {"citations": "uuid string, owner int", "entries": "a string"}, levels=levels)
+    assert sorted(map(tuple, got["citations"].collect())) == [("o", "x.citations[0]", "", "u", 7), ("o", "x.citations[1]", "", None, None)]
+    assert got["citations"].columns == ["owner", "record_path", "parent_path", "uuid", "field_owner"]
+    assert sorted(map(tuple, got["entries"].collect())) == [("o", "entries[0][0]", "", "b"), ("o", "x.citations[0].entries[0]", "x.citations[0]", "[1]")]
 
 
 def test_empty(spark):
