@@ -118,23 +118,30 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return drift.schema_changes(table(spark, d, "dialogues"), table(spark, d, "content_parts"), table(spark, d, "exports"))
 
 
-def _named_fields(spark: SparkSession, d: str) -> tuple[DataFrame, dict[str, str]]:
+def _named_fields(spark: SparkSession, d: str) -> tuple[DataFrame, dict[str, str], DataFrame]:
     rows = table(spark, d, "dialogues").select("export_id", F.col("id").alias("dialogue_id"), "updated_at", "source_json")
     fields = materialize(drift.fields_of(rows, ["export_id", "dialogue_id"], "source_json"), "fields")
-    return rows, drift.canonical_names(drift.field_changes(fields, table(spark, d, "exports")), fields)
+    exports = table(spark, d, "exports")
+    changes = materialize(drift.field_changes(fields, exports), "changes")
+    return rows, drift.canonical_names(changes, fields), drift.field_names(fields, changes, exports)
 
 
 def p5_table(spark: SparkSession, d: str) -> DataFrame:
     """All dialogue files as one table of typed branches."""
-    rows, names = _named_fields(spark, d)
+    rows, names, present = _named_fields(spark, d)
     renames = spark.createDataFrame(sorted((now, old) for old, now in names.items()), "field_name string, prior_name string")
-    return drift.consistent_table(rows, ["export_id", "dialogue_id"], "source_json", renames)
+    return drift.consistent_table(rows, ["export_id", "dialogue_id"], "source_json", renames, present)
 
 
 def p5_wide(spark: SparkSession, d: str) -> DataFrame:
     """All dialogue files as one table with a column per field."""
-    rows, names = _named_fields(spark, d)
-    return drift.wide_table(rows, ["export_id", "dialogue_id", "updated_at"], "source_json", names)
+    rows, names, present = _named_fields(spark, d)
+    return drift.wide_table(rows, ["export_id", "dialogue_id", "updated_at"], "source_json", names, present)
+
+
+def p5_parts(spark: SparkSession, d: str) -> DataFrame:
+    """All content parts with the present name of their part_type."""
+    return drift.part_table(table(spark, d, "content_parts"), table(spark, d, "exports")).select("id", "export_id", "part_type", F.coalesce("shape", F.lit("")).alias("shape"), F.coalesce("canonical", F.lit("")).alias("canonical"))
 
 
 def p5_union(spark: SparkSession, d: str) -> DataFrame:
@@ -142,7 +149,12 @@ def p5_union(spark: SparkSession, d: str) -> DataFrame:
     return drift.union_schema(table(spark, d, "dialogues"), "source_json")
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_paths, p2_ranges, p2_descendants, p2_descendants_all, p3_found, p4_found, p4_report, p4_scoped, p5_found, p5_table, p5_wide, p5_union)} | {name: _target(target) for name, target in P3_TARGETS.items()}
+def p5_paths(spark: SparkSession, d: str) -> DataFrame:
+    """The same at all depths."""
+    return drift.union_paths(table(spark, d, "dialogues"), "source_json")
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p2_paths, p2_ranges, p2_descendants, p2_descendants_all, p3_found, p4_found, p4_report, p4_scoped, p5_found, p5_table, p5_wide, p5_parts, p5_union, p5_paths)} | {name: _target(target) for name, target in P3_TARGETS.items()}
 
 _KEY = "nullif(lower(trim({0}, chr(32) || chr(9) || chr(10) || chr(13) || chr(160))), '')"
 _CURRENT = "cm as (select * from (select *, row_number() over (partition by id order by updated_at desc) rn from messages) where rn = 1)"
@@ -164,6 +176,7 @@ _ORPHANS = f"""with {_CURRENT},
   found as (
     select r.ref_table, r.ref_id, case when b.k is null then 'missing' when b.all_gone then 'deleted' when b.first > r.made then 'late' end as orphan_kind, strftime(r.made, '%Y-%m') as ref_month
     from refs r left join best b on b.k = r.k and b.tool = r.tool where r.k is not null)"""
+_JSON_TYPE = "case json_type(x) when 'VARCHAR' then 'string' when 'BOOLEAN' then 'boolean' when 'OBJECT' then 'object' when 'ARRAY' then 'array' when 'NULL' then null else 'number' end"
 _RECORD = ", ".join(f"'{k}'" for k in nested.RECORD_KEYS)
 _OWN = "case when json_type(j) = 'OBJECT' and how = 2 then path || '[0]' else path end"
 _IS = "(json_type(j) = 'OBJECT' and how > 0)"
@@ -194,6 +207,40 @@ def _target_sql(target: str) -> str:
     return _WALK + f" select owner_table, owner_id, record_path, parent_path, {', '.join(fields)} from r where key = '{target}'"
 
 
+_SHAPES = f"""ex as (select distinct export_id, account_key, seq from exports),
+  sp as (select id, export_id, part_type, case when trim(coalesce(tool_name, '')) <> '' then 'tool_name' when trim(coalesce(tool_use_id, '')) <> '' then 'tool_use_id' when trim(coalesce(language, '')) <> '' then 'language' when trim(coalesce(media_type, '')) <> '' then 'media_type' end as shape, {_KEY.format('part_type')} as value from content_parts),
+  sets as (select export_id, shape, list(distinct value) as now from sp where shape is not null and value is not null group by 1, 2),
+  st as (select s.export_id, s.shape, ex.account_key, ex.seq, s.now, lag(s.now) over (partition by ex.account_key, s.shape order by ex.seq, s.export_id) as was from sets s join ex using (export_id)),
+  sc as (select export_id, shape, account_key, seq, list_filter(now, lambda x: not list_contains(was, x)) as new, list_filter(was, lambda x: not list_contains(now, x)) as gone from st where was is not null)"""
+_DRIFT = f"""d as (select export_id, id as did, json(source_json) as j from dialogues where json_valid(source_json) and export_id is not null and id is not null),
+  ks as (select export_id, did, unnest(json_keys(j)) as k, j from d where json_type(j) = 'OBJECT'),
+  f1 as (select export_id, did, k as field, json_extract(j, '$."' || k || '"') as x from ks),
+  f2 as (select export_id, did, field, x, unnest(json_keys(x)) as k from f1 where json_type(x) = 'OBJECT' and field <> 'mapping'),
+  fv as (select export_id, did, field, x from f1 union all select export_id, did, field || '.' || k, json_extract(x, '$."' || k || '"') from f2),
+  t as (select export_id, did, field, {_JSON_TYPE} as type, x::varchar as val from fv where json_type(x) <> 'NULL'),
+  pe as (select export_id, lag(export_id) over (partition by account_key order by seq, export_id) as prior from ex),
+  fs as (select export_id, field, string_agg(distinct type, ',' order by type) as types from t group by 1, 2),
+  now as (select pe.export_id, fs.field, fs.types from pe join fs using (export_id) where prior is not null),
+  was as (select pe.export_id, fs.field, fs.types from pe join fs on fs.export_id = pe.prior),
+  new as (select export_id, field from now n where not exists (select 1 from was w where w.export_id = n.export_id and w.field = n.field)),
+  gone as (select export_id, field from was w where not exists (select 1 from now n where w.export_id = n.export_id and w.field = n.field)),
+  old as (select distinct g.export_id, g.field as prior_name, t.did, t.type || t.val as val from gone g join pe using (export_id) join t on t.export_id = pe.prior and t.field = g.field where g.export_id in (select export_id from new) and exists (select 1 from t s where s.export_id = g.export_id and s.did = t.did)),
+  fresh as (select distinct n.export_id, n.field as field_name, t.did, t.type || t.val as val from new n join t using (export_id, field)),
+  n_old as (select export_id, prior_name, count(*) as k from old group by 1, 2),
+  same as (select o.export_id, o.prior_name, f.field_name, count(*) as k from old o join fresh f on f.export_id = o.export_id and f.did = o.did and f.val = o.val group by 1, 2, 3),
+  rn as (select s.export_id, s.field_name, s.prior_name from same s join n_old using (export_id, prior_name, k))"""
+_CHANGES = """ select export_id, 'renamed' as change_kind, field_name, prior_name from rn
+  union all select export_id, 'added', field, '' from new n where not exists (select 1 from rn where rn.export_id = n.export_id and rn.field_name = n.field)
+  union all select export_id, 'removed', field, '' from gone g where not exists (select 1 from rn where rn.export_id = g.export_id and rn.prior_name = g.field)
+  union all select n.export_id, 'retyped', n.field, '' from now n join was w using (export_id, field) where n.types <> w.types
+  union (select export_id, 'renamed', 'part_type=' || new[1], 'part_type=' || gone[1] from sc where len(new) = 1 and len(gone) = 1
+    union select export_id, 'added', 'part_type=' || x, '' from (select export_id, unnest(new) as x from sc where not (len(new) = 1 and len(gone) = 1))
+    union select export_id, 'removed', 'part_type=' || x, '' from (select export_id, unnest(gone) as x from sc where not (len(new) = 1 and len(gone) = 1)))"""
+_PARTS = """ev as (select account_key, shape, seq, gone[1] as prior, new[1] as new from sc where len(new) = 1 and len(gone) = 1),
+  nm(account_key, shape, seq, value, since, now) as (
+    select distinct account_key, shape, seq, value, seq, value from sp join ex using (export_id) where shape is not null and value is not null
+    union all select n.account_key, n.shape, n.seq, n.value, e.seq, e.new from nm n join ev e on e.account_key = n.account_key and e.shape = n.shape and e.prior = n.now and e.seq > n.since and not exists (select 1 from ev x where x.account_key = n.account_key and x.shape = n.shape and x.prior = n.now and x.seq > n.since and x.seq < e.seq)),
+  la as (select account_key, shape, seq, value, max_by(now, since) as now from nm group by 1, 2, 3, 4)"""
 #: The same results in SQL; the other queries are compared with plain code in tests.
 ORACLE: dict[str, str] = {
     "p2_found": f"with recursive {_CURRENT}, {_EDGES}, {_DOWN}, r(a, d) as (select parent, id from m where parent is not null union select r.a, m.id from r join m on m.parent = r.d), n as (select a, count(*) as k from r where a <> d group by 1) select m.id as message_id, coalesce(t.root, '') as root_id, coalesce(t.depth, -1)::int as node_depth, coalesce(n.k, 0)::int as n_descendants from m left join t on t.id = m.id left join n on n.a = m.id",
@@ -205,5 +252,9 @@ ORACLE: dict[str, str] = {
     **{name: _target_sql(target) for name, target in P3_TARGETS.items()},
     "p4_found": _ORPHANS + " select * from found where orphan_kind is not null",
     "p4_report": _ORPHANS + " select ref_table, ref_month, orphan_kind, count(*) as n_orphans from found where orphan_kind is not null group by 1, 2, 3",
+    "p5_found": f"with {_SHAPES}, {_DRIFT}{_CHANGES}",
+    "p5_parts": f"with recursive {_SHAPES}, {_PARTS} select sp.id, sp.export_id, sp.part_type, coalesce(sp.shape, '') as shape, coalesce(la.now, sp.value, '') as canonical from sp left join ex using (export_id) left join la on la.account_key = ex.account_key and la.seq = ex.seq and la.shape = sp.shape and la.value = sp.value",
+    "p5_union": f"with j as (select json(source_json) as j from dialogues where json_valid(source_json)), k as (select unnest(json_keys(j)) as k, j from j where json_type(j) = 'OBJECT'), a as (select k as field, json_extract(j, '$.\"' || k || '\"') as x from k), b as (select field, x, unnest(json_keys(x)) as k from a where json_type(x) = 'OBJECT' and field <> 'mapping'), v as (select field, x from a union all select field || '.' || k, json_extract(x, '$.\"' || k || '\"') from b), t as (select field, {_JSON_TYPE} as type from v) select field, type, count(*) as n_rows from t where type is not null group by 1, 2",
+    "p5_paths": f"with recursive r as (select row_number() over () as i, json(source_json) as j from dialogues where json_valid(source_json)), n(i, path, x) as (select i, '', j from r union all select i, p, y from (select i, case when path = '' then '' else path || '.' end || case when path = 'mapping' then '*' else c.k end as p, json_extract(x, '$.\"' || c.k || '\"') as y from n, lateral (select unnest(json_keys(n.x)) as k) c where json_type(x) = 'OBJECT' union all select i, path || '[]', json_extract(x, '$[' || c.k || ']') from n, lateral (select unnest(range(json_array_length(n.x)::bigint)) as k) c where json_type(x) = 'ARRAY')), t as (select distinct i, path, {_JSON_TYPE} as type from n where path <> '') select path, type, count(*) as n_rows from t where type is not null group by 1, 2",
     "p4_scoped": f"with {_CURRENT}, e as (select id, {_KEY.format('dialogue_id')} as d, {_KEY.format('id')} as k, {_KEY.format('parent_id')} as p from cm) select id as message_id, '11' as null_mask from e where p is not null and d is not null and not exists (select 1 from e t where t.d = e.d and t.k = e.p) union all select id, '01' from e where p is not null and d is null and not exists (select 1 from e t where t.k = e.p)",
 }

@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from dialoom.operators import drift
 
 from . import brute
@@ -77,3 +78,28 @@ def test_mapping_renamed(spark):
     exports = spark.createDataFrame([(1, "k", 1), (2, "k", 2)], "export_id bigint, account_key string, seq int")
     got = {(r["change_kind"], r["field_name"], r["prior_name"]) for r in drift.field_changes(fields, exports).collect()}
     assert any(n == "nodes" and p == "mapping" for _, n, p in got) and not any(n == "mapping" for _, n, _ in got)
+
+
+def test_present_names(spark):
+    """Renames after one's own export count, one after the other; ambiguous ones don't."""
+    names = [("a", 1, "x"), ("a", 2, "y"), ("a", 3, "x"), ("b", 1, "x"), ("a", 1, "p"), ("a", 1, "q")]
+    events = [("a", 2, "x", "y"), ("a", 4, "y", "z"), ("a", 5, "x", "w"), ("a", 5, "p", "r"), ("a", 5, "q", "r"), ("b", 1, "x", "never")]
+    got = drift.present_names(spark.createDataFrame(names, "account string, seq int, name string"), spark.createDataFrame(events, "account string, seq int, prior string, new string"), ["account"])
+    assert {(r["account"], r["seq"], r["name"]): r["now"] for r in got.collect()} == {("a", 1, "x"): "z", ("a", 2, "y"): "z", ("a", 3, "x"): "w", ("b", 1, "x"): "x", ("a", 1, "p"): "p", ("a", 1, "q"): "q"}
+
+
+def test_part_table(spark):
+    exports = spark.createDataFrame([(1, "a", 1), (2, "a", 2), (3, "b", 1)], "export_id long, account_key string, seq int")
+    rows = [(1, " Tool_Use ", "s", None, None, None), (2, "tool_call", "s", None, None, None), (3, "tool_use", "s", None, None, None), (1, "text", None, None, None, None), (1, None, "s", None, None, None), (9, "TOOL_USE", "s", None, None, None), (1, " Tool_Use ", "s", None, None, None)]
+    parts = spark.createDataFrame([(*r, "clash") for r in rows], "export_id long, part_type string, tool_name string, tool_use_id string, language string, media_type string, name string")
+    got = sorted((r["export_id"], r["part_type"] or "", r["canonical"]) for r in drift.part_table(parts, exports).collect())
+    assert got == [(1, "", None), (1, " Tool_Use ", "tool_call"), (1, " Tool_Use ", "tool_call"), (1, "text", "text"), (2, "tool_call", "tool_call"), (3, "tool_use", "tool_use"), (9, "TOOL_USE", "tool_use")]
+    assert drift.part_table(parts.limit(0), exports).count() == 0
+
+
+@pytest.mark.parametrize("levels", [8, 1])
+def test_union_paths(spark, levels):
+    texts = ['{"a":{"b":[{"c":1},{"c":"x"}]},"mapping":{"k1":{"v":1},"k2":{"v":null}}}', '{"a":3}', None, "no json", "[1]"]
+    df = spark.createDataFrame([(t,) for t in texts], "source_json string")
+    got = {(r["path"], r["type"]): r["n_rows"] for r in drift.union_paths(df, "source_json", levels).collect()}
+    assert got == {("a", "object"): 1, ("a", "number"): 1, ("a.b", "array"): 1, ("a.b[]", "object"): 1, ("a.b[].c", "number"): 1, ("a.b[].c", "string"): 1, ("mapping", "object"): 1, ("mapping.*", "object"): 1, ("mapping.*.v", "number"): 1, ("[]", "number"): 1}
