@@ -35,6 +35,21 @@ CODE_MIMES = ("text/x-python", "text/x-java", "application/javascript", "text/x-
 FEATURES = ("has_github_repos", "has_canvas_operations", "has_web_search", "has_reasoning_thoughts", "has_code_execution", "has_code_blocks", "has_script_headers", "has_code_structure_patterns", "has_wiki_links", "has_latex_math", "user_has_attachments")
 
 
+def platform_text(node: Column) -> Column:
+    """The text of a message as its platform's exchange reader has it.
+
+    A node with a sender is of the list platform: its ``text`` as it is. Else
+    ``content.text`` and the plain parts, joined by blanks and stripped; parts
+    that are no text don't count. Never NULL.
+    """
+    parts = F.coalesce(F.try_variant_get(node, "$.content.parts", "array<variant>"), F.array().cast("array<variant>"))
+    plain = F.transform(F.filter(parts, lambda x: F.schema_of_variant(x) == "STRING"), lambda x: F.try_variant_get(x, "$", "string"))
+    joined = strip(F.array_join(plain, " "))
+    own = F.coalesce(F.try_variant_get(node, "$.content.text", "string"), F.lit(""))
+    tree = strip(F.when(joined == "", own).otherwise(F.concat(own, F.lit(" "), joined)))
+    return F.coalesce(F.when(F.try_variant_get(node, "$.sender", "string").isNotNull(), F.coalesce(F.try_variant_get(node, "$.text", "string"), F.lit(""))).otherwise(tree), F.lit(""))
+
+
 def any_of(text: Column, marks: tuple[str, ...]) -> Column:
     test = F.lit(False)
     for mark in marks:
@@ -178,7 +193,10 @@ def length_category(length: Column, bounds: tuple[int, int, int, int]) -> Column
 
 
 def exchange_rules(merged: DataFrame) -> DataFrame:
-    """One row per exchange with all rules, title, gizmos and plugins."""
+    """One row per exchange with all rules, title, gizmos and plugins.
+
+    A column ``source`` of the messages, the platform, becomes a rule as well.
+    """
     rules, firsts = _rules(), _first_rules()
     meta, text = F.col("metadata"), F.coalesce("text", F.lit(""))
     order = F.struct("created_at", "message_id")
@@ -199,6 +217,7 @@ def exchange_rules(merged: DataFrame) -> DataFrame:
         F.coalesce(F.sum(F.when(assistant, F.length(text))), F.lit(0)).alias("assistant_length"),
         F.bool_or(text.contains("[[") | low_user.contains("write an article") | low_user.contains("create a wiki")).alias("__wiki"),
         F.bool_or(assistant & text.contains("# ")).alias("__headed"),
+        *([F.max("source").alias("source")] if "source" in merged.columns else []),
     )
     rows = rows.withColumn("user_is_continuation", F.col("n_user") > 1)
     for name in firsts:
@@ -251,7 +270,10 @@ def prompt_stats(messages: DataFrame) -> DataFrame:
     """Count, mean, median and spread of a dialogue's prompt lengths."""
     rows = messages.where("role = 'user'").select("dialogue_id", F.length(F.coalesce("text", F.lit(""))).alias("n"))
     mean, spread = F.col("__mean"), F.col("__var")
-    stats = rows.groupBy("dialogue_id").agg(F.count(F.lit(1)).alias("prompt_count"), F.avg("n").alias("__mean"), F.expr("median(n)").alias("__median"), F.var_pop("n").alias("__var"))
+    # from whole sums, so that the order of rows doesn't matter
+    total, squares, n = F.sum("n"), F.sum(F.col("n").cast("long") * F.col("n")), F.count("n")
+    _variance = (n * squares - total * total) / (n * n)
+    stats = rows.groupBy("dialogue_id").agg(F.count(F.lit(1)).alias("prompt_count"), (F.sum("n") / F.count("n")).alias("__mean"), F.expr("median(n)").alias("__median"), _variance.alias("__var"))
     return stats.select(
         "dialogue_id",
         "prompt_count",
@@ -293,3 +315,21 @@ def inherited_annotations(exchange_annotations: DataFrame) -> DataFrame:
     Rows: dialogue_id, exchange, name, value.
     """
     return exchange_annotations.groupBy("dialogue_id", "name").agg(F.min_by("value", "exchange").alias("value"))
+
+
+def conversation_totals(merged: DataFrame) -> DataFrame:
+    """Messages, continuations and the texts of both sides of each dialogue.
+
+    Texts are joined by blanks in the order of the messages.
+    """
+    side = lambda role: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("role") == role, F.struct("created_at", "message_id", F.coalesce("text", F.lit("")).alias("text"))))), lambda x: x["text"]), " ")
+    users = merged.where("role = 'user'").groupBy("dialogue_id", "exchange").agg((F.count(F.lit(1)) > 1).alias("more")).groupBy("dialogue_id").agg(F.bool_or("more").alias("has_continuations"))
+    rows = merged.groupBy("dialogue_id").agg(
+        F.countDistinct("exchange").alias("exchange_count"),
+        F.count(F.lit(1)).alias("total_messages"),
+        F.count(F.when(F.col("role") == "user", 1)).alias("total_user_messages"),
+        F.count(F.when(F.col("role") == "assistant", 1)).alias("total_assistant_messages"),
+        side("user").alias("user_text"),
+        side("assistant").alias("assistant_text"),
+    )
+    return rows.join(users, "dialogue_id", "left").withColumn("has_continuations", F.coalesce("has_continuations", F.lit(False)))

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import given, strip
+from ..session import materialize
 
 
 def sanitize(title: Column, max_length: int = 200) -> Column:
@@ -63,10 +64,11 @@ def notes_of(merged: DataFrame, exchange_rows: DataFrame) -> DataFrame:
         F.min("created_at").alias("date"),
         F.min_by(F.when(user, F.coalesce("text", F.lit(""))), F.when(user, F.struct("created_at", "message_id"))).alias("first_prompt"),
     )
-    rows = rows.join(exchange_rows.select("dialogue_id", "exchange", "exchange_id", "title", "proposed_title"), ["dialogue_id", "exchange"])
+    rows = rows.join(exchange_rows.select("dialogue_id", "exchange", "exchange_id", "title", "proposed_title", *[c for c in exchange_rows.columns if c == "source"]), ["dialogue_id", "exchange"])
     rows = rows.withColumn("title", note_title(F.col("title"), F.col("proposed_title"), F.col("first_prompt"), F.col("exchange_id")))
     rows = with_neighbours(rows)
-    tags = F.concat(F.array(F.lit("autogenerated"), F.concat(F.lit("conversation_id__"), "dialogue_id")), "message_tags")
+    source = F.concat(F.lit("source__"), "source") if "source" in exchange_rows.columns else F.lit(None).cast("string")
+    tags = F.concat(F.array_compact(F.array(F.lit("autogenerated"), source, F.concat(F.lit("conversation_id__"), "dialogue_id"))), "message_tags")
     return rows.select("dialogue_id", "exchange", "title", "previous_title", "next_title", "first_prompt", "date", tags.alias("tags"), body(F.col("messages"), F.col("previous_title"), F.col("next_title")).alias("content"))
 
 
@@ -82,12 +84,16 @@ def merge_titles(notes: DataFrame) -> DataFrame:
     )
 
 
-def link_titles(content: str, own: str, titles: list[str]) -> str:
-    """Other titles in a text as wiki links, each unless linked already."""
+def link_titles(content: str, own: str, titles: list[str]) -> tuple[str, list[str]]:
+    """Other titles in a text as wiki links, each unless linked already; the linked ones."""
+    linked = []
     for other in titles:
-        if other != own and other and f"[[{other}]]" not in content:
-            content = regex.sub(rf"\b{regex.escape(other)}\b", lambda _: f"[[{other}]]", content)
-    return content
+        if other != own and other:
+            if f"[[{other}]]" not in content:
+                content = regex.sub(rf"\b{regex.escape(other)}\b", lambda _: f"[[{other}]]", content)
+            if f"[[{other}]]" in content:
+                linked.append(other)
+    return content, linked
 
 
 def wikilinkify(notes: DataFrame) -> DataFrame:
@@ -95,7 +101,8 @@ def wikilinkify(notes: DataFrame) -> DataFrame:
 
     The titles of a dialogue (not its texts) travel with each of its notes;
     replacement is sequential, in the order of exchanges. A note whose prompt
-    quotes another note is linked from there by a ``see also`` line.
+    quotes another note is linked from there by a ``see also`` line, unless it
+    has a link to that note already.
     """
     titles = notes.groupBy("dialogue_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("exchange", "title"))), lambda x: x["title"]).alias("titles"))
     rows = notes.join(titles, "dialogue_id")
@@ -103,14 +110,17 @@ def wikilinkify(notes: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             done = [link_titles(c or "", t, ts) for c, t, ts in zip(b.column("content").to_pylist(), b.column("title").to_pylist(), b.column("titles").to_pylist())]
-            yield b.set_column(b.schema.get_field_index("content"), "content", pa.array(done, pa.string())).drop_columns(["titles"])
+            out = b.set_column(b.schema.get_field_index("content"), "content", pa.array([c for c, _ in done], pa.string()))
+            yield out.set_column(out.schema.get_field_index("titles"), "titles", pa.array([x for _, x in done], pa.list_(pa.string())))
 
-    linked = rows.mapInArrow(run, notes.schema)
+    linked = materialize(rows.mapInArrow(run, rows.schema), "linked")
+    has = linked.select("dialogue_id", F.col("title").alias("quoting"), F.explode("titles").alias("title"))
     quotes = notes.where(F.col("first_prompt").startswith(">")).select(
         "dialogue_id", F.col("title").alias("quoting"), F.replace(sanitize(F.regexp_replace(F.split_part("first_prompt", F.lit("\n"), F.lit(1)), r"\A>+", "")), F.lit("#"), F.lit("")).alias("quote")
     )
     plain = notes.select("dialogue_id", "title", F.replace(sanitize(F.col("content")), F.lit("#"), F.lit("")).alias("plain"))
     found = plain.join(quotes, "dialogue_id").where((F.col("title") != F.col("quoting")) & (F.col("quote") != "") & F.contains("plain", "quote"))
+    found = found.join(has, ["dialogue_id", "quoting", "title"], "left_anti")
     lines = found.groupBy("dialogue_id", "title").agg(F.array_join(F.transform(F.array_sort(F.collect_set("quoting")), lambda t: F.concat(F.lit("\nsee also: [["), t, F.lit("]]  "))), "").alias("see_also"))
     return linked.join(lines, ["dialogue_id", "title"], "left").withColumn("content", F.concat("content", F.coalesce("see_also", F.lit("")))).drop("see_also").select(*notes.columns)
 

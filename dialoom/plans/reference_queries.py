@@ -62,10 +62,11 @@ def _part_rows(s: SparkSession, d: str) -> DataFrame:
 
 
 def _turns(s: SparkSession, d: str) -> DataFrame:
-    """Live messages with their text and node, as exchanges take them."""
+    """Live messages with their platform's text and node, as exchanges take them."""
     m = views.live_messages(_messages(s, d, ("source_json",)))
-    text = pairs.message_text(_parts(s, d))
-    return m.select("dialogue_id", F.col("id").alias("message_id"), "role", "created_at", F.try_parse_json("source_json").alias("metadata")).join(text, "message_id", "left")
+    node = F.try_parse_json("source_json")
+    source = F.when(F.try_variant_get(node, "$.sender", "string").isNotNull(), "claude").otherwise("chatgpt")
+    return m.select("dialogue_id", F.col("id").alias("message_id"), "role", "created_at", node.alias("metadata"), exchanges.platform_text(node).alias("text"), source.alias("source"))
 
 
 def _exchange_rules(s: SparkSession, d: str) -> DataFrame:
@@ -691,14 +692,23 @@ def store_idempotent(s, d):
 
 # --- exchanges, facets, notes ----------------------------------------------
 
+_STRIP = "trim({0}, chr(32) || chr(9) || chr(10) || chr(13) || chr(11) || chr(12) || chr(160) || chr(12288))"
+TURNS = (
+    CURRENT_M
+    + ", tj as (select id, case when json_valid(source_json) then json(source_json) end as j from cm where deleted_at is null), "
+    + "tp as (select id, j, "
+    + _STRIP.format("coalesce(array_to_string(list_transform(list_filter(json_extract(j, '$.content.parts[*]'), lambda x: json_type(x) = 'VARCHAR'), lambda x: x->>'$'), ' '), '')")
+    + " as p, case when json_type(j->'content'->'text') = 'VARCHAR' then j->'content'->>'text' else '' end as own from tj), "
+    + "t as (select id as message_id, j, case when j->>'sender' is not null then 'claude' else 'chatgpt' end as source, case when j->>'sender' is not null then coalesce(j->>'text', '') else "
+    + _STRIP.format("own || case when p = '' then '' else ' ' || p end")
+    + " end as text from tp)"
+)
 # The chunker as a recursion: held is the pair's roles so far.
 DYADS = (
     "with recursive "
-    + CURRENT_M
+    + TURNS
     + ", "
-    + PARTS
-    + ", t as (select message_id, string_agg(text_content, chr(10) order by sequence, text_content) as text from cp where part_type = 'text' and text_content is not null group by 1), "
-    "o as (select cm.dialogue_id, cm.id, cm.role, cm.created_at, coalesce(t.text, '') as text, row_number() over (partition by cm.dialogue_id order by cm.created_at nulls first, cm.id) as pos from cm left join t on t.message_id = cm.id where cm.deleted_at is null and cm.role in ('user', 'assistant')), "
+    "o as (select cm.dialogue_id, cm.id, cm.role, cm.created_at, coalesce(t.text, '') as text, t.j, t.source, row_number() over (partition by cm.dialogue_id order by cm.created_at nulls first, cm.id) as pos from cm left join t on t.message_id = cm.id where cm.deleted_at is null and cm.role in ('user', 'assistant')), "
     "c(dialogue_id, pos, dyad, held) as (select dialogue_id, pos, 0, left(role, 1) from o where pos = 1 union all select o.dialogue_id, o.pos, case when c.held = 'ua' or length(c.held) > 2 then c.dyad + 1 else c.dyad end, case when c.held = 'ua' or length(c.held) > 2 then left(o.role, 1) else c.held || left(o.role, 1) end from c join o on o.dialogue_id = c.dialogue_id and o.pos = c.pos + 1), "
     "m as (select o.*, c.dyad from o join c on c.dialogue_id = o.dialogue_id and c.pos = o.pos)"
 )
@@ -711,6 +721,12 @@ MERGED = (
 )
 
 
+@query("with " + TURNS + " select message_id, source, text from t")
+def turn_texts(s, d):
+    """Texts of messages by their platform's rule."""
+    return _turns(s, d).select("message_id", "source", "text")
+
+
 @query(DYADS + " select id as message_id, dyad from m")
 def exchange_dyads(s, d):
     """Messages with their dyad."""
@@ -724,19 +740,74 @@ def exchange_rows(s, d):
     return rows.select("dialogue_id", "exchange", "n_user", "n_assistant", "n_dyads", "has_continuations", F.array_join("message_ids", ",").alias("message_ids"))
 
 
-@query()
+def _any(text: str, marks) -> str:
+    return "(" + " or ".join(f"contains({text}, '{m}')" for m in marks) + ")"
+
+
+def _path(*paths: str) -> str:
+    return "(" + " or ".join(f"coalesce(json_extract(j, '{p}')::varchar not in ('null', 'false', '0', '\"\"', '[]', '{{}}'), false)" for p in paths) + ")"
+
+
+_USER, _ASSISTANT = "role = 'user'", "role = 'assistant'"
+_STRUCTURE = "((contains(text, 'def ') and contains(text, '(') and contains(text, ':') and contains(text, 'return')) or (contains(text, 'class ') and contains(text, '(') and contains(text, ':') and contains(text, 'def ')) or ((contains(text, 'function(') or contains(text, 'function ')) and contains(text, '{') and contains(text, '}')) or (length(text) - length(replace(text, '=', '')) >= 3 and (contains(text, 'let ') or contains(text, 'const ') or contains(text, 'var '))))"
+# Rules that hold for an exchange if they hold for one of its messages.
+RULES = {
+    "has_github_repos": _path("$.metadata.selected_github_repos"),
+    "has_canvas_operations": _path("$.metadata.canvas"),
+    "has_web_search": _path("$.metadata.search_queries", "$.metadata.search_result_groups", "$.metadata.content_references"),
+    "has_reasoning_thoughts": _path("$.content.thoughts"),
+    "has_code_execution": _path("$.metadata.aggregate_result", "$.metadata.jupyter_messages"),
+    "has_code_blocks": "contains(text, '```')",
+    "has_script_headers": _any("text", exchanges.SCRIPT_MARKS),
+    "has_code_structure_patterns": _STRUCTURE,
+    "user_has_quote_elaborate": f"({_USER} and starts_with(text, '>') and contains(text, chr(10)) and lower(trim(split_part(text, chr(10), -1))) = 'elaborate')",
+    "user_has_attachments": f"({_USER} and {_path('$.metadata.attachments')})",
+    "assistant_has_reasoning": f"({_ASSISTANT} and {_path('$.content.thoughts')})",
+    "has_wiki_links": rf"({_ASSISTANT} and regexp_matches(text, '\[\[.+?\]\]'))",
+    "has_latex_math": rf"({_ASSISTANT} and (regexp_matches(text, '\$\$.+?\$\$|\\\(.+?\\\)|\\\[.+?\\\]') or {_any('text', exchanges.LATEX_MARKS)}))",
+    "has_large_content": "length(text) > 2000",
+    "has_function_definitions": _any("text", ("def ", "function ", "class ")),
+    "has_import_statements": _any("text", ("import ", "from ", "require(")),
+    "has_high_keyword_density": "(length(text) > 1000 and " + " + ".join(f"contains(lower(text), '{w}')::int" for w in exchanges.DENSITY_WORDS) + " >= 5)",
+    "user_has_code_blocks": f"({_USER} and contains(text, '```'))",
+    "user_has_error_messages": f"({_USER} and {_any('lower(text)', exchanges.ERROR_MARKS)})",
+}
+_FILE = "lower(coalesce(x->>'name', ''))", "lower(coalesce(x->>'mime_type', ''))"
+FIRSTS = {
+    "first_user_has_large_content": f"length({_STRIP.format('text')}) > 2000",
+    "first_user_has_code_patterns": _any("text", exchanges.CODE_MARKS),
+    "first_user_has_attachments": _path("$.metadata.attachments"),
+    "first_user_has_code_attachments": f"coalesce(len(list_filter(json_extract(j, '$.metadata.attachments[*]'), lambda x: {_any(_FILE[0], exchanges.CODE_ENDINGS)} or {_any(_FILE[1], exchanges.CODE_MIMES)})) > 0, false)",
+}
+_LENGTH = "case when {0} < {1} then 'very_short' when {0} < {2} then 'short' when {0} < {3} then 'medium' when {0} < {4} then 'long' else 'very_long' end"
+_TOP = f"split_part({_STRIP.format('text')}, chr(10), 1)"
+_CODE_RULES = " or ".join(("has_code_blocks", "has_function_definitions", "has_import_statements", "has_script_headers", "has_code_structure_patterns", "has_high_keyword_density"))
+FEATURES = (
+    MERGED
+    + ", ef as (select *, "
+    + ", ".join(f"{sql} as {name}" for name, sql in (RULES | FIRSTS).items())
+    + f", case when starts_with({_TOP}, '#') then {_STRIP.format(f'replace({_TOP}, chr(35), chr(32))').replace('chr(32))', chr(39) * 2 + ')', 1)} when starts_with({_TOP}, '**') and ends_with({_TOP}, '**') then {_STRIP.format(f'replace({_TOP}, chr(42) || chr(42), {chr(39) * 2})')} end as heading from e), "
+    + "eg as (select dialogue_id, exchange, "
+    + ", ".join(f"bool_or({name}) as {name}" for name in RULES)
+    + ", "
+    + ", ".join(f"coalesce((list({name} order by pos) filter (where {_USER}))[1], false) as {name}" for name in FIRSTS)
+    + f", (list(heading order by pos) filter (where {_ASSISTANT}))[1] as proposed_title, coalesce(array_to_string(list_sort(list(distinct nullif(j->'metadata'->>'gizmo_id', '')) filter (where nullif(j->'metadata'->>'gizmo_id', '') is not null)), ','), '') as gizmos, coalesce(array_to_string(list_sort(list_distinct(list_concat(list(nullif(j->'metadata'->'invoked_plugin'->>'plugin_id', '')), list(nullif(j->'metadata'->'invoked_plugin'->>'namespace', ''))))), ','), '') as plugins"
+    + f", count(*) filter (where {_USER}) as n_user, count(*) filter (where {_ASSISTANT}) as n_assistant, coalesce(sum(length(text)) filter (where {_USER}), 0)::bigint as user_length, coalesce(sum(length(text)) filter (where {_ASSISTANT}), 0)::bigint as assistant_length, max(source) as source"
+    + f", bool_or(contains(text, '[[') or ({_USER} and (contains(lower(text), 'write an article') or contains(lower(text), 'create a wiki')))) as wiki, bool_or({_ASSISTANT} and contains(text, '# ')) as headed from ef group by 1, 2), "
+    + f"ft as (select * exclude (wiki, headed), n_user > 1 as user_is_continuation, ({_CODE_RULES}) as has_code_patterns, (has_code_blocks or has_script_headers or has_code_structure_patterns) as is_coding_focused, (wiki or (assistant_length > 1000 and headed)) as is_wiki_focused, (user_has_error_messages and n_assistant > 0) as has_error_resolution, case when n_user > 1 then 'multi_turn' when user_length > 2000 then 'context_heavy' when assistant_length > 3000 then 'detailed_response' when user_length < 50 and assistant_length < 200 then 'quick_qa' else 'standard' end as interaction_pattern, {_LENGTH.format('user_length', 50, 200, 1000, 3000)} as user_length_category, {_LENGTH.format('assistant_length', 100, 500, 2000, 5000)} as assistant_length_category from eg)"
+)
+
+
+@query(FEATURES + " select * from ft")
 def exchange_features(s, d):
     """All rules of each exchange (R1-R22 and the older rules)."""
     return _exchange_rules(s, d).withColumn("gizmos", F.array_join("gizmos", ",")).withColumn("plugins", F.array_join("plugins", ","))
 
 
-@query(
-    MERGED
-    + " select dialogue_id, exchange, bool_or(contains(text, '```')) as has_code_blocks, bool_or(contains(text, '#!/bin/') or contains(text, '#include') or contains(text, 'using namespace')) as has_script_headers, bool_or(role = 'assistant' and regexp_matches(text, '\\[\\[.+?\\]\\]')) as has_wiki_links, bool_or(length(text) > 2000) as has_large_content, sum(case when role = 'user' then length(text) else 0 end)::bigint as user_length, sum(case when role = 'assistant' then length(text) else 0 end)::bigint as assistant_length from e group by 1, 2"
-)
-def exchange_text_rules(s, d):
-    """The rules of texts that SQL can say."""
-    return _exchange_rules(s, d).select("dialogue_id", "exchange", "has_code_blocks", "has_script_headers", "has_wiki_links", "has_large_content", "user_length", "assistant_length")
+@query(MERGED + ", x as (select dialogue_id, exchange, count(*) filter (where role = 'user') > 1 as more from e group by 1, 2), cx as (select dialogue_id, bool_or(more) as has_continuations, count(*) as exchange_count from x group by 1) select e.dialogue_id, any_value(cx.exchange_count) as exchange_count, count(*) as total_messages, count(*) filter (where role = 'user') as total_user_messages, count(*) filter (where role = 'assistant') as total_assistant_messages, coalesce(string_agg(text, ' ' order by pos) filter (where role = 'user'), '') as user_text, coalesce(string_agg(text, ' ' order by pos) filter (where role = 'assistant'), '') as assistant_text, any_value(cx.has_continuations) as has_continuations from e join cx using (dialogue_id) group by 1")
+def conversation_totals(s, d):
+    """Counts and joined texts of each dialogue."""
+    return exchanges.conversation_totals(exchanges.merge(exchanges.chunk(_turns(s, d))))
 
 
 @query(MERGED + ", n as (select dialogue_id, count(distinct exchange) as exchange_count from e group by 1) select dialogue_id, exchange_count, case when exchange_count = 1 then 'single' when exchange_count <= 3 then 'short' when exchange_count <= 10 then 'medium' when exchange_count <= 25 then 'long' else 'very_long' end as category from n")
@@ -745,30 +816,30 @@ def conversation_lengths(s, d):
     return exchanges.conversation_length(_exchange_rules(s, d))
 
 
-@query()
+_USED = [f"case when {f} then '{f}' end" for f in exchanges.FEATURES] + ["case when gizmos <> '' then 'has_gizmo_usage' end", "case when plugins <> '' then 'has_plugin_usage' end"]
+
+
+@query(FEATURES + f", u as (select dialogue_id, unnest([{', '.join(_USED)}]) as feature from ft), n as (select dialogue_id, count(*) as k from ft group by 1) select u.dialogue_id, feature, count(*) as exchange_count, n.k as total_exchanges, round_even(100.0::double * count(*) / n.k, 1) as percentage from u join n using (dialogue_id) where feature is not null group by 1, 2, 4")
 def feature_summary(s, d):
     """Share of exchanges with each feature."""
     return exchanges.feature_summary(_exchange_rules(s, d))
 
 
-@query()
+@query(FEATURES + ", gz as (select dialogue_id, unnest(string_split(gizmos, ',')) as z from ft where gizmos <> '') select dialogue_id, count(distinct z) as n_unique, count(*) as total_usage, string_agg(distinct z, ',' order by z) as names from gz group by 1")
 def gizmo_usage(s, d):
     """Gizmos of each dialogue."""
     return exchanges.usage_summary(_exchange_rules(s, d), "gizmos").withColumn("names", F.array_join("names", ","))
 
 
 @query(
-    _lines(
-        CURRENT_M,
-        PARTS,
-        "t as (select message_id, string_agg(text_content, chr(10) order by sequence, text_content) as text from cp where part_type = 'text' and text_content is not null group by 1)",
-        "u as (select cm.dialogue_id, length(coalesce(t.text, '')) as n from cm left join t on t.message_id = cm.id where cm.deleted_at is null and cm.role = 'user')",
-        "select dialogue_id, count(*) as prompt_count, case when avg(n) < 50 then 'very_short' when avg(n) < 200 then 'short' when avg(n) < 1000 then 'medium' when avg(n) < 3000 then 'long' else 'very_long' end as length_category, case when var_pop(n) < 1000 then 'consistent' when var_pop(n) < 10000 then 'mixed' else 'variable' end as consistency from u group by 1",
-    )
+    "with "
+    + TURNS
+    + ", u as (select cm.dialogue_id, length(coalesce(t.text, '')) as n from cm left join t on t.message_id = cm.id where cm.deleted_at is null and cm.role = 'user')"
+    + ", q as (select dialogue_id, count(*) as k, sum(n)::double / count(*) as a, median(n) as md, (count(*) * sum(n * n) - sum(n) * sum(n))::double / (count(*) * count(*)) as v from u group by 1) select dialogue_id, k as prompt_count, round_even(a, 1) as mean_length, round_even(md, 1)::double as median_length, round_even(v, 1) as variance, case when a < 50 then 'very_short' when a < 200 then 'short' when a < 1000 then 'medium' when a < 3000 then 'long' else 'very_long' end as length_category, case when v < 1000 then 'consistent' when v < 10000 then 'mixed' else 'variable' end as consistency from q"
 )
 def prompt_stats(s, d):
-    """Lengths of a dialogue's prompts."""
-    return exchanges.prompt_stats(_turns(s, d)).select("dialogue_id", "prompt_count", "length_category", "consistency")
+    """Count, mean, median and spread of a dialogue's prompt lengths."""
+    return exchanges.prompt_stats(_turns(s, d))
 
 
 @query(_lines(CURRENT_D, "x as (select coalesce(extract(year from created_at)::varchar, '<none>') as facet from cd)", "select facet, count(*) as n_dialogues, round(100.0 * count(*) / (select count(*) from x), 1)::double as share from x group by 1"))
@@ -858,7 +929,7 @@ def length_values(s, d):
 def _notes(s, d):
     merged = exchanges.merge(exchanges.chunk(_turns(s, d)))
     titles = _dialogues(s, d).select(F.col("id").alias("dialogue_id"))
-    rules = exchanges.exchange_rules(merged).select("dialogue_id", "exchange", "proposed_title")
+    rules = exchanges.exchange_rules(merged).select("dialogue_id", "exchange", "proposed_title", "source")
     ids = exchanges.exchanges(merged).select("dialogue_id", "exchange", "exchange_id")
     rows = rules.join(ids, ["dialogue_id", "exchange"]).join(titles, "dialogue_id", "left_semi").withColumn("title", F.lit(None).cast("string"))
     return notes.notes_of(merged, rows)
