@@ -194,8 +194,15 @@ def pack_documents(docs: DataFrame, profiles: DataFrame, directory: str = bpe.TO
 
 
 def container_report(assigned: DataFrame, profiles: DataFrame) -> DataFrame:
-    """Per profile: containers, tokens, unused space and its share."""
-    total = assigned.groupBy("profile_id").agg(F.countDistinct("container_id").alias("n_containers"), F.sum("n_tokens").alias("n_tokens"))
-    rows = total.join(F.broadcast(profiles.select("profile_id", "capacity").distinct()), "profile_id")
+    """Per profile: containers, tokens, unused space, its share, and a lower bound.
+
+    No packing has fewer than ``least_containers``: the tokens over the
+    capacity, rounded up, or the parts of more than half of it, each of which
+    needs a container of its own.
+    """
+    # pre-aggregated per container, so that a profile of all rows is no hot key
+    sized = assigned.join(F.broadcast(profiles.select("profile_id", "capacity").distinct()), "profile_id")
+    each = sized.groupBy("profile_id", "capacity", "container_id").agg(F.sum("n_tokens").alias("n_tokens"), F.count(F.when(2 * F.col("n_tokens") > F.col("capacity"), 1)).alias("n_large"))
+    rows = each.groupBy("profile_id", "capacity").agg(F.count(F.lit(1)).alias("n_containers"), F.sum("n_tokens").alias("n_tokens"), F.sum("n_large").alias("n_large"))
     unused = F.col("n_containers") * F.col("capacity") - F.col("n_tokens")
-    return rows.select("profile_id", "capacity", "n_containers", "n_tokens", unused.alias("unused"), (unused / (F.col("n_containers") * F.col("capacity"))).alias("unused_share"))
+    return rows.select("profile_id", "capacity", "n_containers", "n_tokens", unused.alias("unused"), (unused / (F.col("n_containers") * F.col("capacity"))).alias("unused_share"), F.greatest(F.ceil(F.col("n_tokens") / F.col("capacity")), "n_large").alias("least_containers"))
