@@ -46,9 +46,11 @@ def top_facets(faceted: DataFrame, max_facets: int = 50) -> DataFrame:
     Facets are counted first, so only their list is ranked.
     """
     sizes = faceted.groupBy("facet").agg(F.count(F.lit(1)).alias("n"))
-    ranked = sizes.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("n"), "facet"))).withColumn("n_facets", F.count(F.lit(1)).over(Window.partitionBy()))
-    label = F.when((F.col("n_facets") > max_facets) & (F.col("rank") >= max_facets), "<other>").otherwise(F.col("facet"))
-    return faceted.join(ranked.select("facet", label.alias("label")), "facet").select("dialogue_id", F.col("label").alias("facet"))
+    # the largest ones, one more than fit: a list of bounded length, ranked by itself
+    top = sizes.orderBy(F.desc("n"), "facet").limit(max_facets + 1)
+    ranked = top.select("facet", F.row_number().over(Window.orderBy(F.desc("n"), "facet")).alias("rank"), F.count(F.lit(1)).over(Window.partitionBy()).alias("n_top"))
+    kept = ranked.where((F.col("n_top") <= max_facets) | (F.col("rank") < max_facets)).select("facet", F.col("facet").alias("label"))
+    return faceted.join(F.broadcast(kept), "facet", "left").select("dialogue_id", F.when(F.col("label").isNull(), "<other>").otherwise(F.col("label")).alias("facet"))
 
 
 def facet_sizes(faceted: DataFrame) -> DataFrame:
@@ -153,10 +155,22 @@ def derived_tags() -> list[tuple[str, Column]]:
     ]
 
 
-def with_derived_tags(tags: DataFrame, rules: list[tuple[str, Column]] | None = None) -> DataFrame:
-    """The tag table with derived tags; NULL conditions are false."""
-    for name, rule in rules or derived_tags():
-        tags = tags.withColumn(name, F.coalesce(rule, F.lit(False)))
+def with_derived_tags(tags: DataFrame, rules: list[tuple[str, Column]] | None = None, passes: int = 5) -> DataFrame:
+    """The tag table with derived tags; NULL conditions are false.
+
+    The built-in rules name only tags before them, so one pass is their
+    fixpoint. Own ``rules`` may name any tag: all are applied ``passes`` times,
+    a tag that holds once holds from then on.
+    """
+    if rules is None:
+        for name, rule in derived_tags():
+            tags = tags.withColumn(name, F.coalesce(rule, F.lit(False)))
+        return tags
+    for name, _ in rules:
+        if name not in tags.columns:
+            tags = tags.withColumn(name, F.lit(False))
+    for _ in range(passes if len(rules) > 1 else 1):
+        tags = tags.withColumns({name: F.col(name) | F.coalesce(rule, F.lit(False)) for name, rule in rules})
     return tags
 
 

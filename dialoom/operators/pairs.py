@@ -104,10 +104,18 @@ def rebuild_dialogues(existing: DataFrame, messages: DataFrame, dialogue_ids: Da
 
 
 def siblings(messages: DataFrame) -> DataFrame:
-    """(id, sibling_id) of live messages that share a parent.
+    """id, dialogue_id, parent_id and n_siblings of live messages with siblings.
 
-    One array per parent, exploded beside each of its members.
+    The group is its parent; its members are the rows of that parent. No pairs
+    are made, so a parent of very many messages costs a count.
     """
+    rows = live_messages(messages).where("parent_id is not null").select("id", "dialogue_id", "parent_id").distinct()
+    groups = rows.groupBy("dialogue_id", "parent_id").agg((F.count(F.lit(1)) - 1).alias("n_siblings")).where("n_siblings > 0")
+    return rows.join(groups, ["dialogue_id", "parent_id"]).select("id", "dialogue_id", "parent_id", "n_siblings")
+
+
+def siblings_of(messages: DataFrame, message_id: str) -> DataFrame:
+    """Ids of the live messages that share the parent of one message."""
     rows = live_messages(messages).where("parent_id is not null").select("dialogue_id", "parent_id", "id")
-    grouped = rows.groupBy("dialogue_id", "parent_id").agg(F.sort_array(F.collect_set("id")).alias("ids")).where(F.size("ids") > 1)
-    return rows.join(grouped, ["dialogue_id", "parent_id"]).select("id", F.explode(F.array_remove("ids", F.col("id"))).alias("sibling_id"))
+    own = rows.where(F.col("id") == message_id).select("dialogue_id", "parent_id").distinct()
+    return rows.join(own, ["dialogue_id", "parent_id"], "left_semi").where(F.col("id") != message_id).select("id").distinct()

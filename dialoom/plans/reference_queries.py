@@ -178,11 +178,12 @@ def pairs_missing(s, d):
     _lines(
         CURRENT_M,
         "l as (select id, dialogue_id, parent_id from cm where deleted_at is null and parent_id is not null)",
-        "select a.id, b.id as sibling_id from l a join l b on a.dialogue_id = b.dialogue_id and a.parent_id = b.parent_id and a.id <> b.id",
+        "k as (select dialogue_id, parent_id, count(distinct id) - 1 as n_siblings from l group by 1, 2 having count(distinct id) > 1)",
+        "select distinct id, dialogue_id, parent_id, n_siblings from l join k using (dialogue_id, parent_id)",
     )
 )
 def message_siblings(s, d):
-    """Messages that share a parent (B10p)."""
+    """Messages that share a parent, with the group and its size (B10p)."""
     return pairs.siblings(_messages(s, d))
 
 
@@ -454,27 +455,48 @@ def import_chain_messages(s, d):
     return m.join(names, "dialogue_id").join(parents, "parent_id", "left").select("dialogue", "source_id", "role", "parent")
 
 
-@query(
-    f"with {CHATGPT}, a as (select mid, json_extract(b, '$.content.parts[*]') as l from gm), p as (select mid, unnest(l) as x, generate_subscripts(l, 1) - 1 as sequence from a), t as (select mid, sequence, x, json_type(x) as kind, lower(coalesce(x->>'content_type', '')) as ct, coalesce(x->>'language', '') as lang from p) select mid as source_id, sequence::int as sequence, case when kind = 'VARCHAR' then 'text' when kind <> 'OBJECT' then 'unknown' when contains(ct, 'image') then 'image' when contains(ct, 'audio') then 'audio' when contains(ct, 'video') then 'video' when ct = 'code' or lang <> '' then 'code' else coalesce(nullif(x->>'content_type', ''), 'unknown') end as part_type, case when kind = 'VARCHAR' then x->>'$' when kind = 'OBJECT' and (ct = 'code' or lang <> '') and not contains(ct, 'image') then coalesce(nullif(x->>'text', ''), nullif(x->>'code', '')) end as text_content from t where kind <> 'OBJECT' or contains(ct, 'image') or ct = 'code' or lang <> ''"
+def _text_of(*paths: str) -> str:
+    """The first of the paths that holds text that isn't empty."""
+    return "coalesce(" + ", ".join(f"case when json_type(x, '$.{p}') = 'VARCHAR' then nullif(x->>'{p}', '') end" for p in paths) + ")"
+
+
+TREE_PARTS = (
+    f"with {CHATGPT}, ap as (select mid, b, json_extract(b, '$.content.parts[*]') as l from gm), p as (select mid, unnest(l) as x, generate_subscripts(l, 1) - 1 as sequence from ap), "
+    "pk as (select mid, sequence, x, json_type(x) as kind, lower(coalesce(x->>'content_type', '')) as ct, nullif(x->>'language', '') as lang from p), "
+    "pm as (select *, case when contains(ct, 'image') then 'image' when contains(ct, 'audio') then 'audio' when contains(ct, 'video') then 'video' end as medium from pk), "
+    "pt as (select *, medium is null and (ct = 'code' or lang is not null) as code from pm), "
+    "tree as (select mid as source_id, sequence, case when kind = 'VARCHAR' then 'text' when kind <> 'OBJECT' then 'unknown' when medium is not null then medium when code then 'code' else coalesce(nullif(x->>'content_type', ''), 'unknown') end as part_type, "
+    f"case when kind = 'VARCHAR' then x->>'$' when kind <> 'OBJECT' or medium is not null then null when code then coalesce(nullif(x->>'text', ''), nullif(x->>'code', '')) else {_text_of('text', 'result', 'content')} end as text_content, "
+    "case when kind = 'OBJECT' and code then lang end as language, case when kind = 'OBJECT' and medium is not null then x->>'content_type' end as media_type, "
+    "case when kind <> 'OBJECT' or medium is null then null when medium = 'image' then case when starts_with(x->>'asset_pointer', 'file-service://') then x->>'asset_pointer' else nullif(x->>'url', '') end else coalesce(nullif(x->>'url', ''), nullif(x->>'asset_pointer', '')) end as url from pt), "
+    "cv0 as (select mid, b, coalesce(case when json_type(b->'metadata'->'canvas') = 'OBJECT' then b->'metadata'->'canvas' end, case when json_type(b->'canvas') = 'OBJECT' then b->'canvas' end) as x from gm)"
 )
+
+
+@query(TREE_PARTS + " select source_id, sequence::int as sequence, part_type, text_content, language, media_type, url from tree union all select mid, coalesce(json_array_length(b, '$.content.parts'), 0)::int, 'canvas', coalesce(nullif(x->>'content', ''), nullif(x->>'textdoc_content', '')), null, null, null from cv0 where x is not null")
 def import_tree_parts(s, d):
-    """Classified parts of trees' messages (E6, E8); kinds SQL can name."""
+    """Classified parts of trees' messages, canvas documents included."""
     m = exports.chatgpt_messages(exports.chatgpt_dialogues(_raw(s, d, "chatgpt")))
-    names = m.select(F.col("id").alias("message_id"), "source_id")
-    rows = exports.content_parts(m).where("part_type in ('text', 'unknown', 'image', 'audio', 'video', 'code')").join(names, "message_id")
-    return rows.select("source_id", "sequence", "part_type", "text_content")
+    rows = exports.content_parts(m).join(m.select(F.col("id").alias("message_id"), "source_id"), "message_id")
+    return rows.select("source_id", "sequence", "part_type", "text_content", "language", "media_type", "url")
+
+
+LIST_PARTS = (
+    f"with {CLAUDE}, al as (select mid, b, json_extract(b, '$.content[*]') as l from lm), p as (select mid, unnest(l) as x, generate_subscripts(l, 1) - 1 as sequence from al), pk as (select *, lower(coalesce(x->>'type', 'unknown')) as kind from p), "
+    "rs as (select mid, sequence, nullif(array_to_string(list_filter(list_transform(json_extract(x, '$.content[*]'), lambda y: case when json_type(y) = 'VARCHAR' then y->>'$' else nullif(y->>'text', '') end), lambda y: y is not null), chr(10)), '') as joined from pk where kind = 'tool_result')"
+)
 
 
 @query(
-    f"with {CLAUDE}, a as (select mid, json_extract(b, '$.content[*]') as l from lm), p as (select mid, unnest(l) as x, generate_subscripts(l, 1) - 1 as sequence from a) select mid as source_id, sequence::int as sequence, lower(coalesce(x->>'type', 'unknown')) as part_type, case when lower(x->>'type') = 'tool_use' then x->>'name' end as tool_name, case lower(x->>'type') when 'tool_use' then x->>'id' when 'tool_result' then x->>'tool_use_id' end as tool_use_id, case lower(x->>'type') when 'text' then x->>'text' when 'thinking' then x->>'thinking' end as text_content from p"
+    LIST_PARTS
+    + " select p.mid as source_id, p.sequence::int as sequence, kind as part_type, case when kind = 'tool_use' then x->>'name' end as tool_name, case kind when 'tool_use' then x->>'id' when 'tool_result' then x->>'tool_use_id' end as tool_use_id, case kind when 'text' then x->>'text' when 'thinking' then x->>'thinking' when 'tool_use' then coalesce(nullif(x->'input'->>'query', ''), nullif(x->'input'->>'text', '')) when 'tool_result' then case when json_type(x, '$.content') = 'VARCHAR' then x->>'content' else joined end when 'image' then null else x->>'text' end as text_content, case when kind = 'tool_result' then coalesce(case when json_type(x, '$.is_error') = 'BOOLEAN' then (x->>'is_error')::boolean end, false) end as is_error, case when kind = 'image' and (x->'source'->>'type') = 'url' then x->'source'->>'url' end as url from pk p left join rs on rs.mid = p.mid and rs.sequence = p.sequence"
+    + " union all select mid, 0, 'text', null, null, b->>'text', null, null from al where coalesce(len(l), 0) = 0 and coalesce(b->>'text', '') <> ''"
 )
 def import_list_parts(s, d):
-    """Classified parts of lists' messages (E7, E9); texts of plain kinds."""
+    """Classified parts of lists' messages, their texts and the fallback."""
     m = exports.claude_messages(exports.claude_dialogues(_raw(s, d, "claude")))
-    m = m.where(F.size(F.try_variant_get("body", "$.content", "array<variant>")) > 0)
-    names = m.select(F.col("id").alias("message_id"), "source_id")
-    rows = exports.content_parts(m).join(names, "message_id")
-    return rows.select("source_id", "sequence", "part_type", "tool_name", "tool_use_id", F.when(F.col("part_type").isin("text", "thinking"), F.col("text_content")).alias("text_content"))
+    rows = exports.content_parts(m).join(m.select(F.col("id").alias("message_id"), "source_id"), "message_id")
+    return rows.select("source_id", "sequence", "part_type", "tool_name", "tool_use_id", "text_content", "is_error", "url")
 
 
 def _all_parts(messages: DataFrame) -> DataFrame:
@@ -551,19 +573,30 @@ def import_code_runs(s, d):
     return t["code_executions"].join(t["code_outputs"], "message_id", "left").select("message_id", "run_id", "status", "traceback", "sequence", "output_type", "text_content")
 
 
-@query()
+@query(
+    TREE_PARTS
+    + ", im as (select sha256(sha256(sha256('chatgpt|' || did) || '|' || gm.mid) || '|' || sequence) as content_part_id, x, coalesce(case when json_type(x->'metadata'->'dalle') = 'OBJECT' and (x->'metadata'->'dalle')::varchar <> '{}' then x->'metadata'->'dalle' end, case when json_type(x->'metadata'->'generation') = 'OBJECT' and (x->'metadata'->'generation')::varchar <> '{}' then x->'metadata'->'generation' end) as g from pt join gm on gm.mid = pt.mid) select content_part_id, g->>'gen_id' as gen_id, g->>'prompt' as prompt, try_cast(g->>'seed' as bigint) as seed, coalesce(try_cast(g->>'width' as int), try_cast(x->>'width' as int)) as width, coalesce(try_cast(g->>'height' as int), try_cast(x->>'height' as int)) as height from im where g is not null"
+)
 def import_images(s, d):
     """Image generations."""
     return _imported(s, d)["dalle_generations"]
 
 
-@query()
+_CANVAS = TREE_PARTS + f", cv1 as (select sha256({CHAT_KEY} || '|canvas') as content_part_id, {CHAT_KEY} as message_id, cx.x from gm join (select mid as cmid, x from cv0) cx on cx.cmid = gm.mid where cx.x is not null)"
+
+
+@query(_CANVAS + " select content_part_id, message_id, x->>'textdoc_id' as textdoc_id, try_cast(x->>'version' as int) as version, x->>'title' as title, x->>'textdoc_type' as textdoc_type, coalesce(nullif(x->>'content', ''), nullif(x->>'textdoc_content', '')) as text_content, try_cast(x->>'from_version' as int) as from_version, coalesce(try_cast(x->>'has_user_edit' as boolean), false) as has_user_edit from cv1")
 def import_canvas(s, d):
     """Canvas documents as further parts."""
     return _imported(s, d)["canvas_docs"]
 
 
-@query()
+@query(
+    _CANVAS
+    + f", me as (select {CHAT_KEY} as k, nullif(b->'metadata'->>'gizmo_id', '') as g, nullif(b->'metadata'->>'model_slug', '') as m from gm), la as (select content_part_id from (select *, row_number() over (partition by x->>'textdoc_id' order by coalesce(try_cast(x->>'version' as int), -1) desc, content_part_id desc) as r from cv1 where x->>'textdoc_id' is not null) where r = 1)"
+    + " select 'message' as entity_type, k as entity_id, 'gizmo_id' as key, 'string' as value_type, g as value from me where g is not null union all select 'message', k, 'has_gizmo', 'flag', null from me where g is not null union all select 'message', k, 'model_slug', 'string', m from me where m is not null"
+    + " union all select 'content_part', content_part_id, 'title', 'string', x->>'title' from cv1 where coalesce(x->>'title', '') <> '' union all select 'content_part', content_part_id, 'textdoc_id', 'string', x->>'textdoc_id' from cv1 where coalesce(x->>'textdoc_id', '') <> '' union all select 'content_part', content_part_id, 'canvas_version', 'numeric', x->>'version' from cv1 where x->>'version' is not null union all select 'content_part', content_part_id, 'textdoc_type', 'string', x->>'textdoc_type' from cv1 where coalesce(x->>'textdoc_type', '') <> '' union all select 'content_part', content_part_id, 'is_latest_canvas_version', 'flag', null from la"
+)
 def import_annotations(s, d):
     """Annotations known at import."""
     return _imported(s, d)["annotations"]
@@ -875,7 +908,7 @@ def faceted_summary(s, d):
     return facets.faceted_summary(faceted, annotated)
 
 
-@query()
+@query(FEATURES + ", n as (select dialogue_id, count(*) as k, bool_or(has_code_blocks) as code from ft group by 1), u as (select cm.dialogue_id, length(coalesce(t.text, '')) as n from cm left join t on t.message_id = cm.id where cm.deleted_at is null and cm.role = 'user'), q as (select dialogue_id, (count(*) * sum(n * n) - sum(n) * sum(n))::double / (count(*) * count(*)) as v from u group by 1) select n.dialogue_id from n join q using (dialogue_id) where k >= 3 and v < 10000 and not code")
 def tag_filter(s, d):
     """Dialogues by structured tags."""
     annotated = _annotated(s, d)
