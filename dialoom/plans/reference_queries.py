@@ -499,18 +499,6 @@ def import_list_parts(s, d):
     return rows.select("source_id", "sequence", "part_type", "tool_name", "tool_use_id", "text_content", "is_error", "url")
 
 
-def _all_parts(messages: DataFrame) -> DataFrame:
-    names = messages.select(F.col("id").alias("message_id"), "source_id")
-    return exports.content_parts(messages).join(names, "message_id").select("platform", "source_id", "sequence", "part_type", "tool_name", "tool_use_id", "text_content")
-
-
-@query()
-def import_parts_all(s, d):
-    """All parts of both platforms with their texts."""
-    chatgpt = exports.chatgpt_messages(exports.chatgpt_dialogues(_raw(s, d, "chatgpt")))
-    return _all_parts(chatgpt).unionByName(_all_parts(exports.claude_messages(exports.claude_dialogues(_raw(s, d, "claude")))))
-
-
 # Both platforms in one statement; the second's names get a prefix.
 BOTH = f"with {CHATGPT}, " + CLAUDE.removeprefix(CURRENT_D + ", ").replace("c as (", "kc as (", 1).replace(", g as (", ", kg as (", 1).replace(" from c)", " from kc)", 1).replace(", n as (", ", kn as (", 1).replace(" from g where", " from kg where", 1).replace("from n where", "from kn where", 1)
 

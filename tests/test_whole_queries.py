@@ -19,7 +19,7 @@ def test_all_parts(spark, tmp_path):
     claude = {"uuid": "k1", "chat_messages": [{"uuid": "m1", "sender": "human", "text": "only text"}, {"uuid": "m2", "sender": "assistant", "content": tool}]}
     rows = [("c1", "chatgpt", "2024-01-01", json.dumps(chatgpt)), ("k1", "claude", "2024-01-01", json.dumps(claude))]
     spark.createDataFrame(rows, "id string, source string, updated_at string, source_json string").write.parquet(f"{tmp_path}/dialogues.parquet")
-    got = {(r["platform"], r["source_id"], r["sequence"]): r for r in q.import_parts_all(spark, str(tmp_path)).collect()}
+    got = {(name, r["source_id"], r["sequence"]): r for name, query in (("chatgpt", q.import_tree_parts), ("claude", q.import_list_parts)) for r in query(spark, str(tmp_path)).collect()}
     assert {k: r["part_type"] for k, r in got.items()} == {("chatgpt", "a1", 0): "text", ("chatgpt", "a1", 1): "tether_quote", ("chatgpt", "a1", 2): "canvas", ("claude", "m1", 0): "text", ("claude", "m2", 0): "tool_use", ("claude", "m2", 1): "tool_result"}
     assert got["chatgpt", "a1", 2]["text_content"] == "body" and got["claude", "m1", 0]["text_content"] == "only text"
     assert "r1" in got["claude", "m2", 1]["text_content"] and "r2" in got["claude", "m2", 1]["text_content"]
