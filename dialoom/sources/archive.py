@@ -16,7 +16,7 @@ import uuid
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,7 +86,9 @@ class Archive:
 
     def load(self, name: str) -> DataFrame:
         version = self._now()[name]
-        return self.spark.read.schema(T.StructType.fromJson(version["schema"])).parquet(*[f"{self.root}/{p}" for p in version["paths"]])
+        read = self.spark.read.schema(T.StructType.fromJson(version["schema"]))
+        # one by one: each folder has partitions of its own
+        return reduce(DataFrame.unionByName, [read.parquet(f"{self.root}/{p}") for p in version["paths"]])
 
     @contextmanager
     def commit(self) -> Iterator[None]:

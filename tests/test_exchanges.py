@@ -64,7 +64,7 @@ def test_top_facets(spark):
 
 
 def test_notes(spark, tmp_path):
-    t = turns(spark, {"a": [("user", "The First topic/x\nmore"), ("assistant", "# The Cat"), ("user", "> the dog barks\nwhy does it and when?"), ("assistant", "see the cat here"), ("user", "What of that other thing?"), ("assistant", "the dog barks loudly at the cat")]})
+    t = turns(spark, {"a": [("user", "The First topic/x\nmore"), ("assistant", "# The Cat"), ("user", "> the dog barks\nwhy does it and when?"), ("assistant", "see the cat here"), ("user", "What of that other thing?"), ("assistant", "the dog barks loudly at the cat"), ("user", "Who was it?"), ("assistant", "again the dog barks")]})
     merged = exchanges.merge(exchanges.chunk(t))
     rows = exchanges.exchange_rules(merged).select("dialogue_id", "exchange", "proposed_title").join(exchanges.exchanges(merged).select("dialogue_id", "exchange", "exchange_id"), ["dialogue_id", "exchange"]).withColumn("title", F.lit(None).cast("string"))
     made = notes.notes_of(merged, rows)
@@ -73,7 +73,9 @@ def test_notes(spark, tmp_path):
     linked = notes.wikilinkify(notes.merge_titles(made))
     texts = {r["title"]: r["content"] for r in linked.collect()}
     third = texts["what of that other thing"]
-    assert "at the [[cat]]" in third and "the dog barks loudly" in third and third.endswith("see also: [[the dog barks]]  ")
+    assert "at the [[cat]]" in third and "the dog barks loudly" in third and "see also" not in third
+    # the quoting note has a link to the next one already, to the last one it has none
+    assert texts["who was it?" if "who was it?" in texts else "who was it"].endswith("see also: [[the dog barks]]  ")
     folder = str(tmp_path / "notes")
     notes.write_notes(linked, folder)
     notes.write_notes(linked, folder)
